@@ -6,18 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from galley.llm import quality, url_filter
+from galley.llm import mixing, quality, tokencount, topk, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filters": url_filter.op1_url_filters,
+        "op2_exact_top_k": topk.op2_exact_top_k,
         "op4_quality_rules": quality.op4_quality_rules,
+        "op9_token_counts": tokencount.op9_token_counts,
+        "op10_source_mix": mixing.op10_source_mix,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_url_filters": url_filter.OP1_SQL,
+        "op2_exact_top_k": topk.OP2_SQL,
         "op4_quality_rules": quality.OP4_SQL,
     }
