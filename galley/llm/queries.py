@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from galley.llm import mixing, quality, tokencount, topk, url_filter
+from galley.llm import langid, mixing, quality, tokencount, topk, toxicity, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_url_filters": url_filter.op1_url_filters,
         "op2_exact_top_k": topk.op2_exact_top_k,
         "op4_quality_rules": quality.op4_quality_rules,
+        "op5_language_id": langid.op5_language_id,
+        "op7_toxicity": toxicity.op7_toxicity,
         "op9_token_counts": tokencount.op9_token_counts,
         "op10_source_mix": mixing.op10_source_mix,
     }
