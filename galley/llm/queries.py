@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from galley.llm import langid, mixing, quality, tokencount, topk, toxicity, url_filter
+from galley.llm import langid, mixing, neardup, quality, tokencount, topk, toxicity, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_exact_top_k": topk.op2_exact_top_k,
         "op4_quality_rules": quality.op4_quality_rules,
         "op5_language_id": langid.op5_language_id,
+        "op6_near_duplicates": neardup.op6_near_duplicates,
         "op7_toxicity": toxicity.op7_toxicity,
         "op9_token_counts": tokencount.op9_token_counts,
         "op10_source_mix": mixing.op10_source_mix,
