@@ -6,17 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from galley.llm import langid, mixing, neardup, quality, tokencount, topk, toxicity, url_filter
+from galley.llm import chunk_dedup, langid, mixing, neardup, quality, spm, tokencount, topk, toxicity, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filters": url_filter.op1_url_filters,
         "op2_exact_top_k": topk.op2_exact_top_k,
+        "op3_substring_dedup": chunk_dedup.op3_substring_dedup,
         "op4_quality_rules": quality.op4_quality_rules,
         "op5_language_id": langid.op5_language_id,
         "op6_near_duplicates": neardup.op6_near_duplicates,
         "op7_toxicity": toxicity.op7_toxicity,
+        "op8_sentencepiece": spm.op8_sentencepiece,
         "op9_token_counts": tokencount.op9_token_counts,
         "op10_source_mix": mixing.op10_source_mix,
     }
