@@ -37,12 +37,19 @@ def local_session(cores: str = "8", memory: str = "6g", partitions: int = 8) ->
     return spark
 
 
+#: Rows and bytes of an Arrow batch; the defaults let long texts fill a worker's memory.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "8388608"}
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors, once for each application.
 
     Python functions are pickled by reference, so that tokenizers and models which a worker
     has loaded stay loaded between tasks; workers must then be able to import the package.
     """
+    for key, value in BATCH.items():
+        if spark.conf.get(key, "10000") in ("10000", "268435456", "2147483647"):  # as it comes
+            spark.conf.set(key, value)
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
