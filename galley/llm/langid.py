@@ -1,8 +1,8 @@
 """Language identification by word-first backoff.
 
-Training counts words and, inside words with marked ends, character n-grams of 1 to 5, by
+Training counts words and, inside words with marked ends, character n-grams of 1 to 4, by
 language. A known word adds its log frequency in each language; an unseen word falls back to its
-5-grams, and if the tables know none of them to its 4-grams, and so on down to single characters;
+4-grams, and if the tables know none of them to its 3-grams, and so on down to single characters;
 the mean over the n-grams that are known stands for the word. Values are centred over the
 languages, so that a word alike in all of them decides nothing, and added up over the whole text.
 
@@ -18,6 +18,7 @@ rows without key are judged but never learned from.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -25,9 +26,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-TRAIN_DOCS = 12_000
+TRAIN_DOCS = 4_000
 WORDS, GRAMS, LANGUAGES = 60_000, 60_000, 500
-LONGEST = 5
+LONGEST = 4
 MEMO = 400_000
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -38,8 +39,9 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string")) % 5 == 0, F.lit(True))
 
 
-def words(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{M}]+"), 0)
+def _pieces(marked: str, n: int) -> list[str]:
+    """The n-grams of a word with marked ends; the marks alone are none."""
+    return list(marked[1:-1]) if n == 1 else [marked[i : i + n] for i in range(len(marked) - n + 1)]
 
 
 class Model:
@@ -48,30 +50,45 @@ class Model:
     def __init__(self, languages: list[str], rows: dict[str, list[int]], totals: list[int], grams: dict[str, list[int]], gram_totals: dict[int, list[int]]):
         self.languages = languages
         self.words = {w: i for i, w in enumerate(rows)}
-        self.table = self._centred(np.array(list(rows.values()), float).reshape(len(rows), -1), np.array(totals, float))
-        self.grams: dict[str, np.ndarray] = {}
+        self.table = self._centred(np.array(list(rows.values()), float).reshape(len(rows), len(languages)), np.array(totals, float))
+        self.grams: dict[str, int] = {}
+        tables = [np.zeros((1, len(languages)), np.float32)]  # row 0: nothing known
         for n in range(1, LONGEST + 1):
             own = [g for g in grams if len(g) == n]
             if own:
-                self.grams |= dict(zip(own, self._centred(np.array([grams[g] for g in own], float), np.array(gram_totals[n], float))))
+                first = sum(map(len, tables))
+                self.grams |= {g: first + i for i, g in enumerate(own)}
+                tables.append(self._centred(np.array([grams[g] for g in own], float), np.array(gram_totals[n], float)))
+        self.gram_table = np.vstack(tables)
+        self.scorer: Scorer | None = None
 
     @staticmethod
     def _centred(counts: np.ndarray, totals: np.ndarray) -> np.ndarray:
+        if not counts.size:
+            return counts.astype(np.float32)
         logs = np.log((counts + 0.5) / (totals + 0.5 * (len(counts) + 1)))
         return (logs - logs.mean(axis=1, keepdims=True)).astype(np.float32)
 
-    def backoff(self, word: str) -> np.ndarray:
-        """For a word that the table of words lacks."""
-        marked = f"^{word}$"
-        for n in range(LONGEST, 0, -1):
-            known = [self.grams[g] for g in (marked[i : i + n] for i in range(len(marked) - n + 1)) if g in self.grams]
-            if known:
-                return np.mean(known, axis=0)
-        return np.zeros(len(self.languages), np.float32)
+    def backoff(self, words: list[str]) -> np.ndarray:
+        """A row for each word that the table of words lacks."""
+        known, begins = [], []
+        get = self.grams.get
+        for word in words:
+            marked = f"^{word}$"
+            begins.append(len(known))
+            for n in range(LONGEST, 0, -1):
+                found = [i for i in map(get, _pieces(marked, n)) if i]
+                if found:
+                    known += found
+                    break
+            else:
+                known.append(0)
+        sums = np.add.reduceat(self.gram_table[known], begins, axis=0)
+        return sums / np.diff([*begins, len(known)])[:, None]
 
 
 class Scorer:
-    """A model with the words met so far; one for each task."""
+    """A model with the words met so far; one for each worker."""
 
     def __init__(self, model: Model):
         self.model = model
@@ -82,13 +99,12 @@ class Scorer:
         self.table = np.vstack([self.model.table, np.zeros((4096, len(self.model.languages)), np.float32)])
         self.n = len(self.model.table)
 
-    def _learn(self, unseen: set[str]) -> None:
+    def _learn(self, unseen: list[str]) -> None:
         if self.n + len(unseen) > len(self.table):
             self.table = np.vstack([self.table, np.zeros((max(len(unseen), len(self.table)), self.table.shape[1]), np.float32)])
-        for w in unseen:
-            self.table[self.n] = self.model.backoff(w)
-            self.at[w] = self.n
-            self.n += 1
+        self.table[self.n : self.n + len(unseen)] = self.model.backoff(unseen)
+        self.at.update(zip(unseen, range(self.n, self.n + len(unseen))))
+        self.n += len(unseen)
 
     def predict(self, text: str | None) -> tuple[str, float]:
         found = _WORD.findall(text.lower()) if text else []
@@ -99,7 +115,7 @@ class Scorer:
         try:
             rows = list(map(self.at.__getitem__, found))
         except KeyError:
-            self._learn(set(found) - self.at.keys())
+            self._learn([w for w in set(found) if w not in self.at])
             rows = list(map(self.at.__getitem__, found))
         total = self.table[rows].sum(axis=0, dtype=np.float64)
         best = int(total.argmax())  # languages are in order, the first of equals wins
@@ -117,36 +133,41 @@ def _bounded_sample(labelled: DataFrame, rows: int) -> DataFrame:
 def fit(labelled: DataFrame, train_docs: int = TRAIN_DOCS, n_words: int = WORDS, n_grams: int = GRAMS) -> Model:
     """labelled: text and lang, neither null."""
     sample = _bounded_sample(labelled.select("text", "lang"), train_docs)
-    counted = sample.select("lang", F.explode(words(F.col("text"))).alias("w")).groupBy("w", "lang").agg(F.count("*").alias("n")).persist()
+    counted = sample.mapInArrow(_tally, "gram boolean, w string, lang string, n long").groupBy("gram", "w", "lang").agg(F.sum("n").alias("n")).persist()
     languages = sorted(r["lang"] for r in counted.select("lang").distinct().limit(LANGUAGES).collect())
-    at = {lang: i for i, lang in enumerate(languages)}
-    totals = [0] * len(languages)
-    for r in counted.groupBy("lang").agg(F.sum("n").alias("n")).collect():
-        if r["lang"] in at:
-            totals[at[r["lang"]]] = r["n"]
+    totals, sums = [0] * len(languages), {n: [0] * len(languages) for n in range(1, LONGEST + 1)}
+    size = F.when(F.col("gram"), F.length("w")).otherwise(0)
+    for r in counted.groupBy(size.alias("size"), "lang").agg(F.sum("n").alias("n")).collect():
+        if r["lang"] in languages:
+            (sums[r["size"]] if r["size"] else totals)[languages.index(r["lang"])] = r["n"]
 
-    def table(counts: DataFrame, most: int) -> dict[str, list[int]]:
+    def table(gram: bool, most: int) -> dict[str, list[int]]:
         """The most frequent, by language; `most` rows come to the driver."""
-        rows = counts.groupBy("w").agg(F.sum("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
+        rows = counted.where(F.col("gram") == gram).groupBy("w").agg(F.sum("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
         rows = rows.orderBy(F.desc("n"), "w").limit(most).select("w", "by").collect()
         return {r["w"]: [r["by"].get(lang, 0) for lang in languages] for r in rows}
 
-    known = table(counted, n_words)
-    marked = F.concat(F.lit("^"), "w", F.lit("$"))
-    pieces = F.flatten(F.array(*[F.transform(F.sequence(F.lit(1), F.greatest(F.length(marked) - (n - 1), F.lit(1))), _cut(marked, n)) for n in range(1, LONGEST + 1)]))
-    grams = counted.select("lang", "n", F.explode(pieces).alias("w")).groupBy("w", "lang").agg(F.sum("n").alias("n")).persist()
-    sums = {n: [0] * len(languages) for n in range(1, LONGEST + 1)}
-    for r in grams.groupBy(F.length("w").alias("k"), "lang").agg(F.sum("n").alias("n")).collect():
-        if r["lang"] in at and r["k"] in sums:
-            sums[r["k"]][at[r["lang"]]] = r["n"]
-    model = Model(languages, known, totals, table(grams, n_grams), sums)
+    model = Model(languages, table(False, n_words), totals, table(True, n_grams), sums)
     counted.unpersist()
-    grams.unpersist()
     return model
 
 
-def _cut(marked: Column, n: int):
-    return lambda i: marked.substr(i, F.lit(n))
+def _tally(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words of a task and, counted with them, their n-grams, by language."""
+    by_lang: dict[str, Counter] = {}
+    for batch in batches:
+        for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            by_lang.setdefault(lang, Counter()).update(_WORD.findall(text.lower()))
+    for lang, words in by_lang.items():
+        grams: Counter = Counter()
+        for word, n in words.items():
+            marked = f"^{word}$"
+            for k in range(1, LONGEST + 1):
+                for gram in _pieces(marked, k):
+                    grams[gram] += n
+        for gram, counts in ((False, words), (True, grams)):
+            names = list(counts)
+            yield pa.RecordBatch.from_arrays([pa.array([gram] * len(names)), pa.array(names, pa.string()), pa.array([lang] * len(names), pa.string()), pa.array([counts[w] for w in names], pa.int64())], names=["gram", "w", "lang", "n"])
 
 
 def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -154,7 +175,8 @@ def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "te
     shared = docs.sparkSession.sparkContext.broadcast(model)  # WORDS + GRAMS rows
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value)
+        model = shared.value  # one object in a worker, whatever the number of tasks
+        model.scorer = scorer = model.scorer or Scorer(model)
         for batch in batches:
             found = [scorer.predict(t.as_py()) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], names=[key, "lang_pred", "score"])
