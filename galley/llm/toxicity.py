@@ -8,10 +8,12 @@ exception phrase (two words that are found in clean texts only), and divided by
 words; a logistic curve turns this density into a score from 0 to 1.
 
 Learning, on a bounded sample of labelled rows (TRAIN_DOCS, by a hash of doc_id; near copies,
-texts with the same smallest 5-word shingle hash, count once): entries are candidates when they
-occur in toxic texts at more than ODDS times the rate of clean ones; a greedy cover then takes,
-one by one, the candidate that explains most toxic texts not yet explained, so that words that
-merely keep company with an entry stay out. Weights are log odds.
+texts with the same smallest 5-word shingle hash, count once): an entry's rate is its mean share
+of the words of a text. Entries are candidates if their rate in toxic texts is more than ODDS times
+that in clean ones. A greedy cover takes, one by one, the candidate that explains most toxic texts
+not yet explained (at least one of DENSE words is its match), so that words that merely keep company
+with an entry stay out; candidates that many toxic texts and next to no clean ones hold are taken
+too. Weights are the logarithms of the ratios of rates.
 
 Defined cases: null and empty texts have density 0 and get the curve's lowest score. Without
 labels of both kinds every score is 0. Repeated rows are scored one by one; labels that repeat or
@@ -34,9 +36,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TRAIN_DOCS = 12_000
-CANDIDATES, ENTRIES, EXCEPTIONS = 5_000, 1_000, 1_000
-ODDS = 8.0
-STEMS = (4, 5, 6)
+FEATURES, CANDIDATES, ENTRIES, EXCEPTIONS = 150_000, 5_000, 1_000, 1_000
+ODDS, PURE_ODDS, PURE_TEXTS = 8.0, 40.0, 6
+DENSE = 200
+STEMS = range(4, 10)
 
 #: Letters of other scripts that look like Latin ones.
 _LOOKS = {
@@ -65,14 +68,15 @@ def fold(text: str | None) -> str:
     return f" {_OTHER.sub(' ', text).strip()} ".replace("  ", " ")
 
 
-def features(folded: str) -> set[str]:
-    """Whole words (` word `) and beginnings of words (` stem`)."""
-    found = set()
-    for w in set(folded.split()):
-        if w.isdigit():
-            continue
-        found.add(f" {w} ")
-        found |= {f" {w[:n]}" for n in STEMS if len(w) >= n}
+def features(folded: str) -> dict[str, float]:
+    """Whole words (` word `) and beginnings of words (` stem`) with their share of the words."""
+    words = Counter(folded.split())
+    each = 1 / max(1, sum(words.values()))
+    found: dict[str, float] = {}
+    for w, n in words.items():
+        if not w.isdigit():
+            for f in (f" {w} ", *(f" {w[:k]}" for k in STEMS if len(w) >= k)):
+                found[f] = found.get(f, 0.0) + n * each
     return found
 
 
@@ -130,16 +134,29 @@ def _sample(labelled: DataFrame, rows: int) -> DataFrame:
     return kept.withColumn("w", w).withColumn("sketch", sketch).groupBy("sketch", "toxic").agg(F.min("text").alias("text")).select("text", "toxic")
 
 
-def _tally(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(feature, toxic texts, clean texts) of a task."""
-    seen: tuple[Counter, Counter] = (Counter(), Counter())
-    for batch in batches:
-        for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            seen[int(toxic)].update(features(fold(text)))
-    names = list(seen[0].keys() | seen[1].keys())
-    for i in range(0, len(names), 50_000):
-        own = names[i : i + 50_000]
-        yield pa.RecordBatch.from_arrays([pa.array(own, pa.string()), pa.array([seen[1][x] for x in own], pa.int64()), pa.array([seen[0][x] for x in own], pa.int64())], names=["f", "bad", "good"])
+def _tally(known):
+    """A function for mapInArrow: (feature, texts, sum of shares in millionths) of a task, of all features or those of `known`."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, shares = Counter(), Counter()
+
+        def rows() -> pa.RecordBatch:
+            names = list(texts)
+            return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([texts[f] for f in names], pa.int64()), pa.array([shares[f] for f in names], pa.int64())], names=["f", "texts", "shares"])
+
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                for f, share in features(fold(text)).items():
+                    if known is None or f in known.value:
+                        texts[f] += 1
+                        shares[f] += round(share * 1e6)
+                if len(texts) > 200_000:
+                    yield rows()
+                    texts.clear()
+                    shares.clear()
+        yield rows()
+
+    return run
 
 
 def _cover(texts: list[list[str]], weights: dict[str, float], least: int) -> dict[str, float]:
@@ -150,7 +167,9 @@ def _cover(texts: list[list[str]], weights: dict[str, float], least: int) -> dic
             holders.setdefault(f, set()).add(i)
     open_, out = set(range(len(texts))), {}
     while holders and len(out) < ENTRIES:
-        best = max(sorted(holders), key=lambda f: (len(holders[f] & open_) * weights[f], f.endswith(" ")))
+        gain = {f: len(own & open_) * weights[f] for f, own in holders.items()}
+        most = max(gain.values())
+        best = max((f for f in gain if gain[f] >= 0.97 * most), key=lambda f: (f.endswith(" "), len(f), f))  # of near equals the narrowest
         if len(holders[best] & open_) < least:
             break
         out[best] = weights[best]
@@ -179,20 +198,36 @@ def fit(labelled: DataFrame, train_docs: int = TRAIN_DOCS) -> Lexicon:
     if not bad or not good:
         sample.unpersist()
         return Lexicon({})
-    tally = sample.mapInArrow(_tally, "f string, bad long, good long").groupBy("f").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
-    least = 2 if bad < 200 else 3
-    odds = F.log((F.col("bad") + 0.5) / (bad + 1.0)) - F.log((F.col("good") + 0.5) / (good + 1.0))
-    rows = tally.withColumn("odds", odds).where((F.col("bad") >= least) & (F.col("odds") > math.log(ODDS)))
-    rows = rows.orderBy(F.desc(F.col("bad") * F.col("odds")), "f").limit(CANDIDATES).collect()
-    weights = {r["f"]: float(r["odds"]) for r in rows}
-    shared = sample.sparkSession.sparkContext.broadcast(set(weights))  # CANDIDATES strings
+    sc = sample.sparkSession.sparkContext
+    least = 2 if bad < 100 else 3
+    tally = "f string, texts long, shares long"
+    sums = [F.sum("texts").alias("texts"), F.sum("shares").alias("shares")]
+    toxic, clean = (sample.where(F.col("toxic") == k).select("text") for k in (1, 0))
+    held = toxic.mapInArrow(_tally(None), tally).groupBy("f").agg(*sums).where(F.col("texts") >= least).orderBy(F.desc("shares"), "f").limit(FEATURES).collect()
+    known = sc.broadcast({r["f"] for r in held})  # FEATURES strings
+    other = {r["f"]: r for r in clean.mapInArrow(_tally(known), tally).groupBy("f").agg(*sums).collect()}  # FEATURES rows
+    odds, pure = {}, set()
+    for r in held:
+        o = other.get(r["f"])
+        ratio = ((r["shares"] + 2500) / (bad + 1)) / (((o["shares"] if o else 0) + 2500) / (good + 1))
+        if ratio > ODDS:
+            odds[r["f"]] = math.log(ratio)
+            if ratio > PURE_ODDS and r["texts"] >= PURE_TEXTS and 50 * (o["texts"] if o else 0) <= r["texts"]:
+                pure.add(r["f"])
+    weights = dict(sorted(odds.items(), key=lambda x: (-x[1], x[0]))[:CANDIDATES]) if len(odds) > CANDIDATES else odds
+    shared = sc.broadcast(set(weights))
 
     def candidates(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([sorted(features(fold(t)) & shared.value) for t in batch.column(0).to_pylist()], pa.list_(pa.string()))], names=["f"])
-
-    toxic = sample.where("toxic = 1").select("text").mapInArrow(candidates, "f array<string>").collect()  # TRAIN_DOCS rows at most
-    lexicon = Lexicon(_cover([r["f"] for r in toxic], weights, least))
+            found = [sorted(f for f, share in features(fold(t)).items() if share * DENSE >= 1 and f in shared.value) for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.string()))], names=["f"])
+
+    texts = [r["f"] for r in toxic.mapInArrow(candidates, "f array<string>").collect()]  # TRAIN_DOCS rows at most
+    entries = _cover(texts, weights, least)
+    for f in sorted(pure & weights.keys(), key=lambda f: (-len(f), f)):
+        if not any(f.startswith(e) or e.startswith(f) for e in entries):
+            entries[f] = weights[f]
+    lexicon = Lexicon(entries)
     lexicon.exceptions = _exceptions(sample, lexicon)
     points = sample.select(F.col("toxic").cast("long").alias("doc_id"), "text").mapInArrow(_scoring(sample.sparkSession, lexicon, "doc_id", "density"), "doc_id long, density double").collect()
     lexicon.slope, lexicon.offset = _logistic(np.array([p["density"] for p in points]), np.array([p["doc_id"] for p in points], float))
