@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -31,10 +32,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-GIANT, CHUNK, BLOCK = 48_000, 16_000, 256
+from galley.session import cut_lineage
+
+GIANT, CHUNK, BLOCK = 100_000, 32_000, 256
 #: A boundary moves to the next end of a word within so many characters.
 SNAP = 256
-MEMO = 400_000
+MEMO = 250_000
 MARK = "▁"
 _UNITS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 _NEXT = re.compile(f"(?<=[^{MARK}])(?={MARK})")
@@ -113,7 +116,9 @@ class Codec:
         #: Units can be encoded one by one, and the scan applies.
         self.splits = facts["kind"] == 2 and facts["name"] == b"identity" and not facts["squeeze"] and not any(MARK in p.lstrip(MARK) for p in self.pieces)
         self.bytes = [bytes([int(p[3:5], 16)]) if self.whole.is_byte(i) else b"" if self.whole.is_control(i) else p.replace(MARK, " ").encode() for i, p in enumerate(names)]
-        self.memo: dict[str, list[int]] = {}
+        self.memo: dict[str, tuple[int, ...]] = {}
+        self.after: dict[str, tuple[int, ...]] = {}  # of units without the mark before them
+        self.body: tuple = ()
         self.pairs: dict[tuple[str, str], bool] = {}
 
     def marked(self, text: str) -> str:
@@ -121,34 +126,29 @@ class Codec:
         text = text.replace(" ", MARK)
         return MARK + text if self.prefix and text else text
 
-    def _known(self, units: list[str]) -> None:
-        unseen = [u for u in set(units) if u not in self.memo]
+    def _known(self, memo: dict[str, tuple[int, ...]], units: Iterable[str], before: str) -> None:
+        units = set(units)
+        unseen = [u for u in units if u not in memo]
         if unseen:
-            if len(self.memo) + len(unseen) > MEMO:
-                self.memo.clear()
-                unseen = list(set(units))
-            self.memo.update(zip(unseen, self.bare.encode(unseen, num_threads=1)))
+            if len(memo) + len(unseen) > MEMO:
+                memo.clear()
+                unseen = list(units)
+            memo.update(zip(unseen, map(tuple, self.bare.encode([before + u for u in unseen], num_threads=1))))
 
     def encode_marked(self, marked: str) -> list[int]:
         units = _UNITS.findall(marked)
-        self._known(units)
-        out: list[int] = []
-        for u in units:
-            out += self.memo[u]
-        return out
+        self._known(self.memo, units, "")
+        return list(chain.from_iterable(map(self.memo.__getitem__, units)))
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         if not self.splits:
             return self.whole.encode(texts, num_threads=1)
-        split = [_UNITS.findall(self.marked(t)) for t in texts]
-        self._known([u for units in split for u in units])
-        memo, out = self.memo, []
-        for units in split:
-            ids: list[int] = []
-            for u in units:
-                ids += memo[u]
-            out.append(ids)
-        return out
+        out: list[list[int] | None] = [None] * len(texts)
+        plain = {i: t.split(" ") for i, t in enumerate(texts) if self.prefix and t and t[0] != " " and "  " not in t and MARK not in t}
+        self._known(self.after, chain.from_iterable(plain.values()), MARK)
+        for i, units in plain.items():
+            out[i] = list(chain.from_iterable(map(self.after.__getitem__, units)))
+        return [self.encode_marked(self.marked(t)) if x is None else x for t, x in zip(texts, out)]
 
     def decode(self, ids: Iterable[int]) -> str:
         text = b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")
@@ -183,10 +183,21 @@ class Codec:
             return text[0] if first else text[-1]
         return self.whole.id_to_piece(i)
 
-    def path(self, text: str, start: tuple[int, int] | None, end: tuple[int, int] | None) -> list[int] | None:
+    def _span(self, text: str, a: int, b: int, near: int) -> list[int]:
+        """The ids of text[a:b]; up to the last unit that begins before `near` they are remembered for the next call."""
+        at = text.rfind(MARK, a + 1, max(a + 1, min(near, b)))
+        while at > a and text[at - 1] == MARK:
+            at -= 1
+        if at <= a:
+            return self.encode_marked(text[a:b])
+        if self.body[:1] != ((text, a, at),):
+            self.body = ((text, a, at), self.encode_marked(text[a:at]))
+        return self.body[1] + self.encode_marked(text[at:b])
+
+    def path(self, text: str, start: tuple[int, int] | None, end: tuple[int, int] | None, near: int = 0) -> list[int] | None:
         """The ids behind state `start` up to and with state `end`, or None if no path is allowed.
 
-        None as a state: the text's begin or end.
+        None as a state: the text's begin or end. near: a place before all states of the end.
         """
         a = start[1] if start else 0
         b = end[0] if end else len(text)
@@ -194,7 +205,7 @@ class Codec:
             return []
         if a > b:
             return None
-        ids = self.encode_marked(text[a:b]) if b > a else []
+        ids = self._span(text, a, b, near) if b > a else []
         left = text[start[0] : start[1]] if start else None
         right = text[end[0] : end[1]] if end else None
         if not ids:
@@ -237,7 +248,7 @@ def transfer(own: Codec, text: str, begin: int, end: int, n: int) -> tuple[list,
     holds all that states can reach. begin, end: in `text`; n: 0 for the first chunk, -1 for the last, else 1."""
     starts = [None] if n == 0 else own.states(text, begin)
     ends = [None] if n == -1 else own.states(text, end)
-    matrix = np.array([[0.0 if own.path(text, s, e) is not None else -np.inf for e in ends] for s in starts])
+    matrix = np.array([[0.0 if own.path(text, s, e, end - own.longest) is not None else -np.inf for e in ends] for s in starts])
     return starts, ends, matrix
 
 
@@ -313,7 +324,8 @@ def _encode_giants(texts: DataFrame, path: str, chunk: int, block: int) -> DataF
             yield pd.DataFrame(rows, columns=["key", "no", "ids"])
 
     cut_up = texts.mapInPandas(cut, _CHUNK).repartition(F.col("key"), F.col("no"))  # a document's chunks go to many tasks
-    each = cut_up.mapInPandas(matrices, _MATRIX)
+    cut_up = cut_lineage(cut_up)
+    each = cut_lineage(cut_up.mapInPandas(matrices, _MATRIX))
     blocks = each.groupBy("key", "block").applyInPandas(folded, _MATRIX)
     ends = "key string, no int, first int, last int"
     whole = blocks.withColumns({"first": F.lit(0), "last": F.lit(0)}).groupBy("key").applyInPandas(traced, ends)
@@ -326,7 +338,7 @@ def _encode_giants(texts: DataFrame, path: str, chunk: int, block: int) -> DataF
 
 def _lists(found: list[list[int] | None]) -> pa.Array:
     sizes = np.array([len(x) if x is not None else 0 for x in found])
-    flat = np.fromiter((i for x in found if x for i in x), np.int32, int(sizes.sum()))
+    flat = np.fromiter(chain.from_iterable(x for x in found if x), np.int32, int(sizes.sum()))
     offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32(), mask=np.array([*(x is None for x in found), False]))
     return pa.ListArray.from_arrays(offsets, pa.array(flat))
 
