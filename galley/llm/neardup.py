@@ -13,8 +13,16 @@ connected documents form a component. The steps:
 3. Lists are merged without expanding them into pairs: in each list all entries are paired with
    one, the most central (its coordinates are in the longest lists, as an original's among its
    edited copies). Pairs with enough collisions are confirmed on the full sets.
-4. What the links connect needs no more test. Only in lists that still hold entries of different
-   components are the pairs across components counted and confirmed, so nothing is capped.
+4. What the links connect needs no more test. In lists that still hold entries of different
+   components, every entry is described by its difference from the list's central one: the number
+   r of shingles it lacks, the shingles N (n of them) it has beyond. With t = percent / 100 and the
+   central set of size s, an entry y that is not linked with the centre has a gap
+   g = r + t n - (1 - t) s > 0, and from the definition of the link between a and y follows
+   (1 + t) (|N_a & N_y| + lacked by both) >= g_y + r_a + t n_a. As they can lack no more in common
+   than a lacks, they share new shingles, at least g_y / (1 + t) if n_a >= r_a; so such pairs are
+   found by an inverted join on new shingles, rarest first, in which independent edits do not meet.
+   Pairs that can be linked without sharing any, where a mostly lacks, obey the inequality with
+   |N_a & N_y| = 0 and are found by it. Nothing is capped, and no list is expanded into its pairs.
 
 Defined cases: null, empty or wordless text: empty set, linked with nothing. Fewer words than the
 width: the whole sequence is the one shingle. Repeated rows and rows that share a doc_id are one
@@ -133,6 +141,54 @@ def _confirmed(width: int, percent: int):
     return run
 
 
+def _differences(width: int):
+    """(o, id, s, r, new): what the second text of a row lacks and has beyond the first."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, own = None, None
+        for batch in batches:
+            sizes, lacks, new = [], [], []
+            for s, t in zip(batch.column(2), batch.column(3)):
+                s, t = s.as_py(), t.as_py()
+                if own is None or s != last:
+                    last, own = s, shingles(s, width)
+                other = shingles(t, width)
+                beyond = np.setdiff1d(other, own, assume_unique=True)
+                sizes.append(len(own))
+                lacks.append(len(own) - (len(other) - len(beyond)))
+                new.append(beyond.view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(lacks, pa.int64()), pa.array(new, pa.list_(pa.int64()))], names=["o", "id", "s", "r", "new"])
+
+    return run
+
+
+def _across(rows: DataFrame, open_: DataFrame, width: int, percent: int) -> DataFrame:
+    """(a, b), a < b: pairs of different components in one open list that can be linked.
+
+    open_: (o, id, label), the entries of open lists with the lists' central entries.
+    """
+    pairs = cut_lineage(open_.where("id <> o").select(F.col("o").alias("a"), F.col("id").alias("b")).distinct())
+    texts = _texts(rows, pairs)
+    both = pairs.join(texts.toDF("b", "tb"), "b").join(texts.toDF("a", "ta"), "a").select(F.col("a").alias("o"), F.col("b").alias("id"), "ta", "tb")
+    delta = both.mapInArrow(_differences(width), "o long, id long, s long, r long, new array<long>")
+    gap = 100 * F.col("r") + percent * F.size("new") - (100 - percent) * F.col("s")
+    delta = delta.withColumns({"n": F.size("new").cast("long"), "g": gap}).join(open_.select("o", "id", "label").distinct(), ["o", "id"])
+    delta = cut_lineage(delta)
+    posts = delta.select("o", "id", F.explode("new").alias("shingle"))
+    shared = posts.groupBy("o", "shingle").agg(F.count("*").alias("c")).where("c > 1")
+    own = posts.join(shared, ["o", "shingle"]).groupBy("o", "id").agg(F.sort_array(F.collect_list(F.struct("c", "shingle"))).alias("l"))  # a text's shingles
+    needed = F.ceil(F.col("g") / (100 + percent))  # new shingles that a partner which lacks no more than it adds must share
+    own = own.join(delta.drop("new"), ["o", "id"]).select("o", "id", "label", "r", "n", "g", (F.size("l") - needed + 1).alias("rare"), F.posexplode("l").alias("at", "x"))
+    own = own.select("o", F.col("x.shingle").alias("shingle"), "id", "label", "r", "n", "g", (F.col("at") >= F.col("rare")).alias("deep"))
+    y = own.where("g > 0").select("o", "shingle", F.col("id").alias("y"), F.col("label").alias("ly"), "deep")
+    a = own.select("o", "shingle", F.col("id").alias("x"), F.col("label").alias("lx"), (F.col("n") < F.col("r")).alias("lacking"))
+    first = y.join(a, ["o", "shingle"]).where("lx <> ly AND (NOT deep OR lacking)").select("x", "y")
+    y = delta.where("g > 0").select("o", F.col("id").alias("y"), F.col("label").alias("ly"), F.col("r").alias("ry"), "g")
+    a = delta.where("r > n").select("o", F.col("id").alias("x"), F.col("label").alias("lx"), F.col("r").alias("rx"), (100 * F.col("r") + percent * F.col("n")).alias("weight"))
+    second = y.join(a, "o").where((F.col("lx") != F.col("ly")) & ((100 + percent) * F.least("rx", "ry") >= F.col("g") + F.col("weight"))).select("x", "y")
+    return first.union(second).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
 def _texts(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """(id, text) of the documents in `pairs`."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
@@ -173,10 +229,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     label = components(links)
     placed = entries.join(label, "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"))
     mixed = placed.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("key")
-    open_ = cut_lineage(placed.join(mixed, "key"))
-    across = open_.toDF("key", "a", "la").join(open_.toDF("key", "b", "lb"), "key").where("la < lb").select("a", "b").distinct()
-    tested = star.select(F.col("a"), F.col("b")).union(star.select(F.col("b"), F.col("a")))
-    more = _links(rows, classes, cut_lineage(across.join(tested, ["a", "b"], "left_anti")), width, percent)
+    open_ = cut_lineage(placed.join(mixed, "key").join(centre, "key").select(F.col("a").alias("o"), "id", "label").distinct())
+    more = _links(rows, classes, cut_lineage(_across(rows, open_, width, percent)), width, percent)
     if not more.isEmpty():
         label = components(label.toDF("a", "b").union(more))
 
