@@ -30,6 +30,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from galley.session import cut_lineage
+
 #: Mean distance of possible cuts, the least, and the length at which a cut is forced, in bytes.
 MEAN, LEAST, MOST = 40, 16, 512
 #: A cut moves to the next word if that begins within so many bytes.
@@ -77,12 +79,9 @@ def chunks(text: str) -> tuple[bytes, np.ndarray, list[int]]:
 
 def _pairs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        digests, docs = [], []
-        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            own = set(chunks(text.as_py())[2])
-            digests.extend(own)
-            docs.extend([doc] * len(own))
-        yield pa.RecordBatch.from_arrays([pa.array(digests, pa.int64()), pa.array(docs, pa.int64())], names=["digest", "id"])
+        own = [np.unique(np.array(chunks(text.as_py())[2], np.int64)) for text in batch.column(1)]
+        docs = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), [len(x) for x in own])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(own) if own else docs), pa.array(docs)], names=["digest", "id"])
 
 
 def remove_runs(text: str, owned: set[int], min_words: int) -> tuple[str, list[dict]]:
@@ -127,7 +126,7 @@ def dedup_substrings(docs: DataFrame, key: str = "doc_id", text: str = "text", m
     each in code points of the text as it was) and `removed_chars`."""
     docs = docs.select(*[c for c in docs.columns if c not in ("repeats", "removed_chars")])
     usable = docs.where(F.col(key).isNotNull() & (F.length(text) > 0)).select(F.col(key).cast("long"), text)
-    pairs = usable.mapInArrow(_pairs, "digest long, id long")
+    pairs = cut_lineage(usable.mapInArrow(_pairs, "digest long, id long"))  # 16 bytes for about 50 of text, chunked once
     shared = pairs.groupBy("digest").agg(F.min("id").alias("owner"), F.max("id").alias("last")).where("owner < last").select("digest", "owner")
     owned = pairs.join(shared, "digest").where("id > owner").groupBy("id").agg(F.collect_set("digest").alias("__owned"))  # as many as the text has chunks
     both = docs.join(owned.withColumnRenamed("id", "__id"), F.col(key).cast("long") == F.col("__id"), "left").select(*docs.columns, "__owned")
