@@ -1,14 +1,22 @@
-"""Substring dedup by content-defined chunking.
+"""Substring dedup: exact by windows of words (dedup_passages), or by content-defined chunks.
 
-A gear hash rolls over the last 16 bytes of a text; where it falls under a threshold the text may
+dedup_passages removes every word of a document that stands in a run of MIN_WORDS words which a
+document of smaller doc_id holds too, white space apart: each shared passage to its true ends,
+whichever and however many documents hold its parts. Words are what white space divides. Of each
+run of MIN_WORDS words one shorter run is selected by the words alone (winnowing), so two documents
+that share the long run share the selected one. Only long runs whose selected run stands in two
+documents are hashed and shuffled, as (digest, doc_id); the smallest doc_id of a digest owns it.
+
+dedup_substrings compares chunks alone and is quicker, but leaves the ends of passages and loses
+some of them. A gear hash rolls over the last 16 bytes of a text; where it falls under a threshold the text may
 be cut, at the next beginning of a word. Cuts depend on nearby bytes alone, so an insertion moves
 the chunks round it and no others. Chunks are compared by a 64-bit digest: of all documents that
 hold a chunk, the one with the smallest doc_id owns it. In every other document, runs of
 neighbouring chunks that smaller documents own are removed if they hold at least MIN_WORDS words.
-(A passage of over 50 words loses up to about a chunk at each end, where it shares one with its
+(Up to about a chunk stays at each end of a passage, where it shares one with its
 surroundings; a run needs several equal digests in a row, so a chance collision removes nothing.)
 
-Only (digest, doc_id) pairs are shuffled, each once for a document: first into the smallest and
+In both only (digest, doc_id) pairs are shuffled, each once for a document: first into the smallest and
 largest doc_id of each digest, combined before the shuffle, then against the digests that two
 documents share. A digest with a third of all rows is one row for each task in the first step
 and a skewed but splittable join key in the second.
@@ -30,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from galley.session import cut_lineage
+from galley.session import cut_and_free, cut_lineage
 
 #: Mean distance of possible cuts, the least, and the length at which a cut is forced, in bytes.
 MEAN, LEAST, MOST = 40, 16, 512
@@ -102,6 +110,7 @@ def remove_runs(text: str, owned: set[int], min_words: int) -> tuple[str, list[d
 
 
 _SPANS = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))
+_REPEATS = T.ArrayType(T.StructType([T.StructField("begin", T.IntegerType()), T.StructField("end", T.IntegerType())]))
 
 
 def _removing(at: int, names: list[str], min_words: int):
@@ -130,12 +139,147 @@ def dedup_substrings(docs: DataFrame, key: str = "doc_id", text: str = "text", m
     shared = pairs.groupBy("digest").agg(F.min("id").alias("owner"), F.max("id").alias("last")).where("owner < last").select("digest", "owner")
     owned = pairs.join(shared, "digest").where("id > owner").groupBy("id").agg(F.collect_set("digest").alias("__owned"))  # as many as the text has chunks
     both = docs.join(owned.withColumnRenamed("id", "__id"), F.col(key).cast("long") == F.col("__id"), "left").select(*docs.columns, "__owned")
-    spans = T.ArrayType(T.StructType([T.StructField("begin", T.IntegerType()), T.StructField("end", T.IntegerType())]))
-    schema = T.StructType([*(T.StructField(f.name, f.dataType) for f in docs.schema), T.StructField("repeats", spans), T.StructField("removed_chars", T.LongType())])
+    schema = T.StructType([*(T.StructField(f.name, f.dataType) for f in docs.schema), T.StructField("repeats", _REPEATS), T.StructField("removed_chars", T.LongType())])
     return both.mapInArrow(_removing(docs.columns.index(text), schema.names, min_words), schema)
 
 
+#: Words of a run that is selected from each run of min_words, if that is longer.
+SEED = 10
+#: Digests in a row of the tables between the steps.
+ROW = 1 << 16
+
+_MIX = np.random.Generator(np.random.PCG64(7)).integers(1, 1 << 63, 256, dtype=np.uint64)
+_STEP, _BACK = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+
+
+def _powers(base: np.uint64, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+_SHORT = 1 << 15
+_UP, _DOWN = _powers(_STEP, _SHORT), _powers(_BACK, _SHORT)
+
+
+def _sums(values: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Mixed polynomial hashes of values[begin:end] modulo 2**64."""
+    n = len(values) + 1
+    up, down = (_UP[:n], _DOWN[:n]) if n <= _SHORT else (_powers(_STEP, n), _powers(_BACK, n))
+    total = np.zeros(n, np.uint64)
+    np.cumsum(values * up[:-1], out=total[1:])
+    h = (total[ends] - total[begins]) * down[begins]
+    for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+        h = (h ^ (h >> np.uint64(32))) * np.uint64(factor)
+    return h ^ (h >> np.uint64(29))
+
+
+def runs(text: str, min_words: int) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes, where words begin, the digest of each run of min_words words, that of the run selected from it)."""
+    raw = text.encode("utf-8", "surrogatepass")
+    data = np.frombuffer(raw, np.uint8)
+    edge = np.flatnonzero(np.diff(~_SPACE[data], prepend=False, append=False))
+    begins, ends = edge[::2], edge[1::2]
+    n = len(begins) - min_words + 1
+    if n < 1:
+        return raw, begins, np.zeros(0, np.int64), np.zeros(0, np.int64)
+    words = _sums(_MIX[data], begins, ends)
+    at = np.arange(len(begins))
+    k = min(SEED, min_words)
+    seeds = _sums(words, at[: len(at) - k + 1], at[k - 1 :] + 1)
+    least = np.lib.stride_tricks.sliding_window_view(seeds, min_words - k + 1).min(axis=1)
+    return raw, begins, _sums(words, at[:n], at[:n] + min_words).view(np.int64), least.view(np.int64)
+
+
+def remove_windows(text: str, owned: np.ndarray, min_words: int) -> tuple[str, list[dict]]:
+    """The text without the words in runs of min_words whose digest is in `owned`, and the spans as code point offsets."""
+    raw, begins, digests, _ = runs(text, min_words)
+    change = np.zeros(len(begins) + 1, np.int64)
+    hit = np.flatnonzero(np.isin(digests, owned))
+    change[hit] += 1
+    change[hit + min_words] -= 1
+    edge = np.flatnonzero(np.diff(np.cumsum(change) > 0, prepend=False))
+    places = np.append(begins, len(raw))
+    points = np.append(0, np.cumsum((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80))
+    kept, spans, end = [], [], 0
+    for a, b in zip(places[edge[::2]].tolist(), places[edge[1::2]].tolist()):
+        kept.append(raw[end:a])
+        spans.append({"begin": int(points[a]), "end": int(points[b])})
+        end = b
+    kept.append(raw[end:])
+    return b"".join(kept).decode("utf-8", "surrogatepass"), spans
+
+
+def _rows(found: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
+    parts = [(i, d[j : j + ROW]) for i, d in found for j in range(0, len(d), ROW)]
+    offsets = np.cumsum([0, *(len(d) for _, d in parts)]).astype(np.int32)
+    values = np.concatenate([np.zeros(0, np.int64), *(d for _, d in parts)])
+    lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int64()))
+    return pa.RecordBatch.from_arrays([pa.array([i for i, _ in parts], pa.int64()), lists], names=["id", "digests"])
+
+
+def _selected(min_words: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield _rows([(i.as_py(), np.unique(runs(t.as_py(), min_words)[3])) for i, t in zip(*batch.columns)])
+
+    return run
+
+
+def _candidates(min_words: int):
+    """Runs of min_words words whose selected run is in the third column."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for i, t, shared in zip(*batch.columns):
+                if shared.is_valid and t.is_valid:
+                    _, _, digests, least = runs(t.as_py(), min_words)
+                    found.append((i.as_py(), np.unique(digests[np.isin(least, shared.values.to_numpy())])))
+            yield _rows(found)
+
+    return run
+
+
+def _removing_windows(at: int, names: list[str], min_words: int):
+    """For rows with the text in column `at` and the owned digests in the last one."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns, last = list(batch.columns[:-1]), batch.columns[-1]
+            texts, spans = columns[at].to_pylist(), [[] for _ in range(len(batch))]
+            for i, owned in enumerate(last):
+                if owned.is_valid and texts[i]:
+                    texts[i], spans[i] = remove_windows(texts[i], owned.values.to_numpy(), min_words)
+            columns[at] = pa.array(texts, pa.string())
+            removed = pa.array([sum(s["end"] - s["begin"] for s in x) for x in spans], pa.int64())
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(spans, _SPANS), removed], names=names)
+
+    return run
+
+
+def _shared(rows: DataFrame, first: str) -> DataFrame:
+    """(id, __digests): those digests of (id, digests) that two ids hold, for the ids that satisfy `first`."""
+    pairs = rows.select(F.explode("digests").alias("digest"), "id")
+    shared = pairs.groupBy("digest").agg(F.min("id").alias("owner"), F.max("id").alias("last")).where("owner < last").select("digest", "owner")
+    return pairs.join(shared, "digest").where(first).groupBy(F.col("id").alias("__id")).agg(F.collect_set("digest").alias("__digests"))
+
+
+def dedup_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+    """`docs` without the words in runs of at least `min_words` words that a document of smaller key
+    holds, `repeats` (begin and end of each in code points of the text as it was) and `removed_chars`."""
+    docs = docs.select(*[c for c in docs.columns if c not in ("repeats", "removed_chars")])
+    own = F.col(key).cast("long")
+    usable = docs.where(F.col(key).isNotNull() & (F.length(text) > 0)).select(own, text)
+    selected = cut_and_free(usable.mapInArrow(_selected(min_words), "id long, digests array<long>"))
+    both = docs.join(_shared(selected, "true"), own == F.col("__id"), "left").select(own, text, "__digests")
+    windows = cut_and_free(both.mapInArrow(_candidates(min_words), "id long, digests array<long>"))
+    both = docs.join(_shared(windows, "id > owner"), own == F.col("__id"), "left").select(*docs.columns, "__digests")
+    schema = T.StructType([*(T.StructField(f.name, f.dataType) for f in docs.schema), T.StructField("repeats", _REPEATS), T.StructField("removed_chars", T.LongType())])
+    return both.mapInArrow(_removing_windows(docs.columns.index(text), schema.names, min_words), schema)
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    out = dedup_substrings(docs)
+    out = dedup_passages(docs)
     return out.select("doc_id", (F.col("removed_chars") > 0).alias("repeated"), "removed_chars", "repeats", "text")

@@ -75,5 +75,16 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+def cut_and_free(df: DataFrame) -> DataFrame:
+    """As cut_lineage; the shuffle files behind the checkpoint go at once, not with the driver's next garbage."""
+    conf, free = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(free)
+    conf.set(free, "true")
+    try:
+        return cut_lineage(df.select("*"))
+    finally:
+        conf.set(free, before)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

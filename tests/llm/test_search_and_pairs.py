@@ -173,6 +173,59 @@ def test_chunks_survive_insertions():
         assert "".join(raw[i:j].decode() for i, j in zip(at, at[1:])) == odd
 
 
+def brute_passages(rows, n):
+    """Texts without every word in a run of n words that a smaller doc_id holds, word by word."""
+    held = {}
+    for i, t in rows:
+        w = (t or "").split()
+        for j in range(len(w) - n + 1) if i is not None else ():
+            held[tuple(w[j : j + n])] = min(i, held.get(tuple(w[j : j + n]), i))
+    out = []
+    for i, t in rows:
+        w = (t or "").split()
+        gone = {x for j in range(len(w) - n + 1) if i is not None and held[tuple(w[j : j + n])] < i for x in range(j, j + n)}
+        out.append((str(i), [x for j, x in enumerate(w) if j not in gone]))
+    return sorted(out)
+
+
+def test_passages_go_to_their_true_ends(spark, docs):
+    """Short passages in random places, one inside another, in one document twice and with other white space."""
+    rnd = random.Random(11)
+    word = lambda: "".join(rnd.choice("abcdefghijé") for _ in range(rnd.randint(2, 14)))
+    rows = []
+    for n in range(120):
+        p = [word() for _ in range([19, 20, 21, 51, 60, 80][n % 6])]
+        for copy, gap in enumerate((" ", "\n", "  ")):
+            inner = p[5:40] if copy == 1 and n % 3 == 0 else p
+            rows.append((len(rows), " ".join(word() for _ in range(rnd.randint(0, 30))) + " " + gap.join(inner * (1 + copy // 2)) + " " + " ".join(word() for _ in range(rnd.randint(0, 30)))))
+    rows += [(5000 + r.doc_id if r.doc_id is not None else None, r.text) for r in docs.collect()]
+    rnd.shuffle(rows)
+    got = chunk_dedup.dedup_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    assert sorted((str(r.doc_id), (r.text or "").split()) for r in got) == brute_passages(rows, chunk_dedup.MIN_WORDS)
+    texts = {}
+    for i, t in rows:
+        texts.setdefault(i, []).append(t)
+    for r in got:
+        if r.removed_chars:
+            assert any(r.text == "".join(t[a:b] for a, b in zip([0, *(s.end for s in r.repeats)], [*(s.begin for s in r.repeats), len(t)])) for t in texts[r.doc_id] if t)
+
+
+def test_the_query_removes_whole_passages(spark, tmp_path):
+    rnd = random.Random(12)
+    words = lambda n: [f"w{rnd.randint(0, 99999)}" for _ in range(n)]
+    passages = [" ".join(words(51)) for _ in range(40)]
+    ends = [" ".join(words(30)) for _ in range(40)]
+    rows = [(2 * n + side, (e if side else " ".join(words(30))) + " " + p) for n, (p, e) in enumerate(zip(passages, ends)) for side in (0, 1)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.text.split() for r in chunk_dedup.op3_substring_dedup(spark, str(tmp_path)).collect()}
+    assert [got[2 * n + 1] for n in range(40)] == [e.split() for e in ends]
+    assert all(got[2 * n] == rows[2 * n][1].split() for n in range(40))
+
+
+def test_passages_of_nothing(spark, nothing):
+    assert chunk_dedup.dedup_passages(nothing).collect() == []
+
+
 def test_substring_dedup_of_nothing(spark, nothing):
     assert chunk_dedup.dedup_substrings(nothing).collect() == []
 
