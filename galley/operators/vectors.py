@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from galley.functions.content import strip_html
 from galley.functions.names import strip
+from galley.session import cut_lineage
 
 # The defaults of the embedding step.
 BATCH_SIZE, MAX_CHARS = 64, 5000
@@ -94,6 +95,28 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_id",
     few = queries.select(F.col(key).alias("q"), F.col(vector).alias("v")).limit(most_queries + 1).collect()
     if len(few) > most_queries:
         raise ValueError(f"over {most_queries} queries at once")
+    return _nearest(vectors, few, k, key, vector)
+
+
+def nearest_in_blocks(vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", vector: str = "embedding", block: int = 2_000) -> DataFrame:
+    """As nearest(), for any number of queries: hashed blocks of about `block` are searched one after another.
+
+    Queries without id or vector have no neighbours.
+    """
+    spark = vectors.sparkSession
+    queries = queries.where(F.col(key).isNotNull() & F.col(vector).isNotNull()).select(F.col(key).alias("q"), F.col(vector).alias("v"))
+    blocks = -(-queries.count() // block)
+    out = spark.createDataFrame([], "query_id long, rank int, vec_id long, distance double")
+    for b in range(blocks):
+        own = queries.where(F.pmod(F.xxhash64("q"), F.lit(blocks)) == b).collect()
+        if own:
+            found = _nearest(vectors, own, k, key, vector)
+            out = out.union(cut_lineage(found) if blocks > 1 else found)  # k rows for each query
+    return out
+
+
+def _nearest(vectors: DataFrame, few: list, k: int, key: str, vector: str) -> DataFrame:
+    """The nearest of the queries `few`, rows of q and v."""
     names = np.array([r["q"] for r in few])
     matrix = np.array([r["v"] for r in few], np.float64).reshape(len(few), -1)
     shared = vectors.sparkSession.sparkContext.broadcast((names, matrix))

@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from galley import queries
 from galley.operators import articles, authors, bylines, keys, similar, slugs, vectors
 
 ROW = "ord long, id long, display_name string, first_name string, last_name string, email string, login string"
@@ -205,6 +206,23 @@ def test_nearest(spark):
         vectors.nearest(df, df, 1, most_queries=5)
 
 
+def test_nearest_in_blocks(spark):
+    rnd = random.Random(3)
+    rows = [(i, [float(rnd.randint(0, 3)) for _ in range(3)]) for i in range(40)] + [(99, None)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    want = sorted((q, n + 1, i, round(d, 9)) for q, w in rows[:-1] for n, (d, i) in enumerate(sorted((sum((x - y) ** 2 for x, y in zip(v, w)) ** 0.5, i) for i, v in rows[:-1] if i != q)[:4]))
+    for block in (7, 2_000):
+        got = vectors.nearest_in_blocks(df, df, 4, block=block).collect()
+        assert sorted((r.query_id, r.rank, r.vec_id, round(r.distance, 9)) for r in got) == want
+    assert vectors.nearest_in_blocks(df, df.where("vec_id < 0"), 4).collect() == []
+
+
+def test_the_nearest_query_takes_over_2000_queries(spark, tmp_path):
+    spark.range(41_000).selectExpr("id AS vec_id", "array(CAST(id AS float)) AS embedding").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = queries.QUERIES["k4_nearest"](spark, str(tmp_path)).where("rank = 1").collect()
+    assert sorted((r.query_id, r.vec_id) for r in got) == [(q, q - 1 if q else 1) for q in range(0, 41_000, 20)]
+
+
 def test_prune_banned(spark):
     guests = people(spark, (1, "Desk", None, None, None, None), (2, "Ann", None, None, None, None), (3, None, None, None, None, None))
     got = authors.prune_banned(guests, people(spark, (9, "the desk", None, None, None, None), (8, "desk!", None, None, None, None)), spark.createDataFrame([("DESK",), ("Ann",)], "display_name string"))
