@@ -8,7 +8,7 @@ connected documents form a component. The steps:
    digest are a class; its smallest doc_id represents it, whatever the number of copies.
 2. Class representatives are posted under each (coordinate, value). Lists with one entry can join
    nothing. A linked pair agrees in at least MATCHES coordinates (or is lost with a probability
-   below 5e-5 at a similarity of 0.8, and less above), so by the prefix principle it shares one
+   below 5e-6 at a similarity of 0.8, and less above), so by the prefix principle it shares one
    of the K - MATCHES + 1 rarest coordinates of each; only these stay posted.
 3. Lists are merged without expanding them into pairs: in each list all entries are paired with
    one, the most central (its coordinates are in the longest lists, as an original's among its
@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from galley.llm.components import components
 from galley.session import cut_lineage
 
-K, MATCHES = 64, 39
+K, MATCHES = 64, 36
 #: Ids whose texts are looked up by a broadcast of the ids; above, by a shuffle join.
 BROADCAST_IDS = 300_000
 #: Words whose hashes a worker remembers.

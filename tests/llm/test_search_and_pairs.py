@@ -110,6 +110,12 @@ def test_signatures_estimate_similarity():
     assert 0.4 < agree < 0.8  # 0.6 is expected
 
 
+def test_pairs_at_the_limit_are_lost_as_rarely_as_said():
+    """Fewer than MATCHES of K coordinates agree with a probability below 5e-6 at a similarity of 0.8."""
+    lost = sum(math.comb(neardup.K, i) * 0.8**i * 0.2 ** (neardup.K - i) for i in range(neardup.MATCHES))
+    assert lost < 5e-6
+
+
 def test_components(spark):
     rnd = random.Random(4)
     edges = [(rnd.randint(0, 150), rnd.randint(0, 150)) for _ in range(110)] + [(500 + i, 501 + i) for i in range(40)] + [(7, 7)]
