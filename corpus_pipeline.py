@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from galley.llm import chunk_dedup, mixing, neardup, quality, spm
+from galley.session import cut_lineage
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -48,9 +49,11 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of the whole texts."""
-    ids = spm.encode(docs.select("doc_id", "source", "lang", "text"))
-    return ids.select("doc_id", "source", "lang", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    """Token ids of the whole texts, and whether they decode to the texts, with spaces for space marks."""
+    ids = cut_lineage(spm.encode(docs.select("doc_id", "source", "lang", "text")))  # the same workers, with one model each, decode
+    out = spm.decode(ids)
+    trip = F.col("decoded") == F.translate("text", spm.MARK, " ")
+    return out.select("doc_id", "source", "lang", F.size("ids").cast("long").alias("n_tokens"), "ids", trip.alias("round_trip"))
 
 
 STAGES = [
@@ -58,7 +61,7 @@ STAGES = [
     ("MinHash near-dedup", near_dedup),
     ("substring dedup", substring_dedup),
     ("source mix", source_mix),
-    ("SentencePiece encoding", encoding),
+    ("SentencePiece encoding and decoding", encoding),
 ]
 
 #: Signatures, rolling hashes and tokens are beyond SQL; tests hold the stages against brute force.
@@ -67,8 +70,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on `documents`; the result of each but the last is written and read back through a checkpoint."""
-    from galley.session import cut_lineage
-
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = stage(spark, docs, sf_dir)

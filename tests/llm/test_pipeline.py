@@ -35,6 +35,13 @@ def test_stages_apply_their_operators(spark, docs):
     assert len(e) == d.count() and {(r.doc_id, tuple(r.ids)) for r in e} == want
 
 
+def test_the_last_stage_decodes_what_it_encoded(spark, docs):
+    own = docs.where("text IS NOT NULL").select(*corpus_pipeline.COLUMNS)
+    name, stage = corpus_pipeline.STAGES[-1]
+    got = stage(spark, own, SMALL).collect()
+    assert name == "SentencePiece encoding and decoding" and len(got) == own.count() and all(r.round_trip for r in got)
+
+
 def test_stages_of_nothing(spark, nothing):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, nothing, SMALL)
