@@ -23,8 +23,9 @@ and a skewed but splittable join key in the second.
 
 Defined cases: null and empty texts stay as they are. Rows without doc_id own nothing and stay.
 Rows with one doc_id are one document: nothing is removed for what only they share; repeats
-inside one document stay. A text may become empty; its row stays. Extra columns are kept;
-`repeats` and `removed_chars` replace columns of these names.
+inside one document stay. A text may become empty; its row stays. Very long texts are worked on
+whole. An empty table gives an empty result. The key must be an integer column. Extra columns are
+kept, whatever their names; `repeats` and `removed_chars` replace columns of these names.
 """
 
 from __future__ import annotations
@@ -38,6 +39,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from galley.llm import hashing
+from galley.llm.columns import fresh, integral
 from galley.session import cut_and_free, cut_lineage
 
 #: Mean distance of possible cuts, the least, and the length at which a cut is forced, in bytes.
@@ -47,8 +50,6 @@ REACH = 64
 MIN_WORDS = 20
 
 _GEAR = np.random.Generator(np.random.PCG64(20240229)).integers(0, 1 << 32, 256, dtype=np.uint32)
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
 def cuts(data: np.ndarray) -> np.ndarray:
@@ -61,7 +62,7 @@ def cuts(data: np.ndarray) -> np.ndarray:
         h[shift:] += h[:-shift] << np.uint32(shift)
     at = np.flatnonzero(h < np.uint32((1 << 32) // MEAN)) + 1
     at = at[np.diff(at, prepend=-LEAST) >= LEAST]
-    space = _SPACE[data]
+    space = hashing.SPACE[data]
     begins = np.flatnonzero(space[:-1] & ~space[1:]) + 1
     if len(begins) and len(at):
         word = np.append(begins, n)[np.searchsorted(begins, at)]
@@ -133,12 +134,14 @@ def _removing(at: int, names: list[str], min_words: int):
 def dedup_substrings(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """`docs` with passages removed that a document of smaller key holds, `repeats` (begin and end of
     each in code points of the text as it was) and `removed_chars`."""
+    integral(docs, key)
     docs = docs.select(*[c for c in docs.columns if c not in ("repeats", "removed_chars")])
+    own_id, own_digests = fresh(docs.columns, "id", "owned")
     usable = docs.where(F.col(key).isNotNull() & (F.length(text) > 0)).select(F.col(key).cast("long"), text)
     pairs = cut_lineage(usable.mapInArrow(_pairs, "digest long, id long"))  # 16 bytes for about 50 of text, chunked once
     shared = pairs.groupBy("digest").agg(F.min("id").alias("owner"), F.max("id").alias("last")).where("owner < last").select("digest", "owner")
-    owned = pairs.join(shared, "digest").where("id > owner").groupBy("id").agg(F.collect_set("digest").alias("__owned"))  # as many as the text has chunks
-    both = docs.join(owned.withColumnRenamed("id", "__id"), F.col(key).cast("long") == F.col("__id"), "left").select(*docs.columns, "__owned")
+    owned = pairs.join(shared, "digest").where("id > owner").groupBy("id").agg(F.collect_set("digest").alias("owned"))  # as many as the text has chunks
+    both = docs.join(owned.toDF(own_id, own_digests), F.col(key).cast("long") == F.col(own_id), "left").select(*docs.columns, own_digests)
     schema = T.StructType([*(T.StructField(f.name, f.dataType) for f in docs.schema), T.StructField("repeats", _REPEATS), T.StructField("removed_chars", T.LongType())])
     return both.mapInArrow(_removing(docs.columns.index(text), schema.names, min_words), schema)
 
@@ -148,47 +151,18 @@ SEED = 10
 #: Digests in a row of the tables between the steps.
 ROW = 1 << 16
 
-_MIX = np.random.Generator(np.random.PCG64(7)).integers(1, 1 << 63, 256, dtype=np.uint64)
-_STEP, _BACK = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-
-
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[:1] = 1
-    return np.cumprod(out, dtype=np.uint64)
-
-
-_SHORT = 1 << 15
-_UP, _DOWN = _powers(_STEP, _SHORT), _powers(_BACK, _SHORT)
-
-
-def _sums(values: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Mixed polynomial hashes of values[begin:end] modulo 2**64."""
-    n = len(values) + 1
-    up, down = (_UP[:n], _DOWN[:n]) if n <= _SHORT else (_powers(_STEP, n), _powers(_BACK, n))
-    total = np.zeros(n, np.uint64)
-    np.cumsum(values * up[:-1], out=total[1:])
-    h = (total[ends] - total[begins]) * down[begins]
-    for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
-        h = (h ^ (h >> np.uint64(32))) * np.uint64(factor)
-    return h ^ (h >> np.uint64(29))
-
-
 def runs(text: str, min_words: int) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
     """(bytes, where words begin, the digest of each run of min_words words, that of the run selected from it)."""
     raw = text.encode("utf-8", "surrogatepass")
-    data = np.frombuffer(raw, np.uint8)
-    edge = np.flatnonzero(np.diff(~_SPACE[data], prepend=False, append=False))
-    begins, ends = edge[::2], edge[1::2]
+    words, begins = hashing.words(np.frombuffer(raw, np.uint8))
     n = len(begins) - min_words + 1
     if n < 1:
         return raw, begins, np.zeros(0, np.int64), np.zeros(0, np.int64)
-    words = _sums(_MIX[data], begins, ends)
     at = np.arange(len(begins))
     k = min(SEED, min_words)
-    seeds = _sums(words, at[: len(at) - k + 1], at[k - 1 :] + 1)
+    seeds = hashing.sums(words, at[: len(at) - k + 1], at[k - 1 :] + 1)
     least = np.lib.stride_tricks.sliding_window_view(seeds, min_words - k + 1).min(axis=1)
-    return raw, begins, _sums(words, at[:n], at[:n] + min_words).view(np.int64), least.view(np.int64)
+    return raw, begins, hashing.sums(words, at[:n], at[:n] + min_words).view(np.int64), least.view(np.int64)
 
 
 def remove_windows(text: str, owned: np.ndarray, min_words: int) -> tuple[str, list[dict]]:
@@ -259,22 +233,23 @@ def _removing_windows(at: int, names: list[str], min_words: int):
 
 
 def _shared(rows: DataFrame, first: str) -> DataFrame:
-    """(id, __digests): those digests of (id, digests) that two ids hold, for the ids that satisfy `first`."""
+    """(id, digests): those digests of (id, digests) that two ids hold, for the ids that satisfy `first`."""
     pairs = rows.select(F.explode("digests").alias("digest"), "id")
     shared = pairs.groupBy("digest").agg(F.min("id").alias("owner"), F.max("id").alias("last")).where("owner < last").select("digest", "owner")
-    return pairs.join(shared, "digest").where(first).groupBy(F.col("id").alias("__id")).agg(F.collect_set("digest").alias("__digests"))
+    return pairs.join(shared, "digest").where(first).groupBy("id").agg(F.collect_set("digest").alias("digests"))
 
 
 def dedup_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """`docs` without the words in runs of at least `min_words` words that a document of smaller key
     holds, `repeats` (begin and end of each in code points of the text as it was) and `removed_chars`."""
+    integral(docs, key)
     docs = docs.select(*[c for c in docs.columns if c not in ("repeats", "removed_chars")])
-    own = F.col(key).cast("long")
+    own, (own_id, own_digests) = F.col(key).cast("long"), fresh(docs.columns, "id", "digests")
     usable = docs.where(F.col(key).isNotNull() & (F.length(text) > 0)).select(own, text)
     selected = cut_and_free(usable.mapInArrow(_selected(min_words), "id long, digests array<long>"))
-    both = docs.join(_shared(selected, "true"), own == F.col("__id"), "left").select(own, text, "__digests")
+    both = docs.join(_shared(selected, "true").toDF(own_id, own_digests), own == F.col(own_id), "left").select(own, text, own_digests)
     windows = cut_and_free(both.mapInArrow(_candidates(min_words), "id long, digests array<long>"))
-    both = docs.join(_shared(windows, "id > owner"), own == F.col("__id"), "left").select(*docs.columns, "__digests")
+    both = docs.join(_shared(windows, "id > owner").toDF(own_id, own_digests), own == F.col(own_id), "left").select(*docs.columns, own_digests)
     schema = T.StructType([*(T.StructField(f.name, f.dataType) for f in docs.schema), T.StructField("repeats", _REPEATS), T.StructField("removed_chars", T.LongType())])
     return both.mapInArrow(_removing_windows(docs.columns.index(text), schema.names, min_words), schema)
 

@@ -16,22 +16,22 @@ def components(links: DataFrame) -> DataFrame:
     """links: (a, b), long. Returns (id, label) of every linked id: the smallest id of its component.
 
     Both steps take a minimum over neighbours by a map-side-combined aggregate and join it back,
-    so a hub is never gathered in one task. Each round is checkpointed; rounds grow with the
+    so a hub is never gathered in one task. Each round is checkpointed once; rounds grow with the
     logarithm of the number of nodes.
     """
     edges = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     edges = cut_lineage(edges)
     before = _signature(edges)
-    while True:
+    while before[0]:
         both = edges.union(edges.select("v", "u"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        large = cut_lineage(large)
+        large = both.join(least, "u").where("v > u AND v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = cut_lineage(small.union(least.select("u", F.col("m").alias("v"))).distinct())
         after = _signature(edges)
         if after == before:
-            roots = edges.select(F.col("v").alias("id"), F.col("v").alias("label")).distinct()
-            return edges.select(F.col("u").alias("id"), F.col("v").alias("label")).union(roots)
+            break
         before = after
+    roots = edges.select(F.col("v").alias("id"), F.col("v").alias("label")).distinct()
+    return edges.select(F.col("u").alias("id"), F.col("v").alias("label")).union(roots)

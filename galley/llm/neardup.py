@@ -12,23 +12,31 @@ connected documents form a component. The steps:
    of the K - MATCHES + 1 rarest coordinates of each; only these stay posted.
 3. Lists are merged without expanding them into pairs: in each list all entries are paired with
    one, the most central (its coordinates are in the longest lists, as an original's among its
-   edited copies). Pairs with enough collisions are confirmed on the full sets.
+   edited copies). Collisions of a pair are counted over all K coordinates; pairs with enough of
+   them are confirmed on the full sets.
 4. What the links connect needs no more test. In lists that still hold entries of different
-   components, every entry is described by its difference from the list's central one: the number
-   r of shingles it lacks, the shingles N (n of them) it has beyond. With t = percent / 100 and the
-   central set of size s, an entry y that is not linked with the centre has a gap
-   g = r + t n - (1 - t) s > 0, and from the definition of the link between a and y follows
-   (1 + t) (|N_a & N_y| + lacked by both) >= g_y + r_a + t n_a. As they can lack no more in common
-   than a lacks, they share new shingles, at least g_y / (1 + t) if n_a >= r_a; so such pairs are
-   found by an inverted join on new shingles, rarest first, in which independent edits do not meet.
-   Pairs that can be linked without sharing any, where a mostly lacks, obey the inequality with
-   |N_a & N_y| = 0 and are found by it. Nothing is capped, and no list is expanded into its pairs.
+   components, every entry is described by its difference from the list's central one, a set of s
+   shingles: the r shingles that it lacks and the n that it has beyond, together its features F.
+   With the weight w = 100 r + percent n and the gap g = w - (100 - percent) s, an entry is linked
+   with the central one if g <= 0, and two entries a and y are linked, by the definition, if
+   (100 + percent) |F_a & F_y| >= w_a + w_y - (100 - percent) s. So if y is not linked with the
+   central one, they share at least g_y / (100 + percent) features, and more than w_a / (100 +
+   percent); each is posted under its rarest features only, as many as that demands. Independent
+   edits of one text do not meet in these lists.
+5. A list of features is not expanded either: its entries are paired with a few of them (PIVOTS,
+   twice as many in each further round), links are confirmed by the formula above, components are
+   joined, entries that have been pivots go, lists within one component are done. Nothing is
+   capped: the rounds end when no list is left.
+
+What is hot is spread: a key with over a thousandth of the rows of a join is salted (`spread`),
+and pairs carry ids, never texts; sets of shingles are joined to them by id.
 
 Defined cases: null, empty or wordless text: empty set, linked with nothing. Fewer words than the
 width: the whole sequence is the one shingle. Repeated rows and rows that share a doc_id are one
 document. Rows without doc_id are linked with nothing, component_id null, kept true. An empty
-table gives an empty result. Words are runs of bytes other than 0x20 and 0x09-0x0D, A-Z in lower
-case.
+table gives an empty result. Very long texts are hashed block by block, whole. Words are runs of
+bytes other than 0x20 and 0x09-0x0D, A-Z in lower case. The key must be an integer column. Other
+columns are not returned, whatever their names.
 """
 
 from __future__ import annotations
@@ -38,17 +46,19 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from galley.llm import hashing
+from galley.llm.columns import integral
 from galley.llm.components import components
 from galley.session import cut_lineage
 
 K, MATCHES = 64, 36
-#: Ids whose texts are looked up by a broadcast of the ids; above, by a shuffle join.
-BROADCAST_IDS = 300_000
-#: Words whose hashes a worker remembers.
-MEMO = 400_000
+#: Entries of a list that the others are paired with in the first round.
+PIVOTS = 4
+#: Rows of a key, at least, that are spread over several tasks, and the share of all rows.
+HOT_ROWS, HOT_SHARE = 4096, 1000
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -65,150 +75,169 @@ def _stream(seed: int, n: int) -> np.ndarray:
         return _mix((np.arange(1, n + 1, dtype=np.uint64) + np.uint64(seed)) * np.uint64(0x9E3779B97F4A7C15))
 
 
-_A, _B = _stream(1 << 20, K) | np.uint64(1), _stream(1 << 21, K)
+_A, _B = (_stream(1 << 20, K) | np.uint64(1))[:, None], _stream(1 << 21, K)[:, None]
 _PLACES = _stream(1 << 22, 64) | np.uint64(1)
 
 
-class _Memo(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= MEMO:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
-_memo = _Memo()
-
-
-def shingles(text: str | None, width: int) -> np.ndarray:
-    """Sorted distinct hashes of the text's shingles."""
-    words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
-    if not words:
+def shingles(words: np.ndarray, width: int) -> np.ndarray:
+    """Sorted distinct hashes of the shingles of a sequence of word hashes."""
+    if not len(words):
         return np.zeros(0, np.uint64)
-    w = np.fromiter(map(_memo.__getitem__, words), np.uint64, len(words))
-    n = max(1, len(w) - width + 1)
-    total = np.full(n, min(len(w), width), np.uint64)
-    for i in range(min(width, len(w))):
-        total += w[i : i + n] * _PLACES[i % 64]
-    return np.unique(_mix(total))
+    n = max(1, len(words) - width + 1)
+    total = np.full(n, min(len(words), width), np.uint64)
+    for i in range(min(width, len(words))):
+        total += words[i : i + n] * _PLACES[i % 64]
+    total = np.sort(_mix(total))
+    return total[np.append(True, total[1:] != total[:-1])]
 
 
 def signature(own: np.ndarray) -> np.ndarray:
     """K minima, each mixed and cut to 32 bits."""
     low = np.full(K, np.iinfo(np.uint64).max, np.uint64)
-    for i in range(0, len(own), 4096):
-        low = np.minimum(low, (own[i : i + 4096, None] * _A + _B).min(axis=0))
+    for i in range(0, len(own), 2048):
+        each = _A * own[i : i + 2048]
+        each += _B
+        low = np.minimum(low, each.min(axis=1))
     return _mix(low).astype(np.uint32).view(np.int32)
 
 
+def _lists(arrays: list[np.ndarray], kind: type) -> pa.ListArray:
+    offsets = np.cumsum([0, *map(len, arrays)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, kind), *arrays])))
+
+
 def _signed(width: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, high, low, sigs = [], [], [], []
-            for text in batch.column(1):
-                own = shingles(text.as_py(), width)
+            for words in hashing.of_texts(batch.column(1), lower=True):
+                own = shingles(words, width)
                 n.append(len(own))
                 digest = xxhash.xxh3_128_intdigest(own.tobytes())
                 high.append((digest >> 64) - (1 << 63))
                 low.append((digest & ((1 << 64) - 1)) - (1 << 63))
-                sigs.append(signature(own) if len(own) else None)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(high, pa.int64()), pa.array(low, pa.int64()), pa.array(sigs, pa.list_(pa.int32()))],
-                names=["id", "n_shingles", "high", "low", "sig"],
-            )
-
-    return run
-
-
-def _confirmed(width: int, percent: int):
-    """Keeps the pairs whose full sets are similar enough."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, own = None, None
-        for batch in batches:
-            left, right = [], []
-            for a, b, s, t in zip(*(batch.column(i) for i in range(4))):
-                s, t = s.as_py(), t.as_py()
-                if own is None or s != last:
-                    last, own = s, shingles(s, width)
-                other = shingles(t, width)
-                both = len(np.intersect1d(own, other, assume_unique=True))
-                if 100 * both >= percent * (len(own) + len(other) - both):
-                    left.append(a.as_py())
-                    right.append(b.as_py())
-            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+                sigs.append(signature(own) if len(own) else np.zeros(0, np.int32))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(high, pa.int64()), pa.array(low, pa.int64()), _lists(sigs, np.int32)], names=["id", "n_shingles", "high", "low", "sig"])
 
     return run
 
 
-def _differences(width: int):
-    """(o, id, s, r, new): what the second text of a row lacks and has beyond the first."""
+def _sets(rows: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
+    """(id, s): the sets of the documents in `pairs`."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, own = None, None
         for batch in batches:
-            sizes, lacks, new = [], [], []
-            for s, t in zip(batch.column(2), batch.column(3)):
-                s, t = s.as_py(), t.as_py()
-                if own is None or s != last:
-                    last, own = s, shingles(s, width)
-                other = shingles(t, width)
-                beyond = np.setdiff1d(other, own, assume_unique=True)
-                sizes.append(len(own))
-                lacks.append(len(own) - (len(other) - len(beyond)))
-                new.append(beyond.view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(lacks, pa.int64()), pa.array(new, pa.list_(pa.int64()))], names=["o", "id", "s", "r", "new"])
+            found = [shingles(words, width).view(np.int64) for words in hashing.of_texts(batch.column(1), lower=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), _lists(found, np.int64)], names=["id", "s"])
 
-    return run
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    return cut_lineage(rows.join(ids, "id", "left_semi").mapInArrow(run, "id long, s array<long>"))
 
 
-def _across(rows: DataFrame, open_: DataFrame, width: int, percent: int) -> DataFrame:
-    """(a, b), a < b: pairs of different components in one open list that can be linked.
+def spread(big: DataFrame, small: DataFrame, on: str, by: Column, counts: DataFrame | None = None) -> DataFrame:
+    """`big` joined with `small`, in which a value of `on` has few rows; `by` deals the rows of a hot value out.
 
-    open_: (o, id, label), the entries of open lists with the lists' central entries.
+    Hot are values with over HOT_ROWS rows and a share of over one in HOT_SHARE; so there are at most HOT_SHARE of
+    them, which are broadcast, and `small` repeats their rows HOT_SHARE times more in all at most.
+    big: read several times, so best a checkpoint. counts: (on, n) of all values with several rows, if they are known.
     """
-    pairs = cut_lineage(open_.where("id <> o").select(F.col("o").alias("a"), F.col("id").alias("b")).distinct())
-    texts = _texts(rows, pairs)
-    both = pairs.join(texts.toDF("b", "tb"), "b").join(texts.toDF("a", "ta"), "a").select(F.col("a").alias("o"), F.col("b").alias("id"), "ta", "tb")
-    delta = both.mapInArrow(_differences(width), "o long, id long, s long, r long, new array<long>")
-    gap = 100 * F.col("r") + percent * F.size("new") - (100 - percent) * F.col("s")
-    delta = delta.withColumns({"n": F.size("new").cast("long"), "g": gap}).join(open_.select("o", "id", "label").distinct(), ["o", "id"])
-    delta = cut_lineage(delta)
-    posts = delta.select("o", "id", F.explode("new").alias("shingle"))
-    shared = posts.groupBy("o", "shingle").agg(F.count("*").alias("c")).where("c > 1")
-    own = posts.join(shared, ["o", "shingle"]).groupBy("o", "id").agg(F.sort_array(F.collect_list(F.struct("c", "shingle"))).alias("l"))  # a text's shingles
-    needed = F.ceil(F.col("g") / (100 + percent))  # new shingles that a partner which lacks no more than it adds must share
-    own = own.join(delta.drop("new"), ["o", "id"]).select("o", "id", "label", "r", "n", "g", (F.size("l") - needed + 1).alias("rare"), F.posexplode("l").alias("at", "x"))
-    own = own.select("o", F.col("x.shingle").alias("shingle"), "id", "label", "r", "n", "g", (F.col("at") >= F.col("rare")).alias("deep"))
-    y = own.where("g > 0").select("o", "shingle", F.col("id").alias("y"), F.col("label").alias("ly"), "deep")
-    a = own.select("o", "shingle", F.col("id").alias("x"), F.col("label").alias("lx"), (F.col("n") < F.col("r")).alias("lacking"))
-    first = y.join(a, ["o", "shingle"]).where("lx <> ly AND (NOT deep OR lacking)").select("x", "y")
-    y = delta.where("g > 0").select("o", F.col("id").alias("y"), F.col("label").alias("ly"), F.col("r").alias("ry"), "g")
-    a = delta.where("r > n").select("o", F.col("id").alias("x"), F.col("label").alias("lx"), F.col("r").alias("rx"), (100 * F.col("r") + percent * F.col("n")).alias("weight"))
-    second = y.join(a, "o").where((F.col("lx") != F.col("ly")) & ((100 + percent) * F.least("rx", "ry") >= F.col("g") + F.col("weight"))).select("x", "y")
-    return first.union(second).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-
-
-def _texts(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(id, text) of the documents in `pairs`."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    return docs.join(ids, "id", "left_semi")
-
-
-def _links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
+    if counts is None:
+        counts = big.groupBy(on).agg(F.count("*").alias("n"))
+    top = counts.where(F.col("n") > HOT_ROWS).orderBy(F.desc("n")).limit(HOT_SHARE).collect()  # HOT_SHARE rows
+    least = max(HOT_ROWS, big.count() // HOT_SHARE) if top else 0
+    rows = [(r[on], -(-r["n"] // least)) for r in top if r["n"] > least]
+    if not rows:
+        return big.join(small, on)
+    hot = F.broadcast(big.sparkSession.createDataFrame(rows, f"{on} long, _salts int"))  # HOT_SHARE rows
+    dealt = big.join(hot, on, "left").withColumn("_salt", F.coalesce(F.pmod(F.xxhash64(by), F.col("_salts")), F.lit(0)).cast("int")).drop("_salts")
+    copied = small.join(hot, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))).drop("_salts")
+    return dealt.join(copied, [on, "_salt"]).drop("_salt")
+
+
+def _confirmed(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose full sets are similar enough."""
+    own = cut_lineage(pairs.join(sets.toDF("b", "sb"), "b"))
+    both = spread(own, sets.toDF("a", "sa"), "a", F.col("b")).withColumn("i", F.size(F.array_intersect("sa", "sb")))
+    return both.where(100 * F.col("i") >= percent * (F.size("sa") + F.size("sb") - F.col("i"))).select("a", "b")
+
+
+def _links(rows: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs with enough collisions whose full sets are similar enough."""
     sigs = classes.select("id", "sig")
-    both = pairs.join(sigs.toDF("a", "sa"), "a").join(sigs.toDF("b", "sb"), "b")
+    own = cut_lineage(pairs.join(sigs.toDF("b", "sb"), "b"))
+    both = spread(own, sigs.toDF("a", "sa"), "a", F.col("b"))
     equal = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
     near = cut_lineage(both.where(equal >= MATCHES).select("a", "b"))
-    texts = _texts(docs, near)
-    both = near.join(texts.toDF("b", "tb"), "b").join(texts.toDF("a", "ta"), "a").select("a", "b", "ta", "tb")
-    return cut_lineage(both.mapInArrow(_confirmed(width, percent), "a long, b long"))
+    return cut_lineage(_confirmed(_sets(rows, near, width), near, percent))
+
+
+def _differences(rows: DataFrame, open_: DataFrame, width: int, percent: int) -> DataFrame:
+    """(o, lo, id, label, w, g, f): the difference of each entry of an open list from the list's central one.
+
+    open_: (o, lo, id, label), the entries of open lists with the lists' central entries and both components.
+    """
+    pairs = cut_lineage(open_.where("id <> o").select(F.col("o").alias("a"), "lo", F.col("id").alias("b"), "label"))
+    sets = _sets(rows, pairs, width)
+    own = cut_lineage(pairs.join(sets.toDF("b", "sb"), "b"))
+    both = spread(own, sets.toDF("a", "sa"), "a", F.col("b")).withColumns({"lacked": F.array_except("sa", "sb"), "new": F.array_except("sb", "sa")})
+    weight = 100 * F.size("lacked").cast("long") + percent * F.size("new")
+    other = F.transform("lacked", lambda x: F.bitwise_not(x))  # what is lacked is another feature than what is new
+    out = both.select(F.col("a").alias("o"), "lo", F.col("b").alias("id"), "label", weight.alias("w"), (weight - (100 - percent) * F.size("sa")).alias("g"), F.concat("new", other).alias("f"))
+    return cut_lineage(out)
+
+
+def _posted(delta: DataFrame, percent: int) -> DataFrame:
+    """(list, o, id, label, y, x): entries under their rarest features, as one not linked with the central entry (y), as its partner (x)."""
+    posts = delta.select("o", "id", F.explode("f").alias("feature"))
+    shared = posts.groupBy("o", "feature").agg(F.count("*").alias("c")).where("c > 1")
+    rare = posts.join(shared, ["o", "feature"]).groupBy("o", "id").agg(F.sort_array(F.collect_list(F.struct("c", "feature"))).alias("l"))  # a text's features
+    share = 100 + percent
+    needs = {"y": F.greatest(F.lit(1), F.ceil(F.col("g") / share)), "x": F.floor(F.col("w") / share) + 1}
+    own = rare.join(delta.select("o", "id", "label", "w", "g"), ["o", "id"]).withColumns({k: F.size("l") - v for k, v in needs.items()})
+    own = own.select("o", "id", "label", "g", "x", "y", F.posexplode("l").alias("at", "e"))
+    own = own.select(F.xxhash64("o", "e.feature").alias("list"), "o", "id", "label", ((F.col("g") > 0) & (F.col("at") <= F.col("y"))).alias("y"), (F.col("at") <= F.col("x")).alias("x"))
+    return own.where("x OR y")
+
+
+def _open(posted: DataFrame) -> DataFrame:
+    """The entries of lists in which a pair of different components is left."""
+    lists = posted.groupBy("list").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max("y").alias("some_y"), F.max("x").alias("some_x"))
+    lists = lists.where("low < high AND some_y AND some_x").select("list")
+    return cut_lineage(posted.join(lists, "list"))
+
+
+def _across(delta: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links between different components of open lists, enough of them to join all that are linked."""
+    found = delta.where("g <= 0 AND label <> lo").select(F.col("o").alias("a"), F.col("id").alias("b"))
+    facts, pivots = delta.select("o", "id", "w", "g", "f"), PIVOTS
+    posted = _open(_posted(delta, percent))
+    while not posted.isEmpty():
+        slot = F.pmod(F.xxhash64("id", F.lit(pivots)), F.lit(pivots))
+        best = posted.groupBy("list", slot).agg(F.max(F.struct("y", "x", "id", "label")).alias("p"))
+        of_list = cut_lineage(best.groupBy("list").agg(F.collect_list("p").alias("ps")))  # as many as there are pivots
+        met = spread(posted, of_list, "list", F.col("id")).withColumn("p", F.explode("ps"))
+        roles = (F.col("p.y") & F.col("x")) | (F.col("p.x") & F.col("y"))
+        tests = met.where(roles & (F.col("p.label") != F.col("label"))).select("o", F.col("p.id").alias("a"), F.col("id").alias("b")).distinct()
+        tests = tests.join(facts.select("o", F.col("id").alias("b"), F.col("g").alias("gb"), F.col("f").alias("fb")), ["o", "b"])
+        tests = cut_lineage(tests.withColumn("of", F.xxhash64("o", "a")))
+        mine = facts.select(F.xxhash64("o", "id").alias("of"), F.col("w").alias("wa"), F.col("f").alias("fa"))
+        shared = F.size(F.array_intersect("fa", "fb"))
+        new = spread(tests, mine, "of", F.col("b")).where((100 + percent) * shared >= F.col("wa") + F.col("gb"))
+        new = cut_lineage(new.select("a", "b").distinct())
+        rest = posted.join(of_list.select("list", F.explode("ps.id").alias("id")), ["list", "id"], "left_anti")
+        if not new.isEmpty():
+            found = found.union(new)
+            joined = posted.select("id", "label").distinct()
+            joined = new.join(joined.toDF("a", "la"), "a").join(joined.toDF("b", "lb"), "b").select(F.col("la").alias("a"), F.col("lb").alias("b"))
+            to = components(joined).select(F.col("id").alias("label"), F.col("label").alias("to"))
+            rest = rest.join(to, "label", "left").withColumn("label", F.coalesce("to", "label")).drop("to")
+        posted, pivots = _open(rest), 2 * pivots
+    return found
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """(key, n_shingles, component_id, kept) of every row."""
+    integral(docs, key)
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     signed = cut_lineage(rows.mapInArrow(_signed(width), "id long, n_shingles long, high long, low long, sig array<int>"))
     some = signed.where("n_shingles > 0 AND id IS NOT NULL")
@@ -216,21 +245,29 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
 
     coordinate = F.shiftleft(F.col("at").cast("long"), 32).bitwiseOR(F.col("value").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
     posted = classes.select("id", F.posexplode("sig").alias("at", "value")).select("id", coordinate.alias("key"))
-    shared = posted.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    own = posted.join(shared, "key").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("n", "key"))).alias("l"), F.sum("n").alias("central"))  # K entries at most
+    shared = cut_lineage(posted.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
+    own = spread(posted, shared, "key", F.col("id"), shared)
+    own = own.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("n", "key"))).alias("l"), F.sum("n").alias("central"))  # K entries at most
     prefix = F.slice("l", F.lit(1), F.greatest(F.lit(0), F.size("l") - MATCHES + 1))  # K - size(l) rarer ones stand alone
     entries = cut_lineage(own.select("id", "central", F.explode(prefix).alias("e")).select("id", "central", "e.key"))
 
     centre = entries.groupBy("key").agg(F.max(F.struct("central", -F.col("id"))).alias("c"), F.count("*").alias("n")).where("n > 1")
-    centre = centre.select("key", (-F.col("c.col2")).alias("a"))
-    star = cut_lineage(entries.join(centre, "key").where("id <> a").select("a", F.col("id").alias("b")).distinct())
+    centre = cut_lineage(centre.select("key", (-F.col("c.col2")).alias("a"), "n"))
+    star = spread(entries, centre.drop("n"), "key", F.col("id"), centre.select("key", "n"))
+    star = cut_lineage(star.where("id <> a").select("a", F.col("id").alias("b")).distinct())
     links = _links(rows, classes, star, width, percent)
 
     label = components(links)
-    placed = entries.join(label, "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"))
+    placed = cut_lineage(entries.join(label, "id", "left").select("key", "id", F.coalesce("label", "id").alias("label")))
     mixed = placed.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("key")
-    open_ = cut_lineage(placed.join(mixed, "key").join(centre, "key").select(F.col("a").alias("o"), "id", "label").distinct())
-    more = _links(rows, classes, cut_lineage(_across(rows, open_, width, percent)), width, percent)
+    central = centre.join(mixed, "key").select("key", F.col("a").alias("o"), "n")
+    central = central.join(label.toDF("o", "lo"), "o", "left").withColumn("lo", F.coalesce("lo", "o"))
+    open_ = cut_lineage(spread(placed, central.drop("n"), "key", F.col("id"), central.select("key", "n")).select("o", "lo", "id", "label").distinct())
+    twice = some.groupBy("id").agg(F.min(F.struct("high", "low")).alias("x"), F.max(F.struct("high", "low")).alias("y")).where("x <> y").select("id")  # one document, several texts
+    more = some.join(twice, "id", "left_semi").join(classes.select("high", "low", F.col("id").alias("b")), ["high", "low"]).select(F.col("id").alias("a"), "b")
+    if not open_.isEmpty():
+        more = more.union(_across(_differences(rows, open_, width, percent), percent))
+    more = cut_lineage(more.where("a <> b"))
     if not more.isEmpty():
         label = components(label.toDF("a", "b").union(more))
 

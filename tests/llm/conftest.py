@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id long, key string, sig string, size int, kept string, __at int"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id long, key string, sig string, size int, kept string, __at int, __id long, owned int, digests string, __key string, __size string, __rank int, __pattern string, __hits0 int, w int, n int"
 
 
 def words(rnd, n, vocabulary=400):
@@ -25,7 +25,7 @@ def corpus():
     texts += [texts[20], texts[20], texts[25].upper(), " ".join(origin), words(rnd, 30_000, 20_000)]
     rows = [(3 * i + 1, t, ["en", "de", None][i % 3], ["s1", "s2", "s3", None][min(3, i % 7)], 0) for i, t in enumerate(texts)]
     rows += [rows[20], (None, texts[20], "en", "s1", 0), (None, None, None, None, None)]
-    return [(*r, 5, "k", "s", 9, "no", 1) for r in rows]
+    return [(*r, 5, "k", "s", 9, "no", 1, 2, 3, "d", "k", "s", 4, "p", 6, 7, 8) for r in rows]
 
 
 @pytest.fixture(scope="session")

@@ -5,6 +5,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from galley.llm import chunk_dedup, components, neardup, topk
@@ -99,6 +100,51 @@ def test_similar_pairs_at_the_limit_are_found(spark):
     assert got == {i: (i // 2 * 2 if (i // 2) % 2 else i) for i in range(n)}
 
 
+def texts_round_a_template(rnd, kinds):
+    """Texts that share most of a template: cut short, with a footer that many share, with own filler."""
+    origin = [f"v{i}" for i in range(200)]
+    footer = [f"f{i}" for i in range(30)]
+    out = []
+    for n in range(kinds):
+        own = [f"o{n}_{i}" for i in range(rnd.randint(0, 70))]
+        kind = n % 4
+        text = origin[: rnd.randint(50, 200)] if kind == 0 else origin + own if kind == 1 else origin + footer + own if kind == 2 else origin[rnd.randint(0, 150) :] + own[:8]
+        out.append(" ".join(text))
+    return out
+
+
+def test_shortened_copies_and_common_footers_match_brute_force(spark):
+    for seed in range(2):
+        rnd = random.Random(seed)
+        rows = list(enumerate(texts_round_a_template(rnd, 160)))
+        rnd.shuffle(rows)
+        got = {r.doc_id: r.component_id for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), width=4).collect()}
+        assert got == brute_components(rows, 4, 80)
+
+
+def test_hot_keys_are_spread(spark, monkeypatch):
+    """With salts for every key of a few rows the result is the same."""
+    monkeypatch.setattr(neardup, "HOT_ROWS", 5)
+    rnd = random.Random(5)
+    rows = list(enumerate(texts_round_a_template(rnd, 80) + ["the same text of a few words"] * 30))
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), width=4).collect()}
+    assert got == brute_components(rows, 4, 80)
+
+
+def test_one_document_with_several_texts(spark):
+    a, b, c = (" ".join(f"{k}{i}" for i in range(40)) for k in "abc")
+    rows = [(5, a), (7, a), (7, b), (9, b), (9, c), (11, c), (20, "alone " + c[:40])]
+    got = {(r.doc_id, r.component_id) for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(5, 5), (7, 5), (9, 5), (11, 5), (20, 20)}
+
+
+def test_keys_must_be_integers(spark):
+    df = spark.createDataFrame([("x", "some text")], "doc_id string, text string")
+    for operator in (neardup.near_duplicates, chunk_dedup.dedup_passages, chunk_dedup.dedup_substrings):
+        with pytest.raises(TypeError, match="doc_id must be an integer column"):
+            operator(df)
+
+
 def test_near_duplicates_of_nothing(spark, nothing):
     assert neardup.near_duplicates(nothing).collect() == []
 
