@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from galley.functions.names import build_display_name, clean_author, clean_authors, holds_several, similarity_key, split_display_name, truthy
 from galley.operators.keys import dense_ids
@@ -64,8 +65,9 @@ def _either(a: Column, b: Column) -> Column:
 
 
 def _merged(a: Column, b: Column) -> Column:
-    """Two rows as one: the smaller id, fields of the first where it has them, first and last name
-    from one row that has both, if any: of two such the one with the smaller id."""
+    """Two rows as one. If one was decided on (the first, if both), its id and its fields where it has
+    them. Else the smaller id, fields of the first where it has them, first and last name from one
+    row that has both, if any: of two such the one with the smaller id."""
 
     def full(x: Column) -> Column:
         return truthy(x["first_name"]).isNotNull() & truthy(x["last_name"]).isNotNull()
@@ -77,14 +79,23 @@ def _merged(a: Column, b: Column) -> Column:
         own = F.when(first, a[field]).otherwise(b[field])
         return F.when(some, own).otherwise(truthy(_either(a[field], b[field])))
 
-    return F.struct(
-        F.least(a["id"], b["id"]).alias("id"),
-        _either(a["display_name"], b["display_name"]).alias("display_name"),
-        name("first_name").alias("first_name"),
-        name("last_name").alias("last_name"),
-        _either(a["email"], b["email"]).alias("email"),
-        _either(a["login"], b["login"]).alias("login"),
-    )
+    plain = {
+        "id": F.least(a["id"], b["id"]),
+        "display_name": _either(a["display_name"], b["display_name"]),
+        "first_name": name("first_name"),
+        "last_name": name("last_name"),
+        "email": _either(a["email"], b["email"]),
+        "login": _either(a["login"], b["login"]),
+    }
+
+    def decided(x: Column, y: Column, field: str) -> Column:
+        if field == "id":
+            return x["id"]
+        both = _either(x[field], y[field])
+        return truthy(both) if field in ("first_name", "last_name") else both
+
+    fields = [F.when(a["decided"], decided(a, b, f)).when(b["decided"], decided(b, a, f)).otherwise(plain[f]).alias(f) for f in FIELDS]
+    return F.struct(*fields, (a["decided"] | b["decided"]).alias("decided"))
 
 
 def fold(members: Column) -> Column:
@@ -93,13 +104,15 @@ def fold(members: Column) -> Column:
     return F.aggregate(F.slice(ordered, F.lit(2), F.size(ordered)), F.get(ordered, F.lit(0)), _merged)
 
 
-def resolve(rows: DataFrame, banned: DataFrame | None = None, merge: float = MERGE, flag: float = FLAG) -> tuple[DataFrame, DataFrame, DataFrame]:
+def resolve(rows: DataFrame, banned: DataFrame | None = None, merge: float = MERGE, flag: float = FLAG, decided: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(rows, disputes, changes) after one pass of greedy merging.
 
     In order, each row that is still there takes in all later rows whose keys are at least `merge`
     alike and flags those from `flag` up. Untouched rows keep their place, merged ones follow, banned
-    ones (no display name, or one of `banned`'s) come last. disputes: (left, right) rows;
-    changes: (ord, old, new) of the rows taken in.
+    ones (no display name, or one of `banned`'s) come last. decided: (id) of rows that were decided on
+    and win over those they are merged with. disputes: (left, right) rows; changes: (anchor, ord,
+    old_id, then_id, new_id, new_name) of the rows taken in, then_id being the id of the merged row
+    when it had just taken that one in.
     """
     rows = rows.select("ord", *FIELDS).withColumn("key", similarity_key(F.col("display_name")))
     keys = banned.select(similarity_key(F.col("display_name")).alias("key")).distinct() if banned is not None else None
@@ -116,9 +129,12 @@ def resolve(rows: DataFrame, banned: DataFrame | None = None, merge: float = MER
     placed = nodes.join(star_clusters(nodes, pairs.where(F.col("sim") >= merge - 1e-12).select(F.col("na").alias("lo"), F.col("nb").alias("hi"))), "node")
     members = cut_lineage(open_.join(placed.select("key", "anchor"), "key"))
     person = F.struct(*FIELDS)
-    groups = members.groupBy("anchor").agg(F.collect_list(F.struct("ord", person.alias("row"))).alias("m"))
-    merged = groups.where(F.size("m") > 1).select(F.lit(1).alias("grp"), F.col("anchor").alias("ord"), fold(F.col("m")).alias("r")).select("grp", "ord", "r.*")
-    alone = groups.where(F.size("m") == 1).select(F.lit(0).alias("grp"), F.col("anchor").alias("ord"), F.get("m", F.lit(0))["row"].alias("r")).select("grp", "ord", "r.*")
+    if decided is not None:
+        members = members.join(decided.select("id").distinct().withColumn("won", F.lit(True)), "id", "left")
+    chosen = F.struct(*FIELDS, (F.coalesce("won", F.lit(False)) if decided is not None else F.lit(False)).alias("decided"))
+    groups = members.groupBy("anchor").agg(F.collect_list(F.struct("ord", chosen.alias("row"))).alias("m"))
+    merged = groups.where(F.size("m") > 1).select(F.lit(1).alias("grp"), F.col("anchor").alias("ord"), fold(F.col("m")).alias("r")).select("grp", "ord", "r.*").drop("decided")
+    alone = groups.where(F.size("m") == 1).select(F.lit(0).alias("grp"), F.col("anchor").alias("ord"), F.get("m", F.lit(0))["row"].alias("r")).select("grp", "ord", "r.*").drop("decided")
     tail = rows.where("banned").select(F.lit(2).alias("grp"), "ord", *FIELDS)
     both = alone.union(merged).union(tail)
     span = rows.agg(F.coalesce(F.max("ord"), F.lit(0)) + 1).first()[0]
@@ -131,21 +147,51 @@ def resolve(rows: DataFrame, banned: DataFrame | None = None, merge: float = MER
     flagged = flagged.where((F.col("right_ord") > F.col("na")) & (F.col("anchor") >= F.col("na")))
     left = members.select(F.col("ord").alias("na"), person.alias("left"))
     disputes = flagged.join(left, "na").select(F.col("na").alias("left_ord"), "right_ord", "left", "right")
-    changes = members.where("ord <> anchor").select("ord", F.col("id").alias("old_id"), "anchor")
-    changes = changes.join(merged.select(F.col("ord").alias("anchor"), F.col("id").alias("new_id"), F.col("display_name").alias("new_name")), "anchor").select("ord", "old_id", "new_id", "new_name")
+    upto = Window.partitionBy("anchor").orderBy("ord").rowsBetween(Window.unboundedPreceding, 0)
+    then = F.min("id").over(upto)
+    if decided is not None:
+        then = F.coalesce(F.min_by("id", F.when(F.col("won"), F.col("ord"))).over(upto), then)
+    changes = members.withColumn("then_id", then).where("ord <> anchor").select("ord", F.col("id").alias("old_id"), "then_id", "anchor")
+    changes = changes.join(merged.select(F.col("ord").alias("anchor"), F.col("id").alias("new_id"), F.col("display_name").alias("new_name")), "anchor")
+    changes = changes.select("anchor", "ord", "old_id", "then_id", "new_id", "new_name")
     return result, disputes, changes
 
 
+def logged(changes: DataFrame) -> DataFrame:
+    """(ord, old_id, new_id) for `change_chains`, of the changes of both runs in the order in which they happened."""
+    placed = dense_ids(dense_ids(changes.where("run = 1"), "anchor", "n", 0, ("ord",)).unionByName(dense_ids(changes.where("run = 2"), "anchor", "n", 0, ("ord",))), "run", "at", 0, ("n",), 1)
+    return placed.select(F.col("at").alias("ord"), "old_id", F.col("then_id").alias("new_id"))
+
+
+def _chosen(disputes: DataFrame, decisions: DataFrame) -> DataFrame:
+    """(left_ord, right_ord, row): the canonical rows of the disputes that are decided."""
+    sides = disputes.select("left_ord", "right_ord", F.explode(F.array("left.id", "right.id")).alias("first_id"))
+    rows = decisions.select("ord", "first_id", F.struct(*FIELDS).alias("row"))
+    return sides.join(rows, "first_id").groupBy("left_ord", "right_ord").agg(F.min_by("row", "ord").alias("row"))
+
+
+def conflicts(disputes: DataFrame, decisions: DataFrame) -> DataFrame:
+    """(ord, conflict): each side of a decided dispute with its canonical row, as a later run finds decisions."""
+    both = _chosen(disputes, decisions).join(disputes, ["left_ord", "right_ord"])
+    sides = both.select("left_ord", "right_ord", F.posexplode(F.array("left", "right")).alias("at", "first"), "row")
+    placed = dense_ids(sides.withColumn("o", F.col("left_ord").cast("long")), "o", "n", 0, ("right_ord", "at"))
+    return placed.select(F.col("n").alias("ord"), F.struct(F.col("first"), F.col("row").alias("canonical")).alias("conflict"))
+
+
+def stored_decisions(conflicts: DataFrame) -> DataFrame:
+    """The decisions that stored conflicts stand for."""
+    return conflicts.select("ord", F.col("conflict.first.id").alias("first_id"), "conflict.canonical.*").withColumn("stored", F.lit(True))
+
+
 def settle(rows: DataFrame, disputes: DataFrame, decisions: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows, open disputes) after decisions.
 
-    decisions: `ord`, `first_id` and the fields of the canonical row. A dispute takes the first
+    decisions: `ord`, `first_id` and the fields of the canonical row, and `stored` (true for those of
+    an earlier run) if some are. A dispute takes the first
     decision whose first_id is one of its two ids; both rows go, the canonical row is appended.
     A dispute without a decision changes nothing and is returned.
     """
-    sides = disputes.select("left_ord", "right_ord", F.explode(F.array("left.id", "right.id")).alias("first_id"))
-    row = F.struct(*FIELDS)
-    chosen = sides.join(decisions.select("ord", "first_id", row.alias("row")), "first_id").groupBy("left_ord", "right_ord").agg(F.min_by("row", "ord").alias("row"))
+    chosen = _chosen(disputes, decisions)
     gone = chosen.join(disputes, ["left_ord", "right_ord"]).select(F.explode(F.array("left", "right")).alias("r")).distinct()
     same = [F.col(f).eqNullSafe(F.col(f"r.{f}")) for f in FIELDS]
     condition = same[0]
@@ -174,32 +220,50 @@ def prune_banned(guests: DataFrame, authors: DataFrame, banned: DataFrame) -> Da
     return guests.withColumn("key", key).join(known, "key", "left_anti").drop("key")
 
 
-def sanitise(rows: DataFrame, edits: DataFrame | None = None, banned: DataFrame | None = None, decisions: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(rows, open disputes, changes): normalise, resolve, settle, resolve again."""
+def sanitise(rows: DataFrame, edits: DataFrame | None = None, banned: DataFrame | None = None, decisions: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame | None]:
+    """(rows, open disputes, changes, conflicts): normalise, resolve, settle, resolve again."""
     rows = cut_lineage(normalise(rows, edits))
     rows, disputes, changes = resolve(rows, banned)
-    rows, disputes = cut_lineage(rows), cut_lineage(disputes)
+    rows, disputes, settled = cut_lineage(rows), cut_lineage(disputes), None
     if decisions is not None:
+        settled = cut_lineage(conflicts(disputes, decisions))
         rows, disputes = settle(rows, disputes, decisions)
         rows = cut_lineage(rows)
-    rows, _, more = resolve(rows, banned)
-    return rows, disputes, changes.withColumn("run", F.lit(1)).unionByName(more.withColumn("run", F.lit(2)))
+    decided = None
+    if decisions is not None:  # those of an earlier run do not win
+        decided = decisions.where(~F.coalesce("stored", F.lit(False))) if "stored" in decisions.columns else decisions
+    rows, _, more = resolve(rows, banned, decided=decided)
+    return rows, disputes, changes.withColumn("run", F.lit(1)).unionByName(more.withColumn("run", F.lit(2))), settled
 
 
 def change_chains(changes: DataFrame) -> DataFrame:
-    """(first_id, chain): ids that became each other one after another, in order.
+    """(ord, first_id, chain): ids that became each other one after another, in the order of their beginnings.
+
+    changes: (ord, old_id, new_id). In order, a change goes to the end of the chain that ends in its
+    old id, of several such to the one that began first; without such a chain it begins one. Changes
+    of an id into itself do nothing.
 
-    changes: (ord, old_id, new_id). An edge goes on from the chain that ends in its old id.
+    A round settles all changes whose old id no unsettled earlier change leads to or from, so there
+    are about as many rounds as the longest chain has links.
     """
-    edges = cut_lineage(changes.where("old_id <> new_id").select("ord", "old_id", "new_id"))
-    chain = edges.select("ord", F.col("old_id").alias("first_id"), F.array("old_id", "new_id").alias("chain"), F.col("ord").alias("last"))
+    edges = changes.where("old_id <> new_id").select("ord", "old_id", "new_id")
+    begin, taken = F.lit(None).cast("long"), F.lit(False)
+    state = cut_lineage(edges.select(F.col("ord").cast("long").alias("ord"), "old_id", "new_id", begin.alias("begin"), taken.alias("taken")))
     while True:
-        step = edges.toDF("o", "a", "b")
-        near = chain.join(step, (F.element_at("chain", -1) == F.col("a")) & (F.col("o") > F.col("last")), "left")
-        longer = near.groupBy("ord", "first_id", "chain", "last").agg(F.min_by(F.struct("o", "b"), "o").alias("n"))
-        grown = longer.select("ord", "first_id", F.when(F.col("n").isNotNull(), F.array_append("chain", F.col("n.b"))).otherwise(F.col("chain")).alias("chain"), F.coalesce("n.o", "last").alias("last"), F.col("n").isNotNull().alias("more"))
-        grown = cut_lineage(grown)
-        chain = grown.drop("more")
-        if grown.where("more").isEmpty():
-            inner = chain.select(F.explode(F.slice("chain", F.lit(2), F.size("chain") - 2)).alias("first_id")).distinct()
-            return chain.join(inner, "first_id", "left_anti").select("first_id", "chain")
+        open_ = state.where("begin IS NULL")
+        left = open_.groupBy(F.col("old_id").alias("id")).agg(F.min("ord").alias("at"))
+        led = open_.groupBy(F.col("new_id").alias("id")).agg(F.min("ord").alias("unsure"))
+        ready = left.join(led, "id", "left").where("unsure IS NULL OR unsure > at").select("id", "at")  # one change for each id
+        ends = state.where("begin IS NOT NULL AND NOT taken").select(F.col("new_id").alias("id"), F.col("ord").alias("end"), F.col("begin").alias("b"))
+        goes_on = ready.join(ends, "id", "left").where("end IS NULL OR end < at")
+        chosen = ready.select("at").join(goes_on.groupBy("at").agg(F.min(F.struct("b", "end")).alias("c")), "at", "left").select("at", "c.b", "c.end")
+        chosen = cut_lineage(chosen)
+        if chosen.isEmpty():
+            break
+        after = state.join(chosen.select(F.col("at").alias("ord"), F.coalesce("b", "at").alias("new_begin")), "ord", "left")
+        after = after.join(chosen.where("end IS NOT NULL").select(F.col("end").alias("ord"), F.lit(True).alias("now")), "ord", "left")
+        state = cut_lineage(after.select("ord", "old_id", "new_id", F.coalesce("begin", "new_begin").alias("begin"), (F.col("taken") | F.coalesce("now", F.lit(False))).alias("taken")))
+    links = F.array_sort(F.collect_list(F.struct("ord", "old_id", "new_id")))  # a chain
+    chains = state.groupBy("begin").agg(links.alias("l"))
+    first = F.get("l", F.lit(0))["old_id"]
+    return chains.select(F.col("begin").alias("ord"), first.alias("first_id"), F.concat(F.array(first), F.transform("l", lambda x: x["new_id"])).alias("chain"))

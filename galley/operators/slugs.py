@@ -1,35 +1,42 @@
 """Unique slugs.
 
-Rows are visited by id (null last). The first with a base gets it; a later one gets base-id, and
-if that is taken too base-1, base-2 and so on. Candidates of a base are the base and base-<number>,
-so rows meet only if their bases agree without trailing numbers (their root). Roots in which no
-base repeats keep their bases, roots with one base get ids behind it; both are plain expressions.
-Only roots in which bases repeat and differ are walked through in order, each in one task.
+Rows come in the order of their ids (null last). Each gets the first slug of its list that no
+earlier row has: its base, base-id, base-1, base-2 and so on. Slugs of a base are the base and
+base-<number>, so rows meet only if their bases agree without trailing numbers (their root). Roots
+in which no base repeats keep their bases, roots with one base get ids behind it; both are plain
+expressions. In the other roots rows bid in rounds: each row bids for one slug of its list, the
+earliest bidder of a slug holds it, the others go on to a later one. That ends in the same slugs,
+as no row ever passes one that it could have had.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from galley.functions.names import slug
+from galley.session import cut_lineage
 
 
-def _walk(group: pd.DataFrame) -> pd.DataFrame:
-    used: set[str] = set()
-    group = group.sort_values(["__id", "__tie"], na_position="last")
-    out = []
-    for base, own in zip(group["__base"], group["__id"]):
-        found, n = base, 0
-        if found in used:
-            found = f"{base}-{'None' if pd.isna(own) else int(own)}"
-            while found in used:
-                n += 1
-                found = f"{base}-{n}"
-        used.add(found)
-        out.append(found)
-    return pd.DataFrame({"__row": group["__row"], "__slug": out})
+def _bids(rows: DataFrame) -> DataFrame:
+    """(row, slug) of rows (row, base, id, place). place: (no id, id, tie, row), by which rows come in order.
+
+    Rows of one base that neither the base nor base-id was left to share the rest of their lists, so
+    the nth of them in order cannot have a number below n: it goes there at once.
+    """
+    own = F.coalesce(F.col("id").cast("string"), F.lit("None"))
+    bid = F.when(F.col("n") == 0, F.col("base")).when(F.col("n") == 1, F.concat("base", F.lit("-"), own)).otherwise(F.concat("base", F.lit("-"), (F.col("n") - 1).cast("string")))
+    state = cut_lineage(rows.withColumns({"n": F.lit(0).cast("long"), "lost": F.lit(True)}).withColumn("slug", bid))
+    while not state.where("lost").isEmpty():
+        holders = state.groupBy("slug").agg(F.min("place").alias("holder"), F.count("*").alias("bidders")).where("bidders > 1")
+        judged = state.drop("lost").join(holders, "slug", "left").withColumn("lost", F.coalesce(F.col("place") != F.col("holder"), F.lit(False)))
+        moved = judged.withColumn("n", F.col("n") + F.col("lost").cast("long"))
+        late = F.when(F.col("n") >= 2, F.lit(1)).otherwise(F.lit(0))
+        nth = F.sum(late).over(Window.partitionBy("base").orderBy("place").rowsBetween(Window.unboundedPreceding, 0))
+        moved = moved.withColumn("n", F.when(late == 1, F.greatest("n", nth + 1)).otherwise(F.col("n")))
+        state = cut_lineage(moved.select("row", "base", "id", "place", "n", "lost").withColumn("slug", bid))
+    return state.select("row", "slug")
 
 
 def unique_slugs(df: DataFrame, sources: tuple[Column, ...], fallback: str, key: str = "id", name: str = "slug", tie: str | None = None) -> DataFrame:
@@ -40,15 +47,16 @@ def unique_slugs(df: DataFrame, sources: tuple[Column, ...], fallback: str, key:
     columns = [c for c in df.columns if c != name]
     base = F.coalesce(*[F.nullif(slug(s), F.lit("")) for s in sources], F.concat(F.lit(f"{fallback}-"), F.coalesce(F.col(key).cast("string"), F.lit("None"))))
     rows = df.withColumn("__base", base).withColumn("__id", F.col(key).cast("long")).withColumn("__tie", F.col(tie).cast("long") if tie else F.lit(0).cast("long"))
-    rows = rows.withColumn("__root", F.regexp_replace("__base", "(-[0-9]+)+$", "")).withColumn("__row", F.struct("__id", "__tie"))
+    rows = rows.withColumn("__root", F.regexp_replace("__base", "(-[0-9]+)+$", ""))
     by_base = rows.groupBy("__root", "__base").agg(F.count("*").alias("n"), F.min("__id").alias("first"), (F.count("*") - F.count_distinct("__id")).alias("odd"))
     by_root = by_base.groupBy("__root").agg(F.max("n").alias("most"), F.count("*").alias("bases"), F.min("first").alias("__first"), F.max("odd").alias("odd"))
-    walked = (F.col("most") > 1) & ((F.col("bases") > 1) | (F.col("odd") > 0))
-    rows = rows.join(by_root.select("__root", "__first", walked.alias("__walked"), (F.col("most") == 1).alias("__plain")), "__root")
+    rounds = (F.col("most") > 1) & ((F.col("bases") > 1) | (F.col("odd") > 0))
+    rows = rows.join(by_root.select("__root", "__first", rounds.alias("__rounds"), (F.col("most") == 1).alias("__plain")), "__root")
     plain = F.when(F.col("__plain") | (F.col("__id") == F.col("__first")), F.col("__base")).otherwise(F.concat("__base", F.lit("-"), F.col("__id").cast("string")))
-    easy = rows.where(~F.col("__walked")).select(*columns, plain.alias(name))
-    hard = rows.where("__walked")
-    found = hard.select("__root", "__base", "__id", "__tie", "__row").groupBy("__root").applyInPandas(_walk, "__row struct<__id:bigint,__tie:bigint>, __slug string")
-    found = found.select(F.col("__row.__id").alias("i"), F.col("__row.__tie").alias("t"), "__slug")
-    hard = hard.join(found, F.col("__id").eqNullSafe(F.col("i")) & (F.col("__tie") == F.col("t")))
-    return easy.union(hard.select(*columns, F.col("__slug").alias(name)))
+    easy = rows.where(~F.col("__rounds")).select(*columns, plain.alias(name))
+    hard = cut_lineage(rows.where("__rounds").withColumn("__row", F.monotonically_increasing_id()))
+    if hard.isEmpty():
+        return easy
+    place = F.struct(F.col("__id").isNull().alias("none"), F.coalesce("__id", F.lit(0)).alias("id"), F.coalesce("__tie", F.lit(0)).alias("tie"), F.col("__row").alias("row"))
+    found = _bids(hard.select(F.col("__row").alias("row"), F.col("__base").alias("base"), F.col("__id").alias("id"), place.alias("place")))
+    return easy.union(hard.join(found.toDF("__row", "__slug"), "__row").select(*columns, F.col("__slug").alias(name)))

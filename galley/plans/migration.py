@@ -11,7 +11,8 @@ from galley.operators import articles as art
 from galley.operators import authors as auth
 from galley.operators import bylines, slugs, vectors
 from galley.operators.authors import FIELDS
-from galley.sinks import sql
+from galley.operators.keys import dense_ids
+from galley.sinks import files, sql
 from galley.sources import export
 from galley.session import cut_lineage
 
@@ -38,6 +39,16 @@ class Policies:
     byline_cache: DataFrame | None = None
 
 
+_PERSON = "struct<id:bigint,display_name:string,first_name:string,last_name:string,email:string,login:string>"
+#: What one run leaves to the next, by name, and the columns.
+STATE = {
+    "staff_conflicts": f"ord bigint, conflict struct<first:{_PERSON},canonical:{_PERSON}>",
+    "guest_conflicts": f"ord bigint, conflict struct<first:{_PERSON},canonical:{_PERSON}>",
+    "byline_unknown": "name string, article_ids array<bigint>",
+    "byline_cache": "name string, author_id bigint, display_name string",
+}
+
+
 @dataclass
 class Migrated:
     """authors, articles, and the logs that an editor reads."""
@@ -47,24 +58,49 @@ class Migrated:
     logs: dict[str, DataFrame] = field(default_factory=dict)
 
 
-def _people(rows: DataFrame, edits, banned, decisions) -> tuple[DataFrame, DataFrame, DataFrame]:
-    rows, disputes, changes = auth.sanitise(rows.withColumn("ord", F.col("id")), edits, banned, decisions)
-    return unique_logins(rows), disputes, changes
+def _decisions(stored: DataFrame | None, new: DataFrame | None) -> DataFrame | None:
+    """Decisions of earlier runs come before this run's."""
+    if stored is None:
+        return new
+    old = auth.stored_decisions(stored)
+    if new is None:
+        return old
+    start = old.agg(F.coalesce(F.max("ord") + 1, F.lit(0))).first()[0]
+    return old.unionByName(new.select((F.col("ord") + start).alias("ord"), "first_id", *FIELDS, F.lit(False).alias("stored")))
+
+
+def _people(rows: DataFrame, edits, banned, decisions, stored, logs: dict, name: str) -> DataFrame:
+    decisions = _decisions(stored, decisions)
+    rows, logs[f"{name}_disputes"], changes, settled = auth.sanitise(rows.withColumn("ord", F.col("id")), edits, banned, decisions)
+    changes = cut_lineage(changes)
+    logs[f"{name}_changes"] = changes
+    logs[f"{name}_chains"] = auth.change_chains(auth.logged(changes))
+    if settled is not None:
+        old = stored if stored is not None else settled.limit(0)
+        merged = cut_lineage(export.merged_conflicts(old, settled).withColumn("place", F.col("run") * F.lit(1 << 40) + F.col("ord")))
+        logs[f"{name}_conflicts"] = dense_ids(merged.select("place", "conflict"), "place", "ord").select("ord", "conflict")
+    return unique_logins(rows)
 
 
 def unique_logins(rows: DataFrame) -> DataFrame:
     return slugs.unique_slugs(rows, (F.col("login"), F.col("display_name")), "author", name="login", tie="ord").select("ord", *FIELDS)
 
 
-def migrate(staff: DataFrame, guests: DataFrame, items: DataFrame, policies: Policies = Policies()) -> Migrated:
-    """staff, guests, items: as `sources.export` reads them."""
-    p, logs = policies, {}
-    people, logs["staff_disputes"], logs["staff_changes"] = _people(art.staff_authors(staff), p.staff_edits, p.staff_banned, p.staff_decisions)
-    more, logs["guest_disputes"], logs["guest_changes"] = _people(art.guest_authors(guests), p.guest_edits, p.guest_banned, p.guest_decisions)
+def migrate(staff: DataFrame, guests: DataFrame, items: DataFrame, policies: Policies = Policies(), state: dict[str, DataFrame] | None = None) -> Migrated:
+    """staff, guests, items: as `sources.export` reads them. state: what an earlier run left, see `read_state`."""
+    p, logs, earlier = policies, {}, state or {}
+    people = _people(art.staff_authors(staff), p.staff_edits, p.staff_banned, p.staff_decisions, earlier.get("staff_conflicts"), logs, "staff")
+    more = _people(art.guest_authors(guests), p.guest_edits, p.guest_banned, p.guest_decisions, earlier.get("guest_conflicts"), logs, "guest")
     people = cut_lineage(unique_logins(auth.combine(cut_lineage(people), cut_lineage(more))))
     rows = cut_lineage(art.translate_articles(items))
-    found = bylines.match_bylines(rows, people, p.byline_edits, p.byline_cache)
-    logs |= {"byline_changes": found["changes"], "byline_flagged": found["flagged"], "byline_unknown": found["unknown"]}
+    cache = _cache(earlier.get("byline_cache"), p.byline_cache)
+    found = bylines.match_bylines(rows, people, p.byline_edits, cache)
+    unknown = found["unknown"]
+    if "byline_unknown" in earlier:
+        unknown = bylines.merge_unknown(earlier["byline_unknown"], unknown)
+    logs |= {"byline_changes": found["changes"], "byline_flagged": found["flagged"], "byline_unknown": unknown}
+    if cache is not None:
+        logs["byline_cache"] = cache
     rows = art.sanitise_content(bylines.apply_matches(rows, found["matches"]))
     rows = slugs.unique_slugs(rows, (F.col("slug"), F.col("title")), "article")
     rows = cut_lineage(rows)
@@ -72,27 +108,50 @@ def migrate(staff: DataFrame, guests: DataFrame, items: DataFrame, policies: Pol
     return Migrated(people, rows, logs)
 
 
+def _cache(stored: DataFrame | None, new: DataFrame | None) -> DataFrame | None:
+    """(name, author_id, display_name) of both; of one name this run's."""
+    if stored is None or new is None:
+        return new if stored is None else stored
+    columns = ["name", "author_id", "display_name"]
+    return new.select(columns).unionByName(stored.select(columns).join(new.select("name"), "name", "left_anti"))
+
+
+def read_state(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """What `write` left in a folder; nothing if there was no earlier run."""
+    found = {name: export.stored(spark, f"{folder}/state/{name}", schema) for name, schema in STATE.items()}
+    return {name: cut_lineage(rows) for name, rows in found.items() if not rows.isEmpty()}
+
+
 def read(spark: SparkSession, posts: str, guests: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(staff, guests, items) of the two files of an export."""
     return export.authors(spark, posts), export.guests(spark, guests), export.articles(spark, posts)
 
 
 def write(result: Migrated, folder: str, site: str) -> None:
-    """The four dumps, the rows as JSON and the logs."""
-    sql.write(sql.articles_inserts(result.articles, site), sql.articles_ddl(), f"{folder}/sql/articles")
-    sql.write(sql.seo_inserts(result.articles), sql.seo_ddl(), f"{folder}/sql/seo")
-    sql.write(sql.authors_inserts(result.authors), sql.authors_ddl(), f"{folder}/sql/authors")
-    sql.write(sql.articles_authors_inserts(result.articles), sql.articles_authors_ddl(), f"{folder}/sql/articles_authors")
-    result.authors.orderBy("ord").write.mode("overwrite").json(f"{folder}/authors")
-    result.articles.orderBy("id").write.mode("overwrite").option("maxRecordsPerFile", LOG_ROWS).json(f"{folder}/articles")
+    """The four dumps, the rows as JSON and the logs, each a file, article buckets of LOG_ROWS rows, and the state for the next run."""
+    dumps = {
+        "articles": (sql.articles_inserts(result.articles, site), sql.articles_ddl()),
+        "seo": (sql.seo_inserts(result.articles), sql.seo_ddl()),
+        "authors": (sql.authors_inserts(result.authors), sql.authors_ddl()),
+        "articles_authors": (sql.articles_authors_inserts(result.articles), sql.articles_authors_ddl()),
+    }
+    for name, (commands, head) in dumps.items():
+        files.write_lines(sql.lines(commands, head), f"{folder}/sql/{name}.sql")
+    files.write_positioned(result.authors.select("ord", *FIELDS), "ord", f"{folder}/authors.json")
+    files.write_positioned(result.articles, "id", f"{folder}/articles.json")
+    files.write_buckets(result.articles, "id", f"{folder}/articles", LOG_ROWS)
     for name, rows in result.logs.items():
         rows.write.mode("overwrite").json(f"{folder}/logs/{name}")
+    for name in STATE:
+        if name in result.logs:
+            export.store(cut_lineage(result.logs[name]), f"{folder}/state/{name}")
 
 
 def write_embeddings(result: Migrated, folder: str, encoder: vectors.Encoder, max_chars: int = vectors.MAX_CHARS) -> None:
     rows = cut_lineage(vectors.embed(vectors.embeddable(result.articles, max_chars), encoder))
     first = rows.select(F.size("embedding").alias("n")).first()
     if first is None:
-        sql.write(rows.select(F.lit(0).alias("ord"), F.lit("").alias("command")).limit(0), sql.NO_EMBEDDINGS, f"{folder}/sql/article_embeddings")
+        commands, head = rows.select(F.lit(0).alias("ord"), F.lit("").alias("command")).limit(0), sql.NO_EMBEDDINGS
     else:
-        sql.write(sql.embeddings_inserts(rows), sql.embeddings_ddl(first["n"]), f"{folder}/sql/article_embeddings")
+        commands, head = sql.embeddings_inserts(rows), sql.embeddings_ddl(first["n"])
+    files.write_lines(sql.lines(commands, head), f"{folder}/sql/article_embeddings.sql")

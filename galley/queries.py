@@ -6,15 +6,21 @@ literals that query and SQL share.
 
 from __future__ import annotations
 
+import io
+import uuid
+import zipfile
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from galley.functions import content, literals, names
 from galley.operators import articles, authors, bylines, keys, similar, slugs, vectors
+from galley.plans import migration
+from galley.session import shared_folder, table
+from galley.sinks import files
 from galley.sinks import sql as dumps
-from galley.session import table
+from galley.sources import export
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -175,9 +181,9 @@ def f9_limits(spark, sf):
 # Names and slugs.
 
 
-@query(r"SELECT doc_id, trim(regexp_replace(lower(split_part(text, chr(10), 1)), '[^a-z0-9]+', '-', 'g'), '-') AS slug FROM documents")
+@query(r"SELECT doc_id, trim(regexp_replace(lower(text), '[^a-z0-9]+', '-', 'g'), '-') AS slug FROM documents")
 def h7_slug(spark, sf):
-    return _docs(spark, sf).select("doc_id", names.slug(F.split_part("text", F.lit("\n"), F.lit(1))).alias("slug"))
+    return _docs(spark, sf).select("doc_id", names.slug(F.col("text")).alias("slug"))
 
 
 @query(r"SELECT doc_id, lower(regexp_replace(text || ' Zoë O''Neil-3_b', '[^\p{L}\p{N}]|\p{Nd}', '', 'g')) AS key, lower(regexp_replace(source || '.A-b_c d', '[.\-_ ]', '', 'g')) AS byline FROM documents")
@@ -217,7 +223,18 @@ def f3_unique_slugs(spark, sf):
     return slugs.unique_slugs(rows, (F.col("title"),), "article").select("id", "slug")
 
 
-@query()
+@query("""WITH RECURSIVE r AS (
+  SELECT doc_id AS id, CASE WHEN doc_id % 3 = 0 THEN 'a-' || (doc_id + 1) ELSE 'a' END AS base, row_number() OVER (ORDER BY doc_id) AS i FROM documents
+), s AS (
+  SELECT 0::BIGINT AS i, []::VARCHAR[] AS used, NULL::BIGINT AS id, NULL::VARCHAR AS slug
+  UNION ALL
+  SELECT i, list_append(used, slug), id, slug FROM (
+    SELECT r.i, s.used, r.id, CASE WHEN NOT list_contains(s.used, r.base) THEN r.base
+      WHEN NOT list_contains(s.used, r.base || '-' || r.id) THEN r.base || '-' || r.id
+      ELSE r.base || '-' || list_filter(range(1, r.i + 1), lambda k: NOT list_contains(s.used, r.base || '-' || k))[1] END AS slug
+    FROM s JOIN r ON r.i = s.i + 1)
+)
+SELECT id, slug FROM s WHERE i > 0""")
 def f3_colliding_slugs(spark, sf):
     """Bases that collide with suffixes that others were given."""
     rows = _docs(spark, sf).select(F.col("doc_id").alias("id"), F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("a-"), (F.col("doc_id") + 1).cast("string"))).otherwise(F.lit("A")).alias("title"))
@@ -269,10 +286,10 @@ def c1_sanity(spark, sf):
     return _docs(spark, sf).select("doc_id", articles.keeps(title, F.col("text")).alias("keep"))
 
 
-@query("SELECT (row_number() OVER (ORDER BY s_suppkey) - 1)::BIGINT AS id, s_name AS display_name, NULL::VARCHAR AS first_name, 'L' || s_nationkey AS last_name, lower(s_name) || '@x.test' AS email, 'log' || s_suppkey AS login FROM supplier WHERE s_suppkey % 3 > 0")
+@query("SELECT (row_number() OVER (ORDER BY s_suppkey) - 1)::BIGINT AS id, s_name AS display_name, NULL::VARCHAR AS first_name, 'L' || s_nationkey AS last_name, lower(s_name) || '@x.test' AS email, 'log' || s_suppkey AS login FROM supplier")
 def b1_staff_authors(spark, sf):
-    rows = table(spark, sf, "supplier").where("s_suppkey % 3 > 0").select(
-        F.col("s_suppkey").alias("ord"),
+    rows = table(spark, sf, "supplier").select(
+        (F.col("s_suppkey") * 3).alias("ord"),
         F.col("s_name").alias("wp:author_display_name"),
         F.lit(None).cast("string").alias("wp:author_first_name"),
         F.concat(F.lit("L"), F.col("s_nationkey").cast("string")).alias("wp:author_last_name"),
@@ -417,10 +434,20 @@ def d5_star_clusters(spark, sf):
     return similar.star_clusters(nodes.select("node"), pairs)
 
 
-@query("SELECT o_custkey AS first_id, [o_custkey, o_custkey + 1000000] AS chain FROM orders GROUP BY o_custkey")
+@query("""WITH RECURSIVE n AS (SELECT count(*) // 2 + 1 AS n FROM customer),
+e AS (SELECT row_number() OVER (ORDER BY c_custkey) AS i, c_custkey * 7919 % n AS a, c_custkey * 104729 % n AS b FROM customer, n WHERE c_custkey * 7919 % n <> c_custkey * 104729 % n),
+s AS (
+  SELECT 0::BIGINT AS i, []::BIGINT[][] AS chains
+  UNION ALL
+  SELECT i, CASE WHEN p = 0 THEN list_append(chains, [a, b]) ELSE list_concat(list_concat(chains[1:p - 1], [list_append(chains[p], b)]), chains[p + 1:]) END FROM (
+    SELECT e.i, s.chains, e.a, e.b, coalesce(list_position(list_transform(s.chains, lambda c: c[-1]), e.a), 0) AS p FROM s JOIN e ON e.i = s.i + 1)
+)
+SELECT chain[1] AS first_id, chain FROM (SELECT unnest(chains) AS chain FROM s WHERE i = (SELECT max(i) FROM s))""")
 def n_change_chains(spark, sf):
-    rows = table(spark, sf, "orders").groupBy("o_custkey").agg(F.min("o_orderkey").alias("ord"))
-    return authors.change_chains(rows.select("ord", F.col("o_custkey").alias("old_id"), (F.col("o_custkey") + 1_000_000).alias("new_id")))
+    """Ids that change into several others, and that several others change into."""
+    rows = table(spark, sf, "customer").select(F.col("c_custkey").alias("ord"))
+    n = rows.count() // 2 + 1
+    return authors.change_chains(rows.select("ord", (F.col("ord") * 7919 % n).alias("old_id"), (F.col("ord") * 104729 % n).alias("new_id"))).select("first_id", "chain")
 
 
 @query(f"""WITH p AS ({PEOPLE}) SELECT id, display_name FROM p WHERE ord >= 20 OR ord % 2 = 1 AND ord >= 10 OR ord % 2 = 0 AND ord >= 10
@@ -514,10 +541,124 @@ def e3_merge_unknown(spark, sf):
 
 @query("SELECT CASE WHEN min(run) = 0 THEN 0 ELSE 1 END::INTEGER AS run, event_type, user_id FROM (SELECT 0 AS run, event_type, user_id FROM events WHERE event_id % 2 = 0 UNION ALL SELECT 1, event_type, user_id FROM events) GROUP BY event_type, user_id")
 def e7_merge_conflicts(spark, sf):
-    from galley.sources.export import merged_conflicts
-
     e = table(spark, sf, "events").select(F.col("event_id").alias("ord"), F.struct("event_type", "user_id").alias("conflict"))
-    return merged_conflicts(e.where("ord % 2 = 0"), e).select("run", "conflict.event_type", "conflict.user_id")
+    return export.merged_conflicts(e.where("ord % 2 = 0"), e).select("run", "conflict.event_type", "conflict.user_id")
+
+
+# Sources and files, written from the tables and read again.
+
+
+def _folder(spark) -> str:
+    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+
+
+def _put(spark, path: str, data: bytes) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target, True)
+    stream.write(data)
+    stream.close()
+
+
+@query("SELECT n_name AS value FROM nation")
+def a1_unzip(spark, sf):
+    """A small archive with a member, read from where it was unpacked."""
+    data, folder = io.BytesIO(), _folder(spark)
+    with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("in/nations.txt", "\n".join(r["n_name"] for r in table(spark, sf, "nation").collect()))  # 25 rows
+    _put(spark, f"{folder}/export.zip", data.getvalue())
+    (member,) = export.unzip(spark, f"{folder}/export.zip", f"{folder}/out")
+    return spark.read.text(member)
+
+
+def _export(elements: DataFrame) -> str:
+    """The path of an XML file with the elements of (ord, line)."""
+    path = f"{_folder(elements.sparkSession)}.xml"
+    ends = elements.sparkSession.createDataFrame([(-1, '<?xml version="1.0" encoding="UTF-8"?><rss xmlns:content="c" xmlns:wp="w"><channel>'), (1 << 62, "</channel></rss>")], "ord long, line string")
+    files.write_lines(ends.union(elements), path)
+    return path
+
+
+def _element(name: str, value) -> Column:
+    return F.concat(F.lit(f"<{name}>"), value, F.lit(f"</{name}>"))
+
+
+@query("SELECT 'T &<' || c_custkey AS title, c_name AS body, lower(c_name) AS slug, c_mktsegment AS tag, c_custkey::VARCHAR AS meta FROM customer")
+def a2_read_items(spark, sf):
+    """Items of an export with an attribute, nested and repeated elements."""
+    c = table(spark, sf, "customer")
+    meta = _element("wp:postmeta", F.concat(_element("wp:meta_key", F.lit("k")), _element("wp:meta_value", F.col("c_custkey").cast("string"))))
+    term = F.concat(F.lit('<category domain="post_tag" nicename="n">'), "c_mktsegment", F.lit("</category>"))
+    title = _element("title", F.concat(F.lit("T &amp;&lt;"), F.col("c_custkey").cast("string")))
+    item = _element("item", F.concat(title, _element("content:encoded", F.col("c_name")), _element("wp:post_name", F.lower("c_name")), term, meta))
+    return export.articles(spark, _export(c.select("c_custkey", item))).select("title", "body", "slug", F.get("terms", F.lit(0))["text"].alias("tag"), F.get("meta", F.lit(0))["value"].alias("meta"))
+
+
+@query("SELECT s_name AS display_name, 'l' || s_suppkey AS login, NULL::VARCHAR AS email FROM supplier")
+def a4_read_authors(spark, sf):
+    s = table(spark, sf, "supplier")
+    login = _element("wp:author_login", F.concat(F.lit("l"), F.col("s_suppkey").cast("string")))
+    author = _element("wp:author", F.concat(login, _element("wp:author_email", F.lit("")), _element("wp:author_display_name", F.col("s_name"))))
+    return export.authors(spark, _export(s.select("s_suppkey", author))).select(F.col("`wp:author_display_name`").alias("display_name"), F.col("`wp:author_login`").alias("login"), F.col("`wp:author_email`").alias("email"))
+
+
+@query("SELECT 'gone' AS what, true AS first, false AS second")
+def a5_delete(spark, sf):
+    path = _folder(spark)
+    table(spark, sf, "region").write.parquet(path)
+    return spark.range(1).select(F.lit("gone").alias("what"), F.lit(export.delete(spark, path)).alias("first"), F.lit(export.delete(spark, path)).alias("second"))
+
+
+@query("SELECT c_name AS name, c_custkey AS author_id, c_mktsegment AS display_name FROM customer")
+def a6_stored_cache(spark, sf):
+    """A cache that one run stored and the next one loads; where none is, it is empty."""
+    path, schema = _folder(spark), "name string, author_id bigint, display_name string"
+    none = export.stored(spark, path, schema)
+    export.store(table(spark, sf, "customer").select(F.col("c_name").alias("name"), F.col("c_custkey").alias("author_id"), F.col("c_mktsegment").alias("display_name")), path)
+    return export.stored(spark, path, schema).union(none)
+
+
+@query("""SELECT 'CREATE TABLE authors (id BIGINT PRIMARY KEY AUTO_INCREMENT, display_name VARCHAR(255), first_name VARCHAR(255), last_name VARCHAR(255), email VARCHAR(255), login VARCHAR(255));' AS line
+UNION ALL SELECT 'INSERT INTO authors (id, display_name, first_name, last_name, email, login) VALUES (''' || c_custkey || ''', ''' || c_name || ''', NULL, NULL, NULL, ''' || c_mktsegment || ''');' FROM customer""")
+def l6_sql_file(spark, sf):
+    """One file: the definition, then the commands."""
+    null, path = F.lit(None).cast("string"), f"{_folder(spark)}.sql"
+    c = table(spark, sf, "customer").select(F.col("c_custkey").alias("ord"), F.col("c_custkey").alias("id"), F.col("c_name").alias("display_name"), null.alias("first_name"), null.alias("last_name"), null.alias("email"), F.col("c_mktsegment").alias("login"))
+    files.write_lines(dumps.lines(dumps.authors_inserts(c), dumps.authors_ddl()), path)
+    return spark.read.text(path).toDF("line")
+
+
+@query("SELECT row_number() OVER (ORDER BY c_custkey) - 1 AS at, c_custkey AS key, c_name AS name, NULL::VARCHAR AS none FROM customer")
+def l7_positioned_json(spark, sf):
+    """One JSON object of all rows by place."""
+    path = f"{_folder(spark)}.json"
+    files.write_positioned(table(spark, sf, "customer").select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name"), F.lit(None).cast("string").alias("none")), "key", path)
+    whole = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", "map<string,struct<key:bigint,name:string,none:string>>")).alias("at", "row"))
+    return whole.select(F.col("at").cast("long").alias("at"), "row.*")
+
+
+@query("SELECT (i // 1000)::BIGINT AS bucket, count(*) AS n, min(i) AS first_at, min(o_orderkey) AS first_key FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS i FROM orders) GROUP BY 1")
+def l8_buckets(spark, sf):
+    """Files of 1000 rows each, named by their numbers."""
+    folder = _folder(spark)
+    files.write_buckets(table(spark, sf, "orders").select("o_orderkey", "o_orderstatus"), "o_orderkey", folder)
+    read = spark.read.text(folder, wholetext=True).select(F.regexp_extract(F.input_file_name(), r"(\d+)\.json$", 1).cast("long").alias("bucket"), F.from_json("value", "map<string,struct<o_orderkey:bigint,o_orderstatus:string>>").alias("m"))
+    rows = read.select("bucket", F.explode("m").alias("at", "row"))
+    return rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min(F.col("at").cast("long")).alias("first_at"), F.min("row.o_orderkey").alias("first_key"))
+
+
+@query("""SELECT row_number() OVER (ORDER BY p.ord, side) - 1 AS ord, p.id + 2 * side AS first_id, p.ord + 900000 AS canonical_id
+FROM (SELECT c_custkey AS ord, c_custkey * 2 AS id FROM customer WHERE c_custkey % 2 = 0 AND c_custkey + 1 IN (SELECT c_custkey FROM customer)) p, (VALUES (0), (1)) v(side)""")
+def l9_conflicts(spark, sf):
+    """Decided disputes as they are stored, read again as the decisions of the next run."""
+    rows, path = _people(spark, sf), _folder(spark)
+    person = F.struct(*authors.FIELDS)
+    left = rows.where("ord % 2 = 0").select(F.col("ord").alias("left_ord"), person.alias("left"))
+    right = rows.where("ord % 2 = 1").select((F.col("ord") - 1).alias("left_ord"), F.col("ord").alias("right_ord"), person.alias("right"))
+    disputes = left.join(right, "left_ord").select("left_ord", "right_ord", "left", "right")
+    decisions = rows.select("ord", F.col("id").alias("first_id"), (F.col("ord") + 900_000).alias("id"), *authors.FIELDS[1:]).where("ord % 2 = 0")
+    export.store(authors.conflicts(disputes, decisions), path)
+    found = authors.stored_decisions(export.stored(spark, path, migration.STATE["staff_conflicts"]))
+    return found.select("ord", "first_id", F.col("id").alias("canonical_id"))
 
 
 # Sinks and vectors.

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +17,7 @@ CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -62,28 +66,51 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Checkpoint into the folder that spark.checkpoint.dir names.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir, which all executors share.
 
-    Only where the setting is absent (tests on one machine) is a temporary folder used.
+    Only a session on one machine may leave it unset (as tests do) and gets a temporary folder.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        folder = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="galley-checkpoint"))
+    known = sc._jsc.sc().getCheckpointDir()
+    if known.isDefined():
+        return known.get()
+    folder = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="galley-checkpoint"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
+    """Checkpoint into the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=eager)
 
 
-def cut_and_free(df: DataFrame) -> DataFrame:
-    """As cut_lineage; the shuffle files behind the checkpoint go at once, not with the driver's next garbage."""
-    conf, free = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = conf.get(free)
-    conf.set(free, "true")
+def written(df: DataFrame) -> tuple[DataFrame, str]:
+    """`df` written as Parquet into the shared folder and read again, and the path."""
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path), path
+
+
+@contextmanager
+def freeing(spark: SparkSession) -> Iterator[None]:
+    """Inside, the shuffle files of an action go when it ends, not with the driver's next garbage."""
+    free = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(free)
+    spark.conf.set(free, "true")
     try:
-        return cut_lineage(df.select("*"))
+        yield
     finally:
-        conf.set(free, before)
+        spark.conf.set(free, before)
+
+
+def cut_and_free(df: DataFrame) -> DataFrame:
+    """As cut_lineage; the shuffle files behind the checkpoint go at once."""
+    with freeing(df.sparkSession):
+        return cut_lineage(df.select("*"))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -58,6 +58,9 @@ def articles_inserts(articles: DataFrame, site: str, table: str = "articles") ->
     return rows.select(F.col("id").alias("ord"), F.concat(F.lit(head), F.concat_ws(", ", *values), F.lit(");")).alias("command"))
 
 
+# The definitions of the other target tables.
+
+
 def seo_ddl(table: str = "seo") -> str:
     return f"CREATE TABLE {table} (id BIGINT PRIMARY KEY, article_id BIGINT NOT NULL, yoast_tag_data LONGTEXT);"
 
@@ -100,11 +103,15 @@ def embeddings_inserts(vectors: DataFrame, table: str = "article_embeddings", ke
     return vectors.select(F.col(key).cast("long").alias("ord"), values.alias("command"))
 
 
+def lines(commands: DataFrame, head: str) -> DataFrame:
+    """(ord, line): `head`, then the commands by `ord`."""
+    first = commands.sparkSession.createDataFrame([(-(1 << 62), head)], "ord bigint, line string")
+    return first.union(commands.select(F.col("ord").cast("long"), F.col("command").alias("line")))
+
+
 def write(commands: DataFrame, head: str, path: str) -> None:
-    """A folder of text files that, in the order of their names, make the dump: `head`, then the commands by `ord`.
+    """A folder of text files that, in the order of their names, make the dump; for one file see `files.write_lines`.
 
     Every part is sorted and the parts follow each other, so no task holds all commands.
     """
-    first = commands.sparkSession.createDataFrame([(-(1 << 62), head)], "ord bigint, command string")
-    both = first.union(commands.select(F.col("ord").cast("long"), "command"))
-    both.repartitionByRange("ord").sortWithinPartitions("ord").select("command").write.mode("overwrite").text(path)
+    lines(commands, head).repartitionByRange("ord").sortWithinPartitions("ord").select("line").write.mode("overwrite").text(path)

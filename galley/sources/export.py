@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import io
-import zipfile
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,24 +59,25 @@ def guests(spark: SparkSession, path: str) -> DataFrame:
 def unzip(spark: SparkSession, path: str, to: str) -> list[str]:
     """Unpack an archive into a folder of the session's file system; the paths of its members.
 
-    An archive cannot be split, so it is unpacked by one reader.
+    An archive cannot be split, so it is one stream, of any length, through the driver.
     """
-    data = spark.read.format("binaryFile").load(path).select("content").first()["content"]
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    out = []
-    with zipfile.ZipFile(io.BytesIO(bytes(data))) as z:
-        for member in z.infolist():
-            if member.is_dir() or ".." in member.filename.split("/"):
+    source = jvm.org.apache.hadoop.fs.Path(path)
+    members, out = jvm.java.util.zip.ZipInputStream(source.getFileSystem(conf).open(source)), []
+    try:
+        while (member := members.getNextEntry()) is not None:
+            name = member.getName()
+            if member.isDirectory() or ".." in name.split("/"):
                 continue
-            target = jvm.org.apache.hadoop.fs.Path(f"{to}/{member.filename}")
+            target = jvm.org.apache.hadoop.fs.Path(f"{to}/{name}")
             stream = target.getFileSystem(conf).create(target, True)
             try:
-                with z.open(member) as source:
-                    while block := source.read(1 << 20):
-                        stream.write(block)
+                jvm.org.apache.hadoop.io.IOUtils.copyBytes(members, stream, 1 << 20, False)
             finally:
                 stream.close()
-            out.append(f"{to}/{member.filename}")
+            out.append(f"{to}/{name}")
+    finally:
+        members.close()
     return out
 
 

@@ -1,3 +1,4 @@
+import json
 import zipfile
 
 from pyspark.sql import functions as F
@@ -51,14 +52,22 @@ def test_whole_migration(spark, tmp_path):
     assert [r.name for r in result.logs["byline_unknown"].collect()] == ["nobody"]
 
     migration.write(result, f"{tmp_path}/out", "site.test")
-    lines = [r.value for r in spark.read.text(f"{tmp_path}/out/sql/authors").collect()]
-    assert sorted(lines)[0].startswith("CREATE TABLE authors (id BIGINT PRIMARY KEY AUTO_INCREMENT, display_name VARCHAR(255)")
+    lines = (tmp_path / "out/sql/authors.sql").read_text().split("\n")
+    assert lines[0].startswith("CREATE TABLE authors (id BIGINT PRIMARY KEY AUTO_INCREMENT, display_name VARCHAR(255)")
     assert "INSERT INTO authors (id, display_name, first_name, last_name, email, login) VALUES ('5', 'Gus Tee', 'Gus', 'Tee', NULL, 'gus-t');" in lines
-    files = sorted((tmp_path / "out/sql/articles").glob("part-*"))
-    text = "".join(f.read_text() for f in files).split("\n")
+    text = (tmp_path / "out/sql/articles.sql").read_text().split("\n")
+    assert text[-1] == "" and len(text) == 4
+    by_place = json.loads((tmp_path / "out/authors.json").read_text())
+    assert list(by_place) == ["0", "1", "2", "3"] and by_place["3"]["login"] == "gus-t" and by_place["0"]["email"] is None
+    assert [p.name for p in (tmp_path / "out/articles").glob("*.json")] == ["0.json"]
+    assert [r["slug"] for r in json.loads((tmp_path / "out/articles/0.json").read_text()).values()] == ["one-x", "one-x-1"]
+    state = migration.read_state(spark, f"{tmp_path}/out")
+    assert list(state) == ["byline_unknown"]
+    again = migration.migrate(*migration.read(spark, posts, guests), state=state)
+    assert [(r.name, r.article_ids) for r in again.logs["byline_unknown"].collect()] == [("nobody", [1])]
     assert text[0].startswith("CREATE TABLE articles (`id` BIGINT") and "'https://site.test/wp-content/uploads/1/a.png'" in text[1]
     migration.write_embeddings(result, f"{tmp_path}/out", vectors.hashed_features(4))
-    made = [r.value for r in spark.read.text(f"{tmp_path}/out/sql/article_embeddings").collect()]
+    made = [r.value for r in spark.read.text(f"{tmp_path}/out/sql/article_embeddings.sql").collect()]
     assert any("VECTOR(4)" in x for x in made) and sum(x.startswith("INSERT INTO article_embeddings") for x in made) == 2
 
 

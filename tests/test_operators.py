@@ -47,7 +47,7 @@ def walk(rows):
 
 def test_slugs_match_the_ordered_walk(spark):
     rnd = random.Random(3)
-    for _ in range(6):
+    for _ in range(3):
         ids = rnd.sample(range(1, 40), 30)
         rows = [(i, rnd.choice(["a", "a-2", "b", "b-3", "a-2-1", "c", "article-4", "", "d-1", "d-1-7"])) for i in ids]
         want = walk([(i, b or f"article-{i}") for i, b in rows])
@@ -61,6 +61,15 @@ def test_slugs_of_rows_without_id(spark):
     assert [r.slug for r in got] == ["a", "a-None", "author-None"]
 
 
+def test_many_rows_with_one_base_and_no_id(spark):
+    """Their list has no slug of their own: base, base-None, base-1 and so on, some of them taken by others."""
+    rows = [(None, "n", i) for i in range(300)] + [(1, "n-7", 0), (2, "n", 0), (3, "n-3", 0), (4, "n-None", 0)]
+    got = slugs.unique_slugs(spark.createDataFrame(rows, "id long, title string, o long").repartition(3), (F.col("title"),), "author", tie="o").collect()
+    later = [r.slug for r in sorted(got, key=lambda r: r.o) if r.id is None]
+    assert {r.id: r.slug for r in got if r.id} == {1: "n-7", 2: "n", 3: "n-3", 4: "n-none"}
+    assert later == ["n-None", *(f"n-{k}" for k in range(1, 302) if k not in (3, 7))]
+
+
 def test_similar_pairs_are_exact(spark):
     rnd = random.Random(5)
     texts = sorted({"".join(rnd.choice("ab") for _ in range(rnd.randint(0, 9))) for _ in range(60)})
@@ -166,9 +175,45 @@ def test_settle_and_combine(spark):
     assert [(r.id, r.display_name, r.email) for r in both.orderBy("ord").collect()][3:] == [(4, "z", "1"), (5, None, None)]
 
 
-def test_change_chains(spark):
-    df = spark.createDataFrame([(0, 1, 2), (1, 7, 8), (2, 2, 3), (3, 5, 5)], "ord long, old_id long, new_id long")
-    assert sorted(tuple(r.chain) for r in authors.change_chains(df).collect()) == [(1, 2, 3), (7, 8)]
+def log(edges):
+    """The log written change by change."""
+    chains = []
+    for old, new in edges:
+        own = next((c for c in chains if c[-1] == old), None)
+        if own is not None:
+            own += [new] if own[-1] != new else []
+        elif old != new:
+            chains.append([old, new])
+    return chains
+
+
+@pytest.mark.parametrize("edges", [[(1, 2), (7, 8), (2, 3), (5, 5)], [(1, 2), (2, 3), (2, 4)], [(1, 2), (5, 2), (2, 3)], [(1, 2), (2, 1), (1, 2), (3, 2), (2, 9), (2, 8), (9, 2), (2, 7)], []])
+def test_change_chains(spark, edges):
+    df = spark.createDataFrame([(i, *e) for i, e in enumerate(edges)], "ord long, old_id long, new_id long")
+    assert [r.chain for r in authors.change_chains(df).orderBy("ord").collect()] == log(edges)
+
+
+def test_change_chains_match_the_log(spark):
+    rnd = random.Random(0)
+    edges = [(rnd.randint(0, 14), rnd.randint(0, 14)) for _ in range(40)]
+    df = spark.createDataFrame([(i, *e) for i, e in enumerate(edges)], "ord long, old_id long, new_id long").repartition(3)
+    assert [r.chain for r in authors.change_chains(df).orderBy("ord").collect()] == log(edges)
+
+
+def test_a_decided_row_wins_when_it_is_merged_again(spark):
+    """A dispute is settled; its canonical row is like a third one, whose id is smaller."""
+    df = people(spark, (30, "annabelle beesworth", "F0", "L0", "e0", None), (40, "annabelle beesworthyq", None, None, None, "l1"), (10, "annabelle beeswortha", "F2", "L2", "e2", "l2"))
+    decision = [(0, 30, 40, "annabelle beeswortha", None, "Chosen", None, None)]
+    decisions = spark.createDataFrame(decision, "ord long, first_id long, id long, display_name string, first_name string, last_name string, email string, login string")
+    person = F.struct(*authors.FIELDS)
+    side = lambda o, n: df.where(F.col("ord") == o).select(F.col("ord").alias(f"{n}_ord"), person.alias(n))
+    rows, _ = authors.settle(df, side(0, "left").join(side(1, "right")), decisions)
+    got, _, changes = authors.resolve(rows, decided=decisions.select("id"))
+    assert [tuple(r)[1:] for r in got.collect()] == [(40, "annabelle beeswortha", "F2", "Chosen", "e2", "l2")]
+    assert [(r.old_id, r.then_id, r.new_id) for r in changes.collect()] == [(40, 40, 40)]
+    plain, _, changes = authors.resolve(rows)
+    assert [(r.id, r.first_name, r.last_name) for r in plain.collect()] == [(10, "F2", "L2")]
+    assert [(r.old_id, r.then_id) for r in changes.collect()] == [(40, 10)]
 
 
 def test_match_bylines(spark):
