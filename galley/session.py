@@ -6,8 +6,6 @@ import os
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
-from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -95,22 +93,18 @@ def written(df: DataFrame) -> tuple[DataFrame, str]:
     return df.sparkSession.read.parquet(path), path
 
 
-@contextmanager
-def freeing(spark: SparkSession) -> Iterator[None]:
-    """Inside, the shuffle files of an action go when it ends, not with the driver's next garbage."""
-    free = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(free)
-    spark.conf.set(free, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(free, before)
-
-
 def cut_and_free(df: DataFrame) -> DataFrame:
-    """As cut_lineage; the shuffle files behind the checkpoint go at once."""
-    with freeing(df.sparkSession):
+    """As cut_lineage; the shuffle files behind the checkpoint go at once, not with the driver's next garbage.
+
+    Not for actions that may leave tasks behind, as isEmpty and limits do: these would look for the files.
+    """
+    conf, free = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(free)
+    conf.set(free, "true")
+    try:
         return cut_lineage(df.select("*"))
+    finally:
+        conf.set(free, before)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
