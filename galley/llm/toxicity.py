@@ -13,10 +13,15 @@ of the words of a text. Entries are candidates if their rate in toxic texts is m
 that in clean ones. A greedy cover takes, one by one, the candidate that explains most toxic texts
 not yet explained (at least one of DENSE words is its match), so that words that merely keep company
 with an entry stay out; candidates that many toxic texts and next to no clean ones hold are taken
-too. Weights are the logarithms of the ratios of rates.
+too. Weights are the logarithms of the ratios of rates. The model is bounded too: of the features
+of toxic texts the FEATURES with the largest shares are looked at, the CANDIDATES of highest ratio
+may become entries, ENTRIES and EXCEPTIONS are kept at most. These bound the fitting only; all
+texts are scored, whole.
 
 Defined cases: null and empty texts have density 0 and get the curve's lowest score. Without
-labels of both kinds every score is 0. Repeated rows are scored one by one; labels that repeat or
+labels of both kinds every score is 0. An empty table gives an empty result. Very long texts and
+words are folded and matched whole, in linear time. Extra columns are not returned, whatever their
+names. Repeated rows are scored one by one; labels that repeat or
 contradict each other for one doc_id count as toxic if any does; rows without key are scored but
 never learned from.
 """
@@ -50,11 +55,20 @@ _LOOKS = {
 }
 _HOMOGLYPHS = str.maketrans(_LOOKS)
 _SIGNS = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "l", "+": "t"})
-#: Digits and signs between letters, or digits at a word's beginning with two letters behind.
-_MIXED = re.compile(r"[a-z0-9@$]*[a-z][0-9@$!|+]+[a-z][a-z0-9@$]*|(?<![a-z0-9])[0-9@$]{1,2}[a-z]{2}[a-z0-9@$]*")
+#: A run of letters, digits and signs that holds a digit or sign; what makes it a spelling: signs between letters,
+#: or digits at its beginning with two letters behind. None of them looks at a character more than a few times.
+_SIGNED = re.compile(r"(?<![a-z0-9@$!|+])[a-z]*+[0-9@$!|+][a-z0-9@$!|+]*+")
+_BETWEEN = re.compile(r"[a-z][0-9@$!|+]+[a-z]")
+_BEFORE = re.compile(r"[0-9@$]{1,2}[a-z]{2}")
 _OTHER = re.compile(r"[\W_]+")
 
 
+def _spelled(run: re.Match) -> str:
+    """The letters that a run stands for; signs at its ends are punctuation."""
+    own = run[0].strip("!|+")
+    return run[0].replace(own, own.translate(_SIGNS)) if _BETWEEN.search(own) or _BEFORE.match(own) else run[0]
+
+
 def fold(text: str | None) -> str:
     """Folded words with a space before, between and behind them."""
     if not text:
@@ -64,7 +78,7 @@ def fold(text: str | None) -> str:
         text = unicodedata.normalize("NFKD", text.translate(_HOMOGLYPHS))
         if not text.isascii():
             text = "".join(c for c in text if not unicodedata.combining(c)).translate(_HOMOGLYPHS)
-    text = _MIXED.sub(lambda m: m[0].translate(_SIGNS), text)
+    text = _SIGNED.sub(_spelled, text)
     return f" {_OTHER.sub(' ', text).strip()} ".replace("  ", " ")
 
 
