@@ -16,14 +16,20 @@ stops at `max_repeats` times its source's size, and the excess is shared by weig
 until none is above.
 
 Defined cases: null text: size 0, never taken more than 0 words; null source: a source of its
-own; null doc_id: selected by the hash of the text alone. Repeated rows with one doc_id and text
-have one hash and are taken together. An empty table gives an empty result. Only the pattern
-table (one row for each set of sources that occurs, at most MAX_PATTERNS) comes to the driver.
+own; null or empty membership: in no source, so never taken, with a size and target of source of 0,
+though its words count among all; null doc_id: selected by the hash of the text alone. Repeated rows
+with one doc_id and text have one hash and are taken together, and so are others of equal hash. An
+empty table gives an empty result. Texts are counted whole, however long. Extra columns are kept,
+whatever their names; size, source_size, target, copies and taken replace columns of these names.
+Only the pattern table (one row for each set of sources that occurs) comes to the driver, where
+patterns that overlap no other are served by a formula and the others by the flow; more than
+MAX_PATTERNS patterns raise an error.
 """
 
 from __future__ import annotations
 
 import math
+from collections import deque
 from itertools import cycle
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,12 +37,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from galley.llm.columns import fresh
 from galley.session import cut_lineage
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_REPEATS = 3
 #: Sets of sources in a corpus; more of them mean that `sources` is not a label of sources.
-MAX_PATTERNS = 20_000
+MAX_PATTERNS = 100_000
 LEVELS, BITS = 3, 10
 #: Selections one after the other, and the missing share of a target at which they end.
 SWEEPS, NEAR = 4, 0.002
@@ -99,9 +106,9 @@ def min_cost_flow(supply: list[tuple[int, list[int]]], demand: list[float], repe
         arc(1 + p + j, sink, float(wanted), 0.0)
     while True:
         best, via = [math.inf] * (sink + 1), [-1] * (sink + 1)
-        best[0], queue, queued = 0.0, [0], {0}
+        best[0], queue, queued = 0.0, deque([0]), {0}
         while queue:  # Bellman-Ford by a queue: residual arcs may have negative cost
-            x = queue.pop(0)
+            x = queue.popleft()
             queued.discard(x)
             for e in leaving[x]:
                 if room[e] > 1e-6 and best[x] + cost[e] < best[to[e]] - 1e-12:
@@ -121,6 +128,18 @@ def min_cost_flow(supply: list[tuple[int, list[int]]], demand: list[float], repe
             room[e ^ 1] += push
 
 
+def transport(supply: list[tuple[int, list]], demand: dict, repeats: int = MAX_REPEATS) -> list[dict]:
+    """`min_cost_flow` by names of sources. A source whose documents are in no other is served by its one pattern alone."""
+    shared = {s for _, sources in supply if len(sources) > 1 for s in sources}
+    out = [{s: min(repeats * size, demand[s]) for s in sources} if not shared & set(sources) else {} for size, sources in supply]
+    rest = [i for i, (_, sources) in enumerate(supply) if shared & set(sources)]
+    names = by_code_point(shared)
+    at = {s: j for j, s in enumerate(names)}
+    for i, given in zip(rest, min_cost_flow([(supply[i][0], [at[s] for s in supply[i][1]]) for i in rest], [demand[s] for s in names], repeats)):
+        out[i] = {names[j]: words for j, words in given.items()}
+    return out
+
+
 _SWEEP = T.StructType([T.StructField("begin", T.LongType()), T.StructField("end", T.LongType()), T.StructField("most", T.DoubleType())])
 
 
@@ -180,35 +199,39 @@ def mix(docs: DataFrame, sources: Column, key: str = "doc_id", text: str = "text
     sources: an array of source names. copies: how often the mix takes the document.
     """
     spark = docs.sparkSession
-    pattern = F.to_json(F.array_sort(F.array_distinct(sources)), {"ignoreNullFields": "false"})
     own = [c for c in docs.columns if c not in ("size", "source_size", "target", "copies", "taken")]
-    sized = docs.select(*own).withColumns({"__sources": F.array_sort(F.array_distinct(sources)), "__pattern": pattern, "__size": n_words(F.col(text)), "__rank": _rank(seed, F.col(key), F.when(F.col(key).isNull(), F.col(text)))})
-    slim = cut_lineage(sized.select("__pattern", "__sources", F.col("__size").alias("size"), F.col("__rank").alias("rank")))
-    rows = slim.groupBy("__pattern").agg(F.first("__sources").alias("s"), F.sum("size").alias("n")).limit(MAX_PATTERNS + 1).collect()
+    names = fresh([*docs.columns, "size", "source_size", "target", "copies", "taken"], "sources", "pattern", "words", "rank", "whole", "cut")
+    of, pattern, words, rank, whole_of, cut_of = names
+    member = F.array_sort(F.array_distinct(F.coalesce(sources.cast("array<string>"), F.array().cast("array<string>"))))
+    sized = docs.withColumns({of: member, words: n_words(F.col(text)), rank: _rank(seed, F.col(key), F.when(F.col(key).isNull(), F.col(text)))})
+    sized = sized.withColumn(pattern, F.to_json(of, {"ignoreNullFields": "false"})).select(*own, *names[:4])
+    slim = cut_lineage(sized.select(F.col(pattern).alias("p"), F.col(of).alias("s"), F.col(words).alias("size"), F.col(rank).alias("rank")))
+    rows = slim.groupBy("p").agg(F.first("s").alias("s"), F.sum("size").alias("n")).limit(MAX_PATTERNS + 1).collect()
     if len(rows) > MAX_PATTERNS:
         raise ValueError(f"over {MAX_PATTERNS} sets of sources")
-    rows.sort(key=lambda r: r["__pattern"])
-    names = by_code_point({s for r in rows for s in r["s"]})
-    at = {s: j for j, s in enumerate(names)}
-    sizes = {s: sum(r["n"] for r in rows if s in r["s"]) for s in names}
+    rows.sort(key=lambda r: r["p"])
+    sizes: dict[str | None, int] = dict.fromkeys(by_code_point({s for r in rows for s in r["s"]}), 0)
+    for r in rows:
+        for s in r["s"]:
+            sizes[s] += r["n"]
     want = targets(sizes, sum(r["n"] for r in rows), weights, repeats)
-    flow = min_cost_flow([(r["n"], [at[s] for s in r["s"]]) for r in rows], [want[s] for s in names], repeats)
+    flow = transport([(r["n"], r["s"]) for r in rows], want, repeats)
     whole, part = {}, {}
     for i, (r, given) in enumerate(zip(rows, flow)):
-        words = sum(given.values())
-        whole[i] = min(repeats, int((words + 1e-6) // r["n"])) if r["n"] else 0
-        if whole[i] < repeats and words - whole[i] * r["n"] > 0.5:
-            part[i] = words - whole[i] * r["n"]
-    keys = spark.createDataFrame([(r["__pattern"], i) for i, r in enumerate(rows)], "__pattern string, pattern int")
-    cut = _sweeps(slim.join(F.broadcast(keys), "__pattern").select("pattern", "size", "rank"), part)
+        wanted = sum(given.values())
+        whole[i] = min(repeats, int((wanted + 1e-6) // r["n"])) if r["n"] else 0
+        if whole[i] < repeats and wanted - whole[i] * r["n"] > 0.5:
+            part[i] = wanted - whole[i] * r["n"]
+    keys = spark.createDataFrame([(r["p"], i) for i, r in enumerate(rows)], "p string, pattern int")
+    cut = _sweeps(slim.join(F.broadcast(keys), "p").select("pattern", "size", "rank"), part)
     plan = spark.createDataFrame(
-        [(r["__pattern"], whole[i], cut.get(i, []), sizes[r["s"][0]] if r["s"] else 0, float(want[r["s"][0]]) if r["s"] else 0.0) for i, r in enumerate(rows)],
-        T.StructType([T.StructField("__pattern", T.StringType()), T.StructField("__whole", T.IntegerType()), T.StructField("__cut", T.ArrayType(_SWEEP)), T.StructField("source_size", T.LongType()), T.StructField("target", T.DoubleType())]),
+        [(r["p"], whole[i], cut.get(i, []), sizes[r["s"][0]] if r["s"] else 0, float(want[r["s"][0]]) if r["s"] else 0.0) for i, r in enumerate(rows)],
+        T.StructType([T.StructField(pattern, T.StringType()), T.StructField(whole_of, T.IntegerType()), T.StructField(cut_of, T.ArrayType(_SWEEP)), T.StructField("source_size", T.LongType()), T.StructField("target", T.DoubleType())]),
     )
-    out = sized.join(F.broadcast(plan), "__pattern", "left")  # MAX_PATTERNS rows
-    taken = F.exists("__cut", lambda c: (F.col("__rank") >= c["begin"]) & (F.col("__rank") < c["end"]) & (F.col("__size") <= c["most"]))
-    copies = F.col("__whole") + taken.cast("int")
-    return out.select(*own, F.col("__size").alias("size"), "source_size", "target", copies.alias("copies"), (copies * F.col("__size")).alias("taken"))
+    out = sized.join(F.broadcast(plan), pattern, "left")  # MAX_PATTERNS rows
+    taken = F.exists(cut_of, lambda c: (F.col(rank) >= c["begin"]) & (F.col(rank) < c["end"]) & (F.col(words) <= c["most"]))
+    copies = F.col(whole_of) + taken.cast("int")
+    return out.select(*own, F.col(words).alias("size"), "source_size", "target", copies.alias("copies"), (copies * F.col(words)).alias("taken"))
 
 
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
