@@ -17,11 +17,14 @@ Defined cases: vectors that are null, empty or hold a null or non-finite compone
 vectors of different length have no score. Rows without an id take no part. A candidate is any
 row whose id is not the query's; repeated rows are candidates each. A query id that repeats is
 searched once, with its smallest vector. A query with fewer than k candidates gets all of them.
-Scores are exact up to 2 ** 53; larger ones raise an error.
+Scores are exact up to 2 ** 53; larger ones raise an error. An empty table gives an empty result.
+Extra columns are not returned, whatever their names. Queries beyond one block are searched block by
+block, each block's result being written to the shared folder before the next begins.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -30,6 +33,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from galley.session import shared_folder
+
 BINS = 512
 #: Queries in a block: with 64 components 1 MB, with 4096 components 64 MB.
 BLOCK_QUERIES = 2048
@@ -108,9 +113,14 @@ def _winners(shared, names: np.ndarray, kth: np.ndarray, k: int):
     return run
 
 
-def _block_top(candidates: DataFrame, queries: list, k: int, longest: dict[int, float]) -> DataFrame:
-    """The k best of a block. longest: the largest norm of candidates by length of vectors."""
+def _block_top(candidates: DataFrame, queries: list, k: int) -> DataFrame:
+    """The k best of a block, from each task."""
     spark = candidates.sparkSession
+    whole = lambda x: F.floor(x.cast("double") * 256).cast("double")
+    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + whole(x) * whole(x)))
+    lengths = sorted({len(r["v"]) for r in queries})
+    longest = candidates.where(F.size("v").isin(lengths)).groupBy(F.size("v").alias("d")).agg(F.max(norm).alias("n"))
+    longest = {r["d"]: r["n"] for r in longest.collect()}  # a row for each length in the block
     names = np.array([r["id"] for r in queries], np.int64)
     block, low, high = {}, np.zeros(len(queries)), np.zeros(len(queries))
     for d in {len(r["v"]) for r in queries}:
@@ -137,7 +147,10 @@ def _block_top(candidates: DataFrame, queries: list, k: int, longest: dict[int,
             if width[i] == 1:
                 kth[i], done[i] = low[i], True
             width[i] = max(1.0, np.ceil(width[i] / BINS))
-    return candidates.mapInArrow(_winners(shared, names, kth, k), "query_id long, vec_id long, score long")
+    return candidates.mapInArrow(_winners(shared, names, kth, k), _FOUND)
+
+
+_FOUND = "query_id long, vec_id long, score long"
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, key: str = "vec_id", vector: str = "embedding", block: int = BLOCK_QUERIES) -> DataFrame:
@@ -145,14 +158,15 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, key: str = "vec_id",
     spark = vectors.sparkSession
     candidates = vectors.where(F.col(key).isNotNull() & usable(F.col(vector))).select(F.col(key).cast("long").alias("id"), F.col(vector).alias("v"))
     queries = vectors.where(is_query & F.col(key).isNotNull() & usable(F.col(vector))).groupBy(F.col(key).cast("long").alias("id")).agg(F.min(vector).alias("v"))
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + F.floor(x.cast("double") * 256).cast("double") * F.floor(x.cast("double") * 256).cast("double")))
-    longest = {r["d"]: r["n"] for r in candidates.groupBy(F.size("v").alias("d")).agg(F.max(norm).alias("n")).limit(10_000).collect()}
     blocks = -(-queries.count() // block)
-    out = spark.createDataFrame([], "query_id long, vec_id long, score long")
+    out, path = spark.createDataFrame([], _FOUND), f"{shared_folder(spark)}/{uuid.uuid4().hex}"
     for b in range(blocks):
         own = queries.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b).orderBy("id").collect()  # about `block` rows
-        if own:
-            out = out.union(_block_top(candidates, own, k, longest))
+        if own and blocks == 1:
+            out = _block_top(candidates, own, k)
+        elif own:  # the plan of the result reads one folder, whatever the number of blocks
+            _block_top(candidates, own, k).write.mode("append").parquet(path)
+            out = spark.read.schema(_FOUND).parquet(path)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))  # k rows from each task at most
     return out.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
