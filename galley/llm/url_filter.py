@@ -19,7 +19,8 @@ Two physical forms of that one plan:
 
 Defined cases: null url or one without `://`: host and path are empty, no rule fits. Repeated
 rows are judged one by one and all returned. Rules with null host, path or verdict are left out;
-of equal (host, path) rules `block` wins. Empty tables give empty results.
+of equal (host, path) rules `block` wins. Empty tables give empty results. Extra columns are kept,
+whatever their names; host, path, rule and verdict replace columns of these names.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from galley.llm.columns import fresh
+
 #: Rules in all that are broadcast at most: under 200 bytes each, 20 MB in all.
 BROADCAST_RULES = 100_000
 #: Shapes that become one broadcast lookup each at most.
@@ -99,10 +102,13 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", broadcast_
     return _wide(pages, rules)
 
 
-def _verdict(pages: DataFrame, best: Column, drop: list[str]) -> DataFrame:
-    return pages.withColumn("__best", best).withColumns(
-        {"rule": F.col("__best.rule"), "verdict": F.coalesce(F.col("__best.verdict"), F.lit(DEFAULT_VERDICT))}
-    ).drop("__best", *drop)
+RESULT = ("host", "path", "rule", "verdict")
+
+
+def _verdict(pages: DataFrame, best: Column, columns: list[str]) -> DataFrame:
+    (name,) = fresh([*pages.columns, *RESULT], "best")
+    out = pages.withColumn(name, best).withColumns({"rule": F.col(f"{name}.rule"), "verdict": F.coalesce(F.col(f"{name}.verdict"), F.lit(DEFAULT_VERDICT))})
+    return out.select(*[c for c in columns if c not in RESULT], *RESULT)
 
 
 def _confirmed(hits: str, digest: str) -> Column:
@@ -110,9 +116,9 @@ def _confirmed(hits: str, digest: str) -> Column:
 
 
 def _narrow(pages: DataFrame, rules: DataFrame, shapes: list[tuple[int, int]]) -> DataFrame:
-    hits = []
-    for k, (labels, length) in enumerate(shapes):
-        at, key, digest = f"__hits{k}", f"__short{k}", f"__digest{k}"
+    hits, columns = [], pages.columns
+    for labels, length in shapes:
+        at, key, digest = fresh([*pages.columns, *RESULT], "hits", "short", "digest")
         own = rules.where((F.col("labels") == labels) & (F.col("length") == length))
         own = own.groupBy(F.col("short").alias(key)).agg(F.collect_list("hit").alias(at))  # as long as digests collide
         pages = pages.withColumn(digest, F.sha2(F.concat(F.substring_index("host", ".", -labels), F.lit("/"), F.col("path").substr(1, length)), 256))
@@ -120,8 +126,7 @@ def _narrow(pages: DataFrame, rules: DataFrame, shapes: list[tuple[int, int]]) -
         pages = pages.join(F.broadcast(own), key, "left")
         hits.append(F.get(_confirmed(at, digest), F.lit(0)))
     best = F.array_max(F.array(*hits)) if hits else F.lit(None).cast("struct<rule:string,verdict:string>")
-    out = _verdict(pages, best, [f"__{n}{k}" for n in ("hits", "short", "digest") for k in range(len(shapes))])
-    return out.select(*[c for c in out.columns if c not in ("host", "path", "rule", "verdict")], "host", "path", "rule", "verdict")
+    return _verdict(pages, best, columns)
 
 
 def _wide(pages: DataFrame, rules: DataFrame) -> DataFrame:
@@ -139,10 +144,11 @@ def _wide(pages: DataFrame, rules: DataFrame) -> DataFrame:
     wide = wide.withColumn("digest", digest).withColumn("short", _short(F.col("digest")))
     wide = wide.withColumn("salt", F.pmod(F.xxhash64("host", "path"), F.lit(SALTS)).cast("int"))
     found = wide.join(shaped, ["labels", "length", "short", "salt"]).where(F.col("digest") == F.col("hit.digest"))
-    best = found.groupBy("host", "path").agg(F.max("hit").alias("__hit"))
-    pages = pages.join(best, ["host", "path"], "left")
-    out = _verdict(pages, F.col("__hit"), ["__hit"])
-    return out.select(*[c for c in out.columns if c not in ("host", "path", "rule", "verdict")], "host", "path", "rule", "verdict")
+    best = found.groupBy("host", "path").agg(F.max("hit").alias("hit"))
+    columns, (hit, salt) = pages.columns, fresh([*pages.columns, *RESULT], "hit", "salt")
+    best = best.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).toDF("host", "path", hit, salt)  # pages of one host and path are dealt out
+    pages = pages.withColumn(salt, F.pmod(F.spark_partition_id(), F.lit(SALTS))).join(best, ["host", "path", salt], "left")
+    return _verdict(pages, F.col(hit), columns)
 
 
 #: The rules of query op1_url_filters.
