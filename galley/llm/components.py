@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from galley.session import cut_lineage
+from galley.session import cut_and_free as cut_lineage
 
 
-def _signature(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _settled(edges: DataFrame) -> bool:
+    """Every node has one parent or is one, but not both."""
+    ends = edges.select(F.col("u").alias("id"), F.lit(1).alias("child"), F.lit(0).alias("parent")).union(edges.select("v", F.lit(0), F.lit(1)))
+    return ends.groupBy("id").agg(F.sum("child").alias("c"), F.max("parent").alias("p")).where("c > 1 OR c > 0 AND p > 0").isEmpty()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -21,17 +23,12 @@ def components(links: DataFrame) -> DataFrame:
     """
     edges = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     edges = cut_lineage(edges)
-    before = _signature(edges)
-    while before[0]:
+    while not _settled(edges):
         both = edges.union(edges.select("v", "u"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(least, "u").where("v > u AND v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = cut_lineage(small.union(least.select("u", F.col("m").alias("v"))).distinct())
-        after = _signature(edges)
-        if after == before:
-            break
-        before = after
     roots = edges.select(F.col("v").alias("id"), F.col("v").alias("label")).distinct()
     return edges.select(F.col("u").alias("id"), F.col("v").alias("label")).union(roots)

@@ -16,17 +16,20 @@ connected documents form a component. The steps:
    them are confirmed on the full sets.
 4. What the links connect needs no more test. In lists that still hold entries of different
    components, every entry is described by its difference from the list's central one, a set of s
-   shingles: the r shingles that it lacks and the n that it has beyond, together its features F.
-   With the weight w = 100 r + percent n and the gap g = w - (100 - percent) s, an entry is linked
-   with the central one if g <= 0, and two entries a and y are linked, by the definition, if
-   (100 + percent) |F_a & F_y| >= w_a + w_y - (100 - percent) s. So if y is not linked with the
-   central one, they share at least g_y / (100 + percent) features, and more than w_a / (100 +
-   percent); each is posted under its rarest features only, as many as that demands. Independent
-   edits of one text do not meet in these lists.
+   shingles: the set R of r shingles that it lacks and the set N of n that it has beyond. With the
+   weight w = 100 r + percent n and the gap g = w - (100 - percent) s, an entry is linked with the
+   central one if g <= 0, and two entries a and y are linked, by the definition, if
+   (100 + percent) (|N_a & N_y| + |R_a & R_y|) >= w_a + g_y. Let y be an entry with g_y > 0. As they
+   lack no more in common than a lacks, either (A) they share new shingles, at least
+   g_y / (100 + percent) of them if n_a >= r_a, or (B) g_y <= percent (r_a - n_a), that is a mostly
+   lacks. Pairs of the first kind are posted under new shingles, in which independent edits of a
+   text do not meet; those of the second kind under all that they lack and have, which only few
+   entries near the limit are. In both an entry is posted under its rarest features only, as many
+   as the formulas demand.
 5. A list of features is not expanded either: its entries are paired with a few of them (PIVOTS,
-   twice as many in each further round), links are confirmed by the formula above, components are
-   joined, entries that have been pivots go, lists within one component are done. Nothing is
-   capped: the rounds end when no list is left.
+   eight times as many in each further round), links are confirmed by the formula above, components
+   are joined if many were found, entries that have been pivots go, lists within one component are
+   done. Nothing is capped: the rounds end when no list is left.
 
 What is hot is spread: a key with over a thousandth of the rows of a join is salted (`spread`),
 and pairs carry ids, never texts; sets of shingles are joined to them by id.
@@ -52,11 +55,13 @@ from pyspark.sql import functions as F
 from galley.llm import hashing
 from galley.llm.columns import integral
 from galley.llm.components import components
-from galley.session import cut_lineage
+from galley.session import cut_and_free as cut_lineage
 
 K, MATCHES = 64, 36
+#: Ids by a broadcast of which rows are looked up; above, by a shuffle join.
+BROADCAST_IDS = 300_000
 #: Entries of a list that the others are paired with in the first round.
-PIVOTS = 4
+PIVOTS = 32
 #: Rows of a key, at least, that are spread over several tasks, and the share of all rows.
 HOT_ROWS, HOT_SHARE = 4096, 1000
 
@@ -122,6 +127,12 @@ def _signed(width: int):
     return run
 
 
+def _named(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The rows whose id is in `pairs` (a, b)."""
+    ids = cut_lineage(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
+    return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", "left_semi")
+
+
 def _sets(rows: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
     """(id, s): the sets of the documents in `pairs`."""
 
@@ -130,108 +141,118 @@ def _sets(rows: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
             found = [shingles(words, width).view(np.int64) for words in hashing.of_texts(batch.column(1), lower=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), _lists(found, np.int64)], names=["id", "s"])
 
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    return cut_lineage(rows.join(ids, "id", "left_semi").mapInArrow(run, "id long, s array<long>"))
+    return cut_lineage(_named(rows, pairs).mapInArrow(run, "id long, s array<long>"))
 
 
-def spread(big: DataFrame, small: DataFrame, on: str, by: Column, counts: DataFrame | None = None) -> DataFrame:
+def spread(big: DataFrame, small: DataFrame, on: str, by: Column, rows: DataFrame) -> DataFrame:
     """`big` joined with `small`, in which a value of `on` has few rows; `by` deals the rows of a hot value out.
 
-    Hot are values with over HOT_ROWS rows and a share of over one in HOT_SHARE; so there are at most HOT_SHARE of
-    them, which are broadcast, and `small` repeats their rows HOT_SHARE times more in all at most.
-    big: read several times, so best a checkpoint. counts: (on, n) of all values with several rows, if they are known.
+    rows: `on` of the rows of big, best a checkpoint, or with their counts n already. Hot are values with over
+    HOT_ROWS rows and a share of over one in HOT_SHARE; so there are at most HOT_SHARE of them, which are broadcast,
+    and `small` repeats their rows HOT_SHARE times more in all at most.
     """
-    if counts is None:
-        counts = big.groupBy(on).agg(F.count("*").alias("n"))
+    counts = rows if "n" in rows.columns else rows.groupBy(on).agg(F.count("*").alias("n"))
     top = counts.where(F.col("n") > HOT_ROWS).orderBy(F.desc("n")).limit(HOT_SHARE).collect()  # HOT_SHARE rows
-    least = max(HOT_ROWS, big.count() // HOT_SHARE) if top else 0
-    rows = [(r[on], -(-r["n"] // least)) for r in top if r["n"] > least]
-    if not rows:
+    least = max(HOT_ROWS, counts.agg(F.sum("n")).first()[0] // HOT_SHARE) if top else 0
+    found = [(r[on], -(-r["n"] // least)) for r in top if r["n"] > least]
+    if not found:
         return big.join(small, on)
-    hot = F.broadcast(big.sparkSession.createDataFrame(rows, f"{on} long, _salts int"))  # HOT_SHARE rows
+    hot = F.broadcast(big.sparkSession.createDataFrame(found, f"{on} long, _salts int"))  # HOT_SHARE rows
     dealt = big.join(hot, on, "left").withColumn("_salt", F.coalesce(F.pmod(F.xxhash64(by), F.col("_salts")), F.lit(0)).cast("int")).drop("_salts")
     copied = small.join(hot, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))).drop("_salts")
     return dealt.join(copied, [on, "_salt"]).drop("_salt")
 
 
-def _confirmed(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose full sets are similar enough."""
-    own = cut_lineage(pairs.join(sets.toDF("b", "sb"), "b"))
-    both = spread(own, sets.toDF("a", "sa"), "a", F.col("b")).withColumn("i", F.size(F.array_intersect("sa", "sb")))
-    return both.where(100 * F.col("i") >= percent * (F.size("sa") + F.size("sb") - F.col("i"))).select("a", "b")
+def _both(pairs: DataFrame, of: DataFrame, name: str) -> DataFrame:
+    """pairs: (a, b, ...), a checkpoint, with column `name` of `of` (id, name) for both, as name + a and name + b."""
+    own = pairs.join(of.toDF("b", f"{name}b"), "b")
+    return spread(own, of.toDF("a", f"{name}a"), "a", F.col("b"), pairs.select("a"))
 
 
 def _links(rows: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs with enough collisions whose full sets are similar enough."""
-    sigs = classes.select("id", "sig")
-    own = cut_lineage(pairs.join(sigs.toDF("b", "sb"), "b"))
-    both = spread(own, sigs.toDF("a", "sa"), "a", F.col("b"))
-    equal = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-    near = cut_lineage(both.where(equal >= MATCHES).select("a", "b"))
-    return cut_lineage(_confirmed(_sets(rows, near, width), near, percent))
+    both = _both(pairs, classes.select("id", F.struct("sig", "n").alias("c")), "c")
+    alike = 100 * F.least("ca.n", "cb.n") >= percent * F.greatest("ca.n", "cb.n")
+    equal = F.aggregate(F.zip_with("ca.sig", "cb.sig", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
+    near = cut_lineage(both.where(alike).where(equal >= MATCHES).select("a", "b"))
+    both = _both(near, _sets(rows, near, width), "s").withColumn("i", F.size(F.array_intersect("sa", "sb")))
+    return cut_lineage(both.where(100 * F.col("i") >= percent * (F.size("sa") + F.size("sb") - F.col("i"))).select("a", "b"))
 
 
-def _differences(rows: DataFrame, open_: DataFrame, width: int, percent: int) -> DataFrame:
-    """(o, lo, id, label, w, g, f): the difference of each entry of an open list from the list's central one.
+def _differences(rows: DataFrame, open_: DataFrame, width: int) -> DataFrame:
+    """(o, lo, id, label, s, new, lacked): the difference of each entry of an open list from the list's central one.
 
     open_: (o, lo, id, label), the entries of open lists with the lists' central entries and both components.
     """
     pairs = cut_lineage(open_.where("id <> o").select(F.col("o").alias("a"), "lo", F.col("id").alias("b"), "label"))
-    sets = _sets(rows, pairs, width)
-    own = cut_lineage(pairs.join(sets.toDF("b", "sb"), "b"))
-    both = spread(own, sets.toDF("a", "sa"), "a", F.col("b")).withColumns({"lacked": F.array_except("sa", "sb"), "new": F.array_except("sb", "sa")})
-    weight = 100 * F.size("lacked").cast("long") + percent * F.size("new")
-    other = F.transform("lacked", lambda x: F.bitwise_not(x))  # what is lacked is another feature than what is new
-    out = both.select(F.col("a").alias("o"), "lo", F.col("b").alias("id"), "label", weight.alias("w"), (weight - (100 - percent) * F.size("sa")).alias("g"), F.concat("new", other).alias("f"))
+    both = _both(pairs, _sets(rows, pairs, width), "s")
+    out = both.select(F.col("a").alias("o"), "lo", F.col("b").alias("id"), "label", F.size("sa").cast("long").alias("s"), F.array_except("sb", "sa").alias("new"), F.array_except("sa", "sb").alias("lacked"))
     return cut_lineage(out)
 
 
-def _posted(delta: DataFrame, percent: int) -> DataFrame:
-    """(list, o, id, label, y, x): entries under their rarest features, as one not linked with the central entry (y), as its partner (x)."""
-    posts = delta.select("o", "id", F.explode("f").alias("feature"))
+def _rare(delta: DataFrame, features: str) -> DataFrame:
+    """(o, id, l): the features that several entries of a list have, by their number of entries, rarest first."""
+    posts = delta.select("o", "id", F.explode(features).alias("feature"))
     shared = posts.groupBy("o", "feature").agg(F.count("*").alias("c")).where("c > 1")
-    rare = posts.join(shared, ["o", "feature"]).groupBy("o", "id").agg(F.sort_array(F.collect_list(F.struct("c", "feature"))).alias("l"))  # a text's features
+    return posts.join(shared, ["o", "feature"]).groupBy("o", "id").agg(F.sort_array(F.collect_list(F.struct("c", "feature"))).alias("l"))  # a text's features
+
+
+def _posted(delta: DataFrame, percent: int) -> DataFrame:
+    """(list, o, id, label, y, q, x, d): entries as one with a gap (y) and as its partner (x); they may be linked if q <= d."""
     share = 100 + percent
-    needs = {"y": F.greatest(F.lit(1), F.ceil(F.col("g") / share)), "x": F.floor(F.col("w") / share) + 1}
-    own = rare.join(delta.select("o", "id", "label", "w", "g"), ["o", "id"]).withColumns({k: F.size("l") - v for k, v in needs.items()})
-    own = own.select("o", "id", "label", "g", "x", "y", F.posexplode("l").alias("at", "e"))
-    own = own.select(F.xxhash64("o", "e.feature").alias("list"), "o", "id", "label", ((F.col("g") > 0) & (F.col("at") <= F.col("y"))).alias("y"), (F.col("at") <= F.col("x")).alias("x"))
-    return own.where("x OR y")
+    facts = delta.drop("new", "lacked", "f")
+    short = F.greatest(F.lit(1), F.ceil(F.col("g") / share))  # features that one with a gap shares with its partner
+
+    own = _rare(delta, "new").join(facts, ["o", "id"]).withColumn("rare", F.size("l") - short)
+    own = own.select("o", "id", "label", "g", "more", "rare", F.posexplode("l").alias("at", "e"))
+    deep = (F.col("at") > F.col("rare")).cast("long")
+    a = own.select(F.xxhash64("o", "e.feature").alias("list"), "o", "id", "label", (F.col("g") > 0).alias("y"), deep.alias("q"), F.lit(True).alias("x"), (F.col("more") > 0).cast("long").alias("d"))
+
+    of_list = delta.groupBy("o").agg(F.min(F.when(F.col("g") > 0, F.col("g"))).alias("least"), F.max("more").alias("most"))
+    some = delta.join(of_list, "o").withColumns({"as_y": (F.col("g") > 0) & (F.col("g") <= percent * F.col("most")), "as_x": (F.col("more") > 0) & (percent * F.col("more") >= F.col("least"))}).where("as_x OR as_y")
+    some = cut_lineage(some)
+    own = _rare(some, "f").join(some.drop("new", "lacked", "f"), ["o", "id"])
+    own = own.withColumns({"rare_y": F.size("l") - short, "rare_x": F.size("l") - F.floor(F.col("w") / share) - 1})
+    own = own.select("o", "id", "label", "g", "more", "as_x", "as_y", "rare_x", "rare_y", F.posexplode("l").alias("at", "e"))
+    b = own.select(F.xxhash64("o", "e.feature", F.lit("B")).alias("list"), "o", "id", "label", (F.col("as_y") & (F.col("at") <= F.col("rare_y"))).alias("y"), F.col("g").alias("q"), (F.col("as_x") & (F.col("at") <= F.col("rare_x"))).alias("x"), (percent * F.col("more")).alias("d"))
+    return a.union(b).where("x OR y")
 
 
 def _open(posted: DataFrame) -> DataFrame:
     """The entries of lists in which a pair of different components is left."""
-    lists = posted.groupBy("list").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max("y").alias("some_y"), F.max("x").alias("some_x"))
-    lists = lists.where("low < high AND some_y AND some_x").select("list")
+    lists = posted.groupBy("list").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min(F.when(F.col("y"), F.col("q"))).alias("q"), F.max(F.when(F.col("x"), F.col("d"))).alias("d"), F.count("*").alias("size"))
+    lists = lists.where("low < high AND q <= d").select("list", "size")
     return cut_lineage(posted.join(lists, "list"))
 
 
 def _across(delta: DataFrame, percent: int) -> DataFrame:
     """(a, b): links between different components of open lists, enough of them to join all that are linked."""
+    weight = 100 * F.size("lacked").cast("long") + percent * F.size("new")
+    other = F.transform("lacked", lambda x: F.bitwise_not(x))  # what is lacked is another feature than what is new
+    delta = delta.withColumns({"w": weight, "g": weight - (100 - percent) * F.col("s"), "more": (F.size("lacked") - F.size("new")).cast("long"), "f": F.concat("new", other)}).drop("s")
     found = delta.where("g <= 0 AND label <> lo").select(F.col("o").alias("a"), F.col("id").alias("b"))
-    facts, pivots = delta.select("o", "id", "w", "g", "f"), PIVOTS
+    facts, pivots = delta.select(F.xxhash64("o", "id").alias("id"), F.struct("w", "g", "f").alias("c")), PIVOTS
     posted = _open(_posted(delta, percent))
     while not posted.isEmpty():
-        slot = F.pmod(F.xxhash64("id", F.lit(pivots)), F.lit(pivots))
-        best = posted.groupBy("list", slot).agg(F.max(F.struct("y", "x", "id", "label")).alias("p"))
-        of_list = cut_lineage(best.groupBy("list").agg(F.collect_list("p").alias("ps")))  # as many as there are pivots
-        met = spread(posted, of_list, "list", F.col("id")).withColumn("p", F.explode("ps"))
-        roles = (F.col("p.y") & F.col("x")) | (F.col("p.x") & F.col("y"))
-        tests = met.where(roles & (F.col("p.label") != F.col("label"))).select("o", F.col("p.id").alias("a"), F.col("id").alias("b")).distinct()
-        tests = tests.join(facts.select("o", F.col("id").alias("b"), F.col("g").alias("gb"), F.col("f").alias("fb")), ["o", "b"])
-        tests = cut_lineage(tests.withColumn("of", F.xxhash64("o", "a")))
-        mine = facts.select(F.xxhash64("o", "id").alias("of"), F.col("w").alias("wa"), F.col("f").alias("fa"))
-        shared = F.size(F.array_intersect("fa", "fb"))
-        new = spread(tests, mine, "of", F.col("b")).where((100 + percent) * shared >= F.col("wa") + F.col("gb"))
-        new = cut_lineage(new.select("a", "b").distinct())
+        slot = F.when(F.col("size") <= 2 * pivots, F.col("id")).otherwise(F.pmod(F.xxhash64("id", F.lit(pivots)), F.lit(pivots)))  # of a short list all
+        best = posted.groupBy("list", slot).agg(F.max(F.struct("y", "x", "id", "label", "q", "d")).alias("p"))
+        of_list = cut_lineage(best.groupBy("list").agg(F.collect_list("p").alias("ps")))  # 2 * pivots at most
+        met = spread(posted, of_list, "list", F.col("id"), posted.select("list")).withColumn("p", F.explode("ps"))
+        roles = (F.col("p.y") & F.col("x") & (F.col("p.q") <= F.col("d"))) | (F.col("p.x") & F.col("y") & (F.col("q") <= F.col("p.d")))
+        met = met.where(roles & (F.col("p.label") != F.col("label")))
+        tests = met.groupBy(F.col("p.id").alias("pivot"), "id").agg(F.min("o").alias("o"))  # a pair once, whatever lists it meets in
+        tests = cut_lineage(tests.select("pivot", "id", F.xxhash64("o", "pivot").alias("a"), F.xxhash64("o", "id").alias("b")))
+        shared = F.size(F.array_intersect("ca.f", "cb.f"))
+        new = _both(tests, _named(facts, tests), "c").where((100 + percent) * shared >= F.col("ca.w") + F.col("cb.g"))
+        new = cut_lineage(new.select(F.col("pivot").alias("a"), F.col("id").alias("b")))
         rest = posted.join(of_list.select("list", F.explode("ps.id").alias("id")), ["list", "id"], "left_anti")
-        if not new.isEmpty():
-            found = found.union(new)
+        found, n = found.union(new), new.count()
+        if 10 * n >= tests.count():  # lists fall apart into few components; else it is not worth while
             joined = posted.select("id", "label").distinct()
             joined = new.join(joined.toDF("a", "la"), "a").join(joined.toDF("b", "lb"), "b").select(F.col("la").alias("a"), F.col("lb").alias("b"))
             to = components(joined).select(F.col("id").alias("label"), F.col("label").alias("to"))
             rest = rest.join(to, "label", "left").withColumn("label", F.coalesce("to", "label")).drop("to")
-        posted, pivots = _open(rest), 2 * pivots
+        posted, pivots = _open(rest.select(*posted.columns).drop("size")), 8 * pivots
     return found
 
 
@@ -241,7 +262,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     signed = cut_lineage(rows.mapInArrow(_signed(width), "id long, n_shingles long, high long, low long, sig array<int>"))
     some = signed.where("n_shingles > 0 AND id IS NOT NULL")
-    classes = cut_lineage(some.groupBy("high", "low").agg(F.min("id").alias("id"), F.first("sig").alias("sig")))
+    classes = cut_lineage(some.groupBy("high", "low").agg(F.min("id").alias("id"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n")))
 
     coordinate = F.shiftleft(F.col("at").cast("long"), 32).bitwiseOR(F.col("value").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
     posted = classes.select("id", F.posexplode("sig").alias("at", "value")).select("id", coordinate.alias("key"))
@@ -266,7 +287,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     twice = some.groupBy("id").agg(F.min(F.struct("high", "low")).alias("x"), F.max(F.struct("high", "low")).alias("y")).where("x <> y").select("id")  # one document, several texts
     more = some.join(twice, "id", "left_semi").join(classes.select("high", "low", F.col("id").alias("b")), ["high", "low"]).select(F.col("id").alias("a"), "b")
     if not open_.isEmpty():
-        more = more.union(_across(_differences(rows, open_, width, percent), percent))
+        more = more.union(_across(_differences(rows, open_, width), percent))
     more = cut_lineage(more.where("a <> b"))
     if not more.isEmpty():
         label = components(label.toDF("a", "b").union(more))
