@@ -11,9 +11,13 @@ The library's own encoder gives every count. What is built round it:
 * rows are taken in groups of about equal bytes, and a text over the group size is worked off in
   windows that end at safe boundaries, so memory does not follow the longest text.
 
+A .model file is counted by `sentencepiece` through `spm.Codec`, text by text, units of BPE models once
+for a batch.
+
 Special strings inside texts are handled as the library's default does (they become the special
 token); no tokens are added. Defined cases: null counts as an empty text; empty: 0 tokens, not
-over the limit. Repeated rows are counted one by one; other columns are not touched.
+over the limit. Repeated rows are counted one by one. An empty table gives an empty result. Other
+columns are not returned, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,6 +30,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
+from galley.llm import spm
+
 GROUP_BYTES = 1 << 20
 #: Remembered parts in a worker, and the longest of them.
 MEMO_PARTS = 800_000
@@ -104,14 +110,25 @@ class Counter:
         return [sum(map(own.__getitem__, a)) + sum(map(after.__getitem__, b)) + n * self.line_feed for a, b, n in split]
 
 
-_counters: dict[str, Counter] = {}
+class PieceCounter:
+    """Counts by a SentencePiece model; its texts are not cut."""
+
+    def __init__(self, path: str):
+        self.codec = spm.codec(path)
+
+    def count(self, texts: list[str]) -> list[int]:
+        return pc.list_value_length(self.codec.encode(pa.array(texts, pa.string()))).to_pylist()
+
+
+_counters: dict[str, Counter | PieceCounter] = {}
 
 
-def counter(path: str) -> Counter:
+def counter(path: str) -> Counter | PieceCounter:
     """One for each worker and vocabulary; a .json file by `tokenizers`, a .model file by `sentencepiece`."""
     if path not in _counters:
         if path.endswith(".model"):
-            raise ValueError("safe boundaries here are those of byte-level BPE; use the SentencePiece operator for .model files")
+            _counters[path] = PieceCounter(path)
+            return _counters[path]
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -122,8 +139,8 @@ def counter(path: str) -> Counter:
     return _counters[path]
 
 
-def count_batch(texts: pa.Array, count: Callable[[list[str]], list[int]], group_bytes: int = GROUP_BYTES) -> tuple[list[int], list[int]]:
-    """(bytes, tokens) of each text, worked off in groups of about `group_bytes`."""
+def count_batch(texts: pa.Array, count: Callable[[list[str]], list[int]], group_bytes: int = GROUP_BYTES, cut: bool = True) -> tuple[list[int], list[int]]:
+    """(bytes, tokens) of each text, worked off in groups of about `group_bytes`; cut: longer texts in windows."""
     n_bytes = pc.fill_null(pc.binary_length(texts.cast(pa.large_binary())), 0).to_pylist()
     n_tokens, begin = [0] * len(n_bytes), 0
     while begin < len(n_bytes):
@@ -131,7 +148,7 @@ def count_batch(texts: pa.Array, count: Callable[[list[str]], list[int]], group_
         while end < len(n_bytes) and held + n_bytes[end] <= group_bytes:
             held += n_bytes[end]
             end += 1
-        if held > group_bytes:  # one long text
+        if held > group_bytes and cut:  # one long text
             n_tokens[begin] = sum(count([w])[0] for w in split_safely(texts[begin].as_py(), group_bytes // 4))
         else:
             n_tokens[begin:end] = count([t or "" for t in texts.slice(begin, end - begin).to_pylist()])
@@ -145,7 +162,7 @@ def count_tokens(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", path: s
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = counter(path or tokenizer_path(vocabulary))
         for batch in batches:
-            n_bytes, n_tokens = count_batch(batch.column(1), own.count)
+            n_bytes, n_tokens = count_batch(batch.column(1), own.count, cut=isinstance(own, Counter))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n_bytes, pa.int64()), pa.array(n_tokens, pa.int64()), pa.array([n > limit for n in n_tokens], pa.bool_())],
                 names=[key, "n_bytes", "n_tokens", "over_limit"],
