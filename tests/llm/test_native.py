@@ -43,6 +43,27 @@ def test_urls_match_brute_force(spark, few):
     assert judged(got) == sorted((str(u), *judge(u, rules)) for u in urls)
 
 
+@pytest.mark.parametrize("shapes", [16, 0])
+def test_columns_may_have_any_name(spark, shapes):
+    names = ["hits", "short", "digest", "best", "hit", "salt", "host", "rule", "__hits0", "labels", "length"]
+    df = spark.createDataFrame([("http://www.example.com/en/x", *range(len(names)))], ["url", *names])
+    r = url_filter.filter_urls(df, url_filter.rules_frame(spark, url_filter.QUERY_RULES), narrow_shapes=shapes).first().asDict()
+    assert (r["host"], r["rule"], r["verdict"]) == ("www.example.com", "www.example.com/en/", "allow")
+    assert {n: r[n] for n in names if n not in ("host", "rule")} == {n: i for i, n in enumerate(names) if n not in ("host", "rule")}
+
+
+def test_long_repetitive_texts(spark):
+    """Windows of texts of thousands of words, by positions of equal windows."""
+    rnd = random.Random(5)
+    unit = [f"w{rnd.randint(0, 40)}" for _ in range(2500)]
+    texts = [" ".join(unit + unit[100:900] + [f"x{i}" for i in range(500)]), "a b c d e f g h i " * 700, " ".join(f"y{i}" for i in range(6000))]
+    for i, r in enumerate(spark.createDataFrame(list(enumerate(texts)), "i int, text string").withColumn("s", quality.stats(F.col("text"))).orderBy("i").collect()):
+        words, at = texts[i].split(), {}
+        for k in range(len(words) - 7):
+            at.setdefault(tuple(words[k : k + 8]), []).append(k)
+        assert r.s.n_repeat_words == len({k + j for own in at.values() if len(own) > 1 for k in own for j in range(8)})
+
+
 def test_urls_of_nothing(spark):
     empty = spark.createDataFrame([], "page_id int, url string")
     rules = url_filter.rules_frame(spark, url_filter.QUERY_RULES)
