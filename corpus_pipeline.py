@@ -4,6 +4,9 @@ Every stage takes (spark, docs, sf_dir), with docs of the columns COLUMNS, and r
 DataFrame; all but the last return COLUMNS again. Rows with nulls in any column go through:
 a null text is rejected by the first stage, a null doc_id is linked and deduplicated with
 nothing, a null source is a source of its own. Extra columns are dropped by the first stage.
+Empty tables give empty results. Texts are worked on whole, however long. Ties: of near copies the
+smallest doc_id stays, of rows with one doc_id the first by text; repeated rows without doc_id all
+stay. Equal selection hashes in the mix are taken together.
 """
 
 from __future__ import annotations
@@ -12,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from galley.llm import chunk_dedup, mixing, neardup, quality, spm
-from galley.session import cut_lineage
+from galley.session import cut_lineage, written
+from galley.sources.export import delete
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -69,10 +73,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on `documents`; the result of each but the last is written and read back through a checkpoint."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-        if (name, stage) != STAGES[-1]:
-            docs = cut_lineage(docs)
-    return docs
+    """All stages on `documents`; the result of each but the last is written as Parquet and read again, and goes when the next is written."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for _, stage in STAGES[:-1]:
+        docs, path = written(stage(spark, docs, sf_dir))
+        if before:
+            delete(spark, before)
+        before = path
+    return STAGES[-1][1](spark, docs, sf_dir)
