@@ -6,37 +6,64 @@ base-<number>, so rows meet only if their bases agree without trailing numbers (
 in which no base repeats keep their bases, roots with one base get ids behind it; both are plain
 expressions. In the other roots rows bid in rounds: each row bids for one slug of its list, the
 earliest bidder of a slug holds it, the others go on to a later one. That ends in the same slugs,
-as no row ever passes one that it could have had.
+as no row ever passes one that it could have had. Rows that neither their base nor base-id was left
+to are given numbers together, base by base: these few rows of a base are one task's.
 """
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from galley.functions.names import slug
 from galley.session import cut_lineage
 
 
-def _bids(rows: DataFrame) -> DataFrame:
-    """(row, slug) of rows (row, base, id, place). place: (no id, id, tie, row), by which rows come in order.
+_PLACE = ["none", "id", "tie", "row"]
+_NUMBERED = "^(.*)-(0|[1-9][0-9]{0,17})$"
 
-    Rows of one base that neither the base nor base-id was left to share the rest of their lists, so
-    the nth of them in order cannot have a number below n: it goes there at once.
-    """
+
+def _numbers(group: pd.DataFrame) -> pd.DataFrame:
+    """(row, number): for the rows of a base without a slug (number null) the least numbers that no earlier one has."""
+    after: dict[int, int] = {}  # a number that is gone, and one behind it
+
+    def free(k: int) -> int:
+        path = []
+        while k in after:
+            path.append(k)
+            k = after[k]
+        after.update(dict.fromkeys(path, k))
+        return k
+
+    found = []
+    for row, number in group.sort_values(_PLACE)[["row", "number"]].itertuples(index=False):
+        k = free(1) if pd.isna(number) else int(number)
+        if pd.isna(number):
+            found.append((row, k))
+        after.setdefault(k, k + 1)
+    return pd.DataFrame(found, columns=["row", "number"])
+
+
+def _bids(rows: DataFrame) -> DataFrame:
+    """(row, slug) of rows (row, base, id, place). place: (no id, id, tie, row), by which rows come in order."""
     own = F.coalesce(F.col("id").cast("string"), F.lit("None"))
-    bid = F.when(F.col("n") == 0, F.col("base")).when(F.col("n") == 1, F.concat("base", F.lit("-"), own)).otherwise(F.concat("base", F.lit("-"), (F.col("n") - 1).cast("string")))
-    state = cut_lineage(rows.withColumns({"n": F.lit(0).cast("long"), "lost": F.lit(True)}).withColumn("slug", bid))
-    while not state.where("lost").isEmpty():
+    state = cut_lineage(rows.select("row", "base", "id", "place", F.lit(0).alias("n"), F.col("base").alias("slug")))
+    while True:
         holders = state.groupBy("slug").agg(F.min("place").alias("holder"), F.count("*").alias("bidders")).where("bidders > 1")
-        judged = state.drop("lost").join(holders, "slug", "left").withColumn("lost", F.coalesce(F.col("place") != F.col("holder"), F.lit(False)))
-        moved = judged.withColumn("n", F.col("n") + F.col("lost").cast("long"))
-        late = F.when(F.col("n") >= 2, F.lit(1)).otherwise(F.lit(0))
-        nth = F.sum(late).over(Window.partitionBy("base").orderBy("place").rowsBetween(Window.unboundedPreceding, 0))
-        moved = moved.withColumn("n", F.when(late == 1, F.greatest("n", nth + 1)).otherwise(F.col("n")))
-        state = cut_lineage(moved.select("row", "base", "id", "place", "n", "lost").withColumn("slug", bid))
-    return state.select("row", "slug")
+        judged = state.join(holders, "slug", "left").withColumn("lost", F.coalesce(F.col("place") != F.col("holder"), F.lit(False)))
+        judged = cut_lineage(judged.select("row", "base", "id", "place", F.least(F.lit(2), F.col("n") + F.col("lost").cast("int")).alias("n"), "slug", "lost"))
+        if judged.where("lost").isEmpty():
+            return judged.select("row", "slug")
+        late = judged.where("n = 2")
+        held = judged.where("NOT lost").withColumns({"of": F.regexp_extract("slug", _NUMBERED, 1), "number": F.regexp_extract("slug", _NUMBERED, 2)})
+        held = held.where("number <> '' AND NOT (n = 2 AND base = of)").join(late.select(F.col("base").alias("of")).distinct(), "of", "left_semi")
+        both = late.select("base", "place.*", F.lit(None).cast("long").alias("number")).union(held.select("of", "place.*", F.col("number").cast("long")))
+        given = both.groupBy("base").applyInPandas(_numbers, "row long, number long")
+        late = late.join(given, "row").withColumn("slug", F.concat("base", F.lit("-"), F.col("number").cast("string")))
+        early = judged.where("n < 2").withColumn("slug", F.when(F.col("n") == 0, F.col("base")).otherwise(F.concat("base", F.lit("-"), own)))
+        columns = ["row", "base", "id", "place", "n", "slug"]
+        state = cut_lineage(early.select(columns).union(late.select(columns)))
 
 
 def unique_slugs(df: DataFrame, sources: tuple[Column, ...], fallback: str, key: str = "id", name: str = "slug", tie: str | None = None) -> DataFrame:
