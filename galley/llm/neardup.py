@@ -55,7 +55,7 @@ from pyspark.sql import functions as F
 from galley.llm import hashing
 from galley.llm.columns import integral
 from galley.llm.components import components
-from galley.session import cut_and_free as cut_lineage
+from galley.session import cut_lineage, free_unused
 
 K, MATCHES = 64, 36
 #: Ids by a broadcast of which rows are looked up; above, by a shuffle join.
@@ -234,6 +234,7 @@ def _across(delta: DataFrame, percent: int) -> DataFrame:
     facts, pivots = delta.select(F.xxhash64("o", "id").alias("id"), F.struct("w", "g", "f").alias("c")), PIVOTS
     posted = _open(_posted(delta, percent))
     while not posted.isEmpty():
+        free_unused(delta.sparkSession)
         slot = F.when(F.col("size") <= 2 * pivots, F.col("id")).otherwise(F.pmod(F.xxhash64("id", F.lit(pivots)), F.lit(pivots)))  # of a short list all
         best = posted.groupBy("list", slot).agg(F.max(F.struct("y", "x", "id", "label", "q", "d")).alias("p"))
         of_list = cut_lineage(best.groupBy("list").agg(F.collect_list("p").alias("ps")))  # 2 * pivots at most
@@ -278,6 +279,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     star = cut_lineage(star.where("id <> a").select("a", F.col("id").alias("b")).distinct())
     links = _links(rows, classes, star, width, percent)
 
+    free_unused(docs.sparkSession)
     label = components(links)
     placed = cut_lineage(entries.join(label, "id", "left").select("key", "id", F.coalesce("label", "id").alias("label")))
     mixed = placed.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("key")
@@ -287,6 +289,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     twice = some.groupBy("id").agg(F.min(F.struct("high", "low")).alias("x"), F.max(F.struct("high", "low")).alias("y")).where("x <> y").select("id")  # one document, several texts
     more = some.join(twice, "id", "left_semi").join(classes.select("high", "low", F.col("id").alias("b")), ["high", "low"]).select(F.col("id").alias("a"), "b")
     if not open_.isEmpty():
+        free_unused(docs.sparkSession)
         more = more.union(_across(_differences(rows, open_, width), percent))
     more = cut_lineage(more.where("a <> b"))
     if not more.isEmpty():
