@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from galley.llm import chunk_dedup, langid, mixing, neardup, quality, spm, tokencount, topk, toxicity, url_filter
+from galley.llm import bucket_pair, chunk_dedup, langid, mixing, neardup, quality, spm, tokencount, topk, toxicity, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_sentencepiece": spm.op8_sentencepiece,
         "op9_token_counts": tokencount.op9_token_counts,
         "op10_source_mix": mixing.op10_source_mix,
+        "op12_bucketed_pair": bucket_pair.op12_bucketed_pair,
     }
 
 
