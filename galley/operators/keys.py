@@ -1,37 +1,53 @@
-"""Dense keys, running numbers and buckets without a global sort in one task."""
+"""Dense keys, running numbers and buckets without a global sort in one task.
+
+Rows are dealt out by ranges of a sample, sorted in their range and written down with their place
+in it; the counts of the ranges give the first number of each. There is a count for each range, that
+is for each partition, however sparse, dense or unevenly spread the values are.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-#: Order values that share a bucket; a bucket is numbered in one task.
-SPAN = 100_000
+from galley.columns import fresh
+from galley.session import cut_lineage
+
+#: monotonically_increasing_id has the row's place in its partition in these bits.
+_LOCAL = (1 << 33) - 1
 
 
-def dense_ids(df: DataFrame, order: str, name: str = "id", start: int = 0, then: tuple[str, ...] = (), span: int = SPAN) -> DataFrame:
-    """`df` with 0, 1, 2, ... in `name`, in the order of a long column and the columns `then`.
+def in_ranges(df: DataFrame, *order: Column, part: str = "part", local: str = "local") -> DataFrame:
+    """`df` by ranges of `order`, sorted, with the number of the range and the place in it.
 
-    Rows are numbered inside buckets of order values; the buckets' offsets come from their counts,
-    of which there is one for each bucket.
+    Samples may differ from run to run, so only a checkpoint of it may be read twice.
     """
-    bucket = F.floor(F.col(order) / span)
-    df = df.withColumn("__bucket", bucket)
-    counts = df.groupBy("__bucket").agg(F.count("*").alias("__n"))
-    before = F.coalesce(F.sum("__n").over(Window.orderBy(F.col("__bucket").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = counts.select("__bucket", before.alias("__before"))
-    local = F.row_number().over(Window.partitionBy("__bucket").orderBy(order, *then))
-    out = df.withColumn("__local", local).alias("d").join(offsets.alias("o"), F.col("d.__bucket").eqNullSafe(F.col("o.__bucket")))
-    number = (F.col("__before") + F.col("__local") - 1 + start).cast("long")
-    kept = [F.col(f"d.{c}") for c in df.columns if c not in ("__bucket", name)]
-    return out.select(number.alias(name), *kept)
+    rows = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    return rows.withColumns({part: F.spark_partition_id(), local: F.monotonically_increasing_id().bitwiseAND(F.lit(_LOCAL))})
+
+
+def sorted_parts(df: DataFrame, *order: Column, part: str = "part", local: str = "local") -> DataFrame:
+    """A checkpoint of `in_ranges`."""
+    return cut_lineage(in_ranges(df, *order, part=part, local=local))
+
+
+def dense_ids(df: DataFrame, order: str, name: str = "id", start: int = 0, then: tuple[str, ...] = ()) -> DataFrame:
+    """`df` with 0, 1, 2, ... in `name`, in the order of the columns `order` and `then`, null first."""
+    part, local, before = fresh([*df.columns, name], "part", "local", "before")
+    rows = sorted_parts(df, F.col(order), *[F.col(c) for c in then], part=part, local=local)
+    counts = {r[part]: r["count"] for r in rows.groupBy(part).count().collect()}  # partitions
+    offsets, n = [], start
+    for p in sorted(counts):
+        offsets.append((p, n))
+        n += counts[p]
+    first = F.broadcast(df.sparkSession.createDataFrame(offsets, f"{part} int, {before} long"))
+    return rows.join(first, part).select((F.col(before) + F.col(local)).alias(name), *[c for c in df.columns if c != name])
 
 
 def bridge_rows(articles: DataFrame, article: str = "id", authors: str = "author_ids", order: str = "id") -> DataFrame:
     """(id, author_id, articles_id): a row for each author of each article, numbered from 1."""
-    pairs = articles.select(F.col(order).cast("long").alias("__order"), F.col(article).alias("articles_id"), F.posexplode(authors).alias("__at", "author_id"))
-    return dense_ids(pairs, "__order", "id", 1, ("__at",)).select("id", F.col("author_id"), F.col("articles_id"))
+    pairs = articles.select(F.col(order).cast("long").alias("place"), F.col(article).alias("articles_id"), F.posexplode(authors).alias("at", "author_id"))
+    return dense_ids(pairs, "place", "id", 1, ("at",)).select("id", "author_id", "articles_id")
 
 
 def next_id(df: DataFrame, name: str = "id") -> int:

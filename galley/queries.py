@@ -328,7 +328,7 @@ def f2_bridge_rows(spark, sf):
 
 @query("SELECT (row_number() OVER (ORDER BY event_id) - 1)::BIGINT AS id, event_id FROM events WHERE event_type <> 'click'")
 def f1_dense_ids(spark, sf):
-    return keys.dense_ids(table(spark, sf, "events").where("event_type <> 'click'").select("event_id"), "event_id", span=1000)
+    return keys.dense_ids(table(spark, sf, "events").where("event_type <> 'click'").select("event_id"), "event_id")
 
 
 # Authors.

