@@ -2,19 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import DataFrame
 
-
-def fresh(taken: Iterable[str], *names: str) -> list[str]:
-    """`names`, each with as many underscores behind as it needs to differ from the columns `taken`."""
-    taken, out = {c.lower() for c in taken}, []
-    for name in names:
-        while name.lower() in taken:
-            name += "_"
-        out.append(name)
-    return out
+from galley.columns import fresh as fresh
 
 
 def integral(docs: DataFrame, key: str) -> None:

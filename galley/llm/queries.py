@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from galley.llm import bucket_pair, chunk_dedup, langid, mixing, neardup, quality, spm, tokencount, topk, toxicity, url_filter
+from galley.llm import bucket_pair, chunk_dedup, decontaminate, langid, merkle, mixing, neardup, quality, spm, tokencount, topk, toxicity, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,7 +21,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_sentencepiece": spm.op8_sentencepiece,
         "op9_token_counts": tokencount.op9_token_counts,
         "op10_source_mix": mixing.op10_source_mix,
+        "op11_decontaminate": decontaminate.op11_decontaminate,
         "op12_bucketed_pair": bucket_pair.op12_bucketed_pair,
+        "op13_merkle_manifest": merkle.op13_merkle_manifest,
     }
 
 
@@ -30,4 +32,6 @@ def oracle_sql() -> dict[str, str]:
         "op1_url_filters": url_filter.OP1_SQL,
         "op2_exact_top_k": topk.OP2_SQL,
         "op4_quality_rules": quality.OP4_SQL,
+        "op11_decontaminate": decontaminate.OP11_SQL,
+        "op13_merkle_manifest": merkle.OP13_SQL,
     }
