@@ -6,12 +6,15 @@ Rows have `ord` (their position, which decides ties and merges), `id`, `display_
 
 from __future__ import annotations
 
+import heapq
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from galley.functions.names import build_display_name, clean_author, clean_authors, holds_several, similarity_key, split_display_name, truthy
-from galley.operators.keys import dense_ids
+from galley.operators.keys import dense_ids, running
 from galley.operators.similar import similar_pairs, star_clusters
 from galley.session import cut_lineage
 
@@ -60,48 +63,49 @@ def normalise(rows: DataFrame, edits: DataFrame | None = None) -> DataFrame:
     return one.unionByName(pieces)
 
 
-def _either(a: Column, b: Column) -> Column:
-    return F.coalesce(truthy(a), b)
-
-
-def _merged(a: Column, b: Column) -> Column:
-    """Two rows as one. If one was decided on (the first, if both), its id and its fields where it has
-    them. Else the smaller id, fields of the first where it has them, first and last name from one
-    row that has both, if any: of two such the one with the smaller id."""
-
-    def full(x: Column) -> Column:
-        return truthy(x["first_name"]).isNotNull() & truthy(x["last_name"]).isNotNull()
-
-    first = full(a) & (~full(b) | (a["id"] <= b["id"]))
-    some = full(a) | full(b)
-
-    def name(field: str) -> Column:
-        own = F.when(first, a[field]).otherwise(b[field])
-        return F.when(some, own).otherwise(truthy(_either(a[field], b[field])))
-
-    plain = {
-        "id": F.least(a["id"], b["id"]),
-        "display_name": _either(a["display_name"], b["display_name"]),
-        "first_name": name("first_name"),
-        "last_name": name("last_name"),
-        "email": _either(a["email"], b["email"]),
-        "login": _either(a["login"], b["login"]),
-    }
+def merge_people(rows: DataFrame, by: str) -> DataFrame:
+    """(by, n, the fields) of each group of rows (by, ord, the fields, decided, low), merged in the order of ord.
 
-    def decided(x: Column, y: Column, field: str) -> Column:
-        if field == "id":
-            return x["id"]
-        both = _either(x[field], y[field])
-        return truthy(both) if field in ("first_name", "last_name") else both
+    low: the least id of the group's rows before, up to the first decided one. A group's row takes in the next
+    one after the other: if one of two was decided on (the first, if both) its id and its fields where it
+    has them; else the smaller id, the fields of the first where it has them, first and last name from one
+    that has both, if any, of two such from the one with the smaller id. All of that follows from aggregates
+    that are combined before the shuffle, so a group may have any number of rows:
 
-    fields = [F.when(a["decided"], decided(a, b, f)).when(b["decided"], decided(b, a, f)).otherwise(plain[f]).alias(f) for f in FIELDS]
-    return F.struct(*fields, (a["decided"] | b["decided"]).alias("decided"))
-
-
-def fold(members: Column) -> Column:
-    """An array of (ord, row) structs as one row, merged in order."""
-    ordered = F.transform(F.sort_array(members), lambda m: m["row"])
-    return F.aggregate(F.slice(ordered, F.lit(2), F.size(ordered)), F.get(ordered, F.lit(0)), _merged)
+    * Fields other than names are the first that is there, or else what the last row has.
+    * Names are whole from the first row with both, or once both were found apart. From then on a row with
+      both takes over if its id is below all before it; of these rows the last one stays.
+    * Rows behind the first decided one only fill what is missing.
+    """
+    first = cut_lineage(rows.where("decided").groupBy(by).agg(F.min("ord").alias("d")))
+    each = rows.join(first, by, "left")
+    pre, post = F.col("d").isNull() | (F.col("ord") < F.col("d")), F.col("ord") > F.col("d")
+    has = {c: truthy(F.col(c)).isNotNull() for c in FIELDS if c != "id"}
+    both = has["first_name"] & has["last_name"]
+    names = F.struct("first_name", "last_name")
+    below = both & ~F.coalesce(F.col("low") <= F.col("id"), F.lit(False))
+    at = lambda condition: F.when(condition, F.col("ord"))
+    row = F.struct(*FIELDS)
+    aggregates = [F.count("*").alias("n"), F.min(F.when(pre, F.col("id"))).alias("least"), F.count_if(post).alias("behind"), F.max_by(row, "ord").alias("last"), F.max_by(row, at(pre)).alias("last_pre"), F.min_by(row, at(F.col("ord") == F.col("d"))).alias("own")]
+    for c in has:
+        aggregates += [F.min_by(c, at(pre & has[c])).alias(f"{c}_pre"), F.min_by(c, at(post & has[c])).alias(f"{c}_post")]
+    aggregates += [F.min(at(pre & has[c])).alias(f"{c}_at") for c in ("first_name", "last_name")]
+    aggregates += [F.min(at(pre & both)).alias("both_at"), F.min_by(names, at(pre & both)).alias("both"), F.max(at(pre & below)).alias("below_at"), F.max_by(names, at(pre & below)).alias("below")]
+    g = each.groupBy(by).agg(*aggregates)
+    apart = F.when(F.col("first_name_at").isNotNull() & F.col("last_name_at").isNotNull(), F.greatest("first_name_at", "last_name_at"))
+    whole = F.least("both_at", apart)
+
+    def name(c: str) -> Column:
+        plain = F.when(F.col("below_at") > whole, F.col(f"below.{c}")).when(F.col("both_at") == whole, F.col(f"both.{c}")).otherwise(F.col(f"{c}_pre"))
+        return F.coalesce(truthy(F.col(f"own.{c}")), plain, F.col(f"{c}_post"))
+
+    def other(c: str) -> Column:
+        rest = F.when(F.col("behind") > 0, F.col(f"last.{c}")).otherwise(F.col(f"last_pre.{c}"))
+        return F.coalesce(truthy(F.col(f"own.{c}")), F.col(f"{c}_pre"), F.col(f"{c}_post"), rest)
+
+    made = {"id": F.when(F.col("own").isNotNull(), F.col("own.id")).otherwise(F.col("least"))}
+    made |= {c: name(c) if c in ("first_name", "last_name") else other(c) for c in has}
+    return g.select(by, "n", *[F.when(F.col("n") == 1, F.col(f"last.{c}")).otherwise(made[c]).alias(c) for c in FIELDS])
 
 
 def resolve(rows: DataFrame, banned: DataFrame | None = None, merge: float = MERGE, flag: float = FLAG, decided: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -131,14 +135,14 @@ def resolve(rows: DataFrame, banned: DataFrame | None = None, merge: float = MER
     person = F.struct(*FIELDS)
     if decided is not None:
         members = members.join(decided.select("id").distinct().withColumn("won", F.lit(True)), "id", "left")
-    chosen = F.struct(*FIELDS, (F.coalesce("won", F.lit(False)) if decided is not None else F.lit(False)).alias("decided"))
-    groups = members.groupBy("anchor").agg(F.collect_list(F.struct("ord", chosen.alias("row"))).alias("m"))
-    merged = groups.where(F.size("m") > 1).select(F.lit(1).alias("grp"), F.col("anchor").alias("ord"), fold(F.col("m")).alias("r")).select("grp", "ord", "r.*").drop("decided")
-    alone = groups.where(F.size("m") == 1).select(F.lit(0).alias("grp"), F.col("anchor").alias("ord"), F.get("m", F.lit(0))["row"].alias("r")).select("grp", "ord", "r.*").drop("decided")
+    members = members.select("ord", "key", "anchor", *FIELDS, (F.coalesce("won", F.lit(False)) if decided is not None else F.lit(False)).alias("decided"))
+    own = F.when(F.col("decided"), F.struct("ord", "id"))
+    members = cut_lineage(running(members, "anchor", [F.col("ord")], {"low": ("min", F.col("id")), "first": ("min", own)}, before=True))
+    people = cut_lineage(merge_people(members.select("anchor", "ord", *FIELDS, "decided", "low"), "anchor"))
+    merged = people.where("n > 1").select(F.lit(1).alias("grp"), F.col("anchor").alias("ord"), *FIELDS)
+    alone = people.where("n = 1").select(F.lit(0).alias("grp"), F.col("anchor").alias("ord"), *FIELDS)
     tail = rows.where("banned").select(F.lit(2).alias("grp"), "ord", *FIELDS)
-    both = alone.union(merged).union(tail)
-    span = rows.agg(F.coalesce(F.max("ord"), F.lit(0)) + 1).first()[0]
-    result = dense_ids(both.withColumn("place", F.col("grp") * F.lit(span) + F.col("ord")), "place", "__n").select(F.col("__n").alias("ord"), *FIELDS)
+    result = dense_ids(alone.union(merged).union(tail).withColumnRenamed("ord", "place"), "grp", "ord", 0, ("place",)).select("ord", *FIELDS)
 
     # Flags: the left one is an anchor's own row, the right one not yet taken in by an earlier anchor.
     anchors = placed.where("node = anchor").select(F.col("node").alias("na"))
@@ -147,10 +151,7 @@ def resolve(rows: DataFrame, banned: DataFrame | None = None, merge: float = MER
     flagged = flagged.where((F.col("right_ord") > F.col("na")) & (F.col("anchor") >= F.col("na")))
     left = members.select(F.col("ord").alias("na"), person.alias("left"))
     disputes = flagged.join(left, "na").select(F.col("na").alias("left_ord"), "right_ord", "left", "right")
-    upto = Window.partitionBy("anchor").orderBy("ord").rowsBetween(Window.unboundedPreceding, 0)
-    then = F.min("id").over(upto)
-    if decided is not None:
-        then = F.coalesce(F.min_by("id", F.when(F.col("won"), F.col("ord"))).over(upto), then)
+    then = F.coalesce(F.col("first.id"), F.when(F.col("decided"), F.col("id")), F.least("low", "id"))
     changes = members.withColumn("then_id", then).where("ord <> anchor").select("ord", F.col("id").alias("old_id"), "then_id", "anchor")
     changes = changes.join(merged.select(F.col("ord").alias("anchor"), F.col("id").alias("new_id"), F.col("display_name").alias("new_name")), "anchor")
     changes = changes.select("anchor", "ord", "old_id", "then_id", "new_id", "new_name")
@@ -159,7 +160,7 @@ def resolve(rows: DataFrame, banned: DataFrame | None = None, merge: float = MER
 
 def logged(changes: DataFrame) -> DataFrame:
     """(ord, old_id, new_id) for `change_chains`, of the changes of both runs in the order in which they happened."""
-    placed = dense_ids(dense_ids(changes.where("run = 1"), "anchor", "n", 0, ("ord",)).unionByName(dense_ids(changes.where("run = 2"), "anchor", "n", 0, ("ord",))), "run", "at", 0, ("n",), 1)
+    placed = dense_ids(changes, "run", "at", 0, ("anchor", "ord"))
     return placed.select(F.col("at").alias("ord"), "old_id", F.col("then_id").alias("new_id"))
 
 
@@ -236,34 +237,74 @@ def sanitise(rows: DataFrame, edits: DataFrame | None = None, banned: DataFrame
     return rows, disputes, changes.withColumn("run", F.lit(1)).unionByName(more.withColumn("run", F.lit(2))), settled
 
 
+def _matched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(ord, begin): what each departure of (id, start, ord, step, begin), sorted so, goes on with: of the open ends the one
+    that began first. A stretch is followed until an arrival of which the begin is not known yet."""
+    stretch, ends, known = None, [], True
+    for batch in batches:
+        found = []
+        for id_, start, at, step, begin in zip(*(c.to_pylist() for c in batch.columns)):
+            if (id_, start) != stretch:
+                stretch, ends, known = (id_, start), [], True
+            if known and step > 0:
+                known = begin is not None
+                if known:
+                    heapq.heappush(ends, begin)
+            elif known:
+                found.append((at, heapq.heappop(ends)))
+        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([x for _, x in found], pa.int64())], names=["ord", "begin"])
+
+
 def change_chains(changes: DataFrame) -> DataFrame:
     """(ord, first_id, chain): ids that became each other one after another, in the order of their beginnings.
 
-    changes: (ord, old_id, new_id). In order, a change goes to the end of the chain that ends in its
-    old id, of several such to the one that began first; without such a chain it begins one. Changes
-    of an id into itself do nothing.
-
-    A round settles all changes whose old id no unsettled earlier change leads to or from, so there
-    are about as many rounds as the longest chain has links.
+    changes: (ord, old_id, new_id), ords and ids being integers, ords unique. In order, a change goes to the
+    end of the chain that ends in its old id, of several such to the one that began first; without such
+    a chain it begins one. Changes of an id into itself do nothing.
+
+    A change arrives at its new id and departs from its old one. How many ends are open at an id follows
+    from counts alone, whichever goes on: running sums of arrivals and departures, less their minimum.
+    So it is known which departures begin a chain. Where no second end is open from one time to the
+    next at which there is none (a stretch), the departure goes on from the arrival before it; these links
+    are followed by pointer doubling, in as many rounds as the logarithm of the longest run of them.
+    Stretches with several open ends are contested: there the k-th departure need not follow the
+    k-th arrival. They are settled in order, each as far as the beginnings of its arrivals are known,
+    in as many rounds as contested stretches depend on each other in a row. Only contested stretches
+    are taken whole by a task, which streams them.
     """
-    edges = changes.where("old_id <> new_id").select("ord", "old_id", "new_id")
-    begin, taken = F.lit(None).cast("long"), F.lit(False)
-    state = cut_lineage(edges.select(F.col("ord").cast("long").alias("ord"), "old_id", "new_id", begin.alias("begin"), taken.alias("taken")))
+    edges = cut_lineage(changes.where("old_id <> new_id").select(F.col("ord").cast("long").alias("ord"), F.col("old_id").cast("long").alias("old_id"), F.col("new_id").cast("long").alias("new_id")))
+    events = edges.select(F.col("old_id").alias("id"), "ord", F.lit(-1).cast("long").alias("step")).union(edges.select("new_id", "ord", F.lit(1).cast("long")))
+    summed = running(events, "id", [F.col("ord")], {"s": ("sum", F.col("step"))})
+    low = running(summed, "id", [F.col("ord")], {"low": ("min", F.col("s"))}, before=True)
+    low = low.withColumn("before", F.col("s") - F.col("step") - F.least(F.lit(0), F.coalesce("low", F.lit(0)))).select("id", "ord", "step", "before")
+    start = F.when((F.col("step") > 0) & (F.col("before") == 0), F.col("ord"))
+    placed = cut_lineage(running(low, "id", [F.col("ord")], {"start": ("max", start)}))
+    goes_on = placed.where("step > 0 OR before > 0")
+    contested = goes_on.groupBy("id", "start").agg(F.max("before").alias("most"), F.count("*").alias("n")).where("n > 2 OR most > 1").select("id", "start")
+    contested = cut_lineage(contested)
+    # (ord, prev): a departure's arrival before it, itself where it begins a chain or is contested
+    forced = goes_on.where("step < 0").join(contested, ["id", "start"], "left_anti").select("ord", F.col("start").alias("prev"))
+    links = cut_lineage(edges.select("ord").join(forced, "ord", "left").select("ord", F.coalesce("prev", "ord").alias("prev")))
     while True:
-        open_ = state.where("begin IS NULL")
-        left = open_.groupBy(F.col("old_id").alias("id")).agg(F.min("ord").alias("at"))
-        led = open_.groupBy(F.col("new_id").alias("id")).agg(F.min("ord").alias("unsure"))
-        ready = left.join(led, "id", "left").where("unsure IS NULL OR unsure > at").select("id", "at")  # one change for each id
-        ends = state.where("begin IS NOT NULL AND NOT taken").select(F.col("new_id").alias("id"), F.col("ord").alias("end"), F.col("begin").alias("b"))
-        goes_on = ready.join(ends, "id", "left").where("end IS NULL OR end < at")
-        chosen = ready.select("at").join(goes_on.groupBy("at").agg(F.min(F.struct("b", "end")).alias("c")), "at", "left").select("at", "c.b", "c.end")
-        chosen = cut_lineage(chosen)
-        if chosen.isEmpty():
+        further = links.join(links.select(F.col("ord").alias("prev"), F.col("prev").alias("next")), "prev")
+        further = cut_lineage(further.select("ord", F.col("next").alias("prev"), (F.col("next") != F.col("prev")).alias("moved")))
+        links = further.select("ord", "prev")
+        if further.where("moved").isEmpty():
             break
-        after = state.join(chosen.select(F.col("at").alias("ord"), F.coalesce("b", "at").alias("new_begin")), "ord", "left")
-        after = after.join(chosen.where("end IS NOT NULL").select(F.col("end").alias("ord"), F.lit(True).alias("now")), "ord", "left")
-        state = cut_lineage(after.select("ord", "old_id", "new_id", F.coalesce("begin", "new_begin").alias("begin"), (F.col("taken") | F.coalesce("now", F.lit(False))).alias("taken")))
-    links = F.array_sort(F.collect_list(F.struct("ord", "old_id", "new_id")))  # a chain
-    chains = state.groupBy("begin").agg(links.alias("l"))
+    rows = goes_on.join(contested, ["id", "start"], "left_semi").join(links.withColumnRenamed("prev", "root"), "ord")
+    rows = cut_lineage(rows.select("id", "start", "ord", "step", "root"))
+    begins = cut_lineage(links.where("ord = prev").join(rows.where("step < 0").select("ord"), "ord", "left_anti").select("ord", F.col("ord").alias("begin")))
+    waiting = rows.where("step < 0").count()
+    while waiting:
+        each = rows.join(begins.select(F.col("ord").alias("root"), "begin"), "root", "left").select("id", "start", "ord", "step", "begin")
+        found = each.repartition("id", "start").sortWithinPartitions("id", "start", "ord").mapInArrow(_matched, "ord long, begin long")
+        begins = cut_lineage(begins.join(rows.where("step < 0").select("ord"), "ord", "left_anti").union(found))
+        now = rows.where("step < 0").join(begins, "ord", "left_anti").count()
+        if now == waiting:
+            raise ValueError("changes need unique ords")
+        waiting = now
+    state = edges.join(links, "ord").join(begins.select(F.col("ord").alias("prev"), "begin"), "prev")
+    chain = F.array_sort(F.collect_list(F.struct("ord", "old_id", "new_id")))  # a chain
+    chains = state.groupBy("begin").agg(chain.alias("l"))
     first = F.get("l", F.lit(0))["old_id"]
     return chains.select(F.col("begin").alias("ord"), first.alias("first_id"), F.concat(F.array(first), F.transform("l", lambda x: x["new_id"])).alias("chain"))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from galley.columns import fresh
 from galley.session import cut_lineage
@@ -44,6 +45,30 @@ def dense_ids(df: DataFrame, order: str, name: str = "id", start: int = 0, then:
     return rows.join(first, part).select((F.col(before) + F.col(local)).alias(name), *[c for c in df.columns if c != name])
 
 
+_COMBINED = {"sum": (F.sum, lambda a, b: a + b), "min": (F.min, F.least), "max": (F.max, F.greatest)}
+
+
+def running(rows: DataFrame, by: str, order: list[Column], totals: dict[str, tuple[str, Column]], before: bool = False) -> DataFrame:
+    """`rows` with running sums, minima and maxima of the rows of one `by` up to each row, in `order`; before: without the row itself.
+
+    totals: by name, "sum", "min" or "max" and the column; sums are of no nulls, what is of no rows is null
+    (sums: 0). Rows are placed by ranges, so one value of `by` may have them all: what a range gets
+    from those before it is one row for each range at most.
+    """
+    part, local, *ins = fresh([*rows.columns, *totals], "part", "local", *[f"{name}_in" for name in totals])
+    first = fresh([*rows.columns, *totals, part, local, *ins], *[f"{name}_first" for name in totals])
+    numbered = sorted_parts(rows.withColumns(dict(zip(ins, [c for _, c in totals.values()]))), F.col(by), *order, part=part, local=local)
+    so_far = Window.partitionBy(part, by).orderBy(local).rowsBetween(Window.unboundedPreceding, -1 if before else 0)  # a range of the sort
+    own = numbered.withColumns({name: _COMBINED[kind][0](c).over(so_far) for (name, (kind, _)), c in zip(totals.items(), ins)})
+    whole = numbered.groupBy(part, by).agg(*[_COMBINED[kind][0](c).alias(name) for (name, (kind, _)), c in zip(totals.items(), ins)])
+    earlier = Window.partitionBy(by).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)  # ranges
+    whole = whole.select(part, by, F.row_number().over(Window.partitionBy(by).orderBy(part)).alias(local), *[_COMBINED[kind][0](name).over(earlier).alias(f) for (name, (kind, _)), f in zip(totals.items(), first)])
+    later = cut_lineage(whole.where(F.col(local) > 1).drop(local))  # a value goes on in a range from the one before: one row for each range at most
+    out = own.join(F.broadcast(later), [part, by], "left")
+    both = [_COMBINED[kind][1](*[F.coalesce(c, F.lit(0)) if kind == "sum" else F.col(c) for c in (name, f)]).alias(name) for (name, (kind, _)), f in zip(totals.items(), first)]
+    return out.select(*rows.columns, *both)
+
+
 def bridge_rows(articles: DataFrame, article: str = "id", authors: str = "author_ids", order: str = "id") -> DataFrame:
     """(id, author_id, articles_id): a row for each author of each article, numbered from 1."""
     pairs = articles.select(F.col(order).cast("long").alias("place"), F.col(article).alias("articles_id"), F.posexplode(authors).alias("at", "author_id"))

@@ -1,56 +1,181 @@
 """Similarity joins of short texts by exact Jaccard on character shingles, and greedy clustering.
 
-The similarity is pluggable in principle; this default is the Jaccard coefficient of 3-character
-shingles, a text of fewer characters being its own shingle.
+The similarity is the Jaccard coefficient of k-character shingles, a text of fewer characters being
+its own shingle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from galley.functions.names import jaccard, shingles
+from galley.operators.components import components
+from galley.operators.keys import dense_ids
 from galley.session import cut_lineage
 
+#: Texts that have a shingle, from which on it is posted together with a second one.
+HOT = 1000
+#: Entries of a list, from which on it is cut into blocks.
+LIST = 2000
+#: Links of a component that one task settles, and nodes of a block of larger ones.
+SMALL, BLOCK = 100_000, 2048
+
+
+def _bits(tokens: Column, seed: int) -> Column:
+    """64 bits, each the parity of the tokens that fall on it: sets differ in at least as many tokens as in bits."""
+    return F.aggregate(tokens, F.lit(0).cast("long"), lambda s, t: s.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(t, F.lit(seed)), F.lit(64)).cast("int"))))
+
+
+def posted(texts: DataFrame, least: float, k: int = 3, hot: int = HOT) -> DataFrame:
+    """(list, key, l, r, size, at, low, high) of the lists of distinct texts (key, l, r).
+
+    A text's shingles come in the order of their rarity. Two sets of a similarity of `least` or more
+    share one of the rarest of each, as many as the set may miss and one more (its prefix), and two
+    if one more is taken. So a shingle that over `hot` texts have is no list of its own: it is posted
+    with each one that comes after it in the longer prefix. Texts so short that they may share
+    only one are under the shingle itself, too. at: the shingle's place.
+    """
+    each = texts.select("key", "l", "r", F.explode(shingles(F.col("key"), k)).alias("s"))
+    counts = cut_lineage(each.groupBy("s").agg(F.count("*").alias("n")))  # apart, so that a common shingle's rows can be split
+    ranked = each.join(counts, "s").groupBy("key", "l", "r").agg(F.sort_array(F.collect_list(F.struct("n", "s"))).alias("o"))  # a short text's shingles
+    size = F.size("o")
+    prefix = size - F.ceil(size * F.lit(least) - 1e-9).cast("int") + 1
+    tokens = F.transform("o", lambda x: x["s"])
+    ranked = ranked.select("key", "l", "r", size.alias("size"), _bits(tokens, 1).alias("low"), _bits(tokens, 2).alias("high"), F.slice("o", F.lit(1), prefix + 1).alias("o"), prefix.alias("prefix"))
+    first = F.slice("o", F.lit(1), F.col("prefix"))
+    alone = F.filter(F.transform(first, lambda x, i: F.struct(F.when((x["n"] <= hot) | (F.col("size") * least <= 1 + 1e-9), x["s"]).alias("list"), i.alias("at"))), lambda x: x["list"].isNotNull())
+    behind = lambda x, i: F.transform(F.slice(F.col("o"), i + 2, F.size("o")), lambda y: F.struct(F.when(x["n"] > hot, F.concat(x["s"], F.lit("\0"), y["s"])).alias("list"), i.alias("at")))
+    pairs = F.filter(F.flatten(F.transform(first, behind)), lambda x: x["list"].isNotNull())
+    return ranked.select("key", "l", "r", "size", "low", "high", F.explode(F.concat(alone, pairs)).alias("p")).select("p.list", "key", "l", "r", "size", "p.at", "low", "high")
+
+
+def meetings(entries: DataFrame, least: float) -> DataFrame:
+    """Each two entries (x_..., y_...) of a list whose texts are of like size, the shorter one (or the first of equals) as x.
+
+    Lists are ordered by size in bands, each as wide as sizes may differ; an entry meets those of its band and the
+    next. Lists with over LIST entries of a band are cut into blocks, and each two blocks meet on their own.
+    """
+    width = math.log(1 / least) if least < 1 - 1e-9 else 0.0
+    band = lambda shift: F.floor(F.log("size") / width + shift).cast("int") if width else F.col("size")
+    own = cut_lineage(entries.withColumn("band", band(0.0)))
+    long_ = cut_lineage(own.groupBy("list", "band").agg(F.count("*").alias("n")).where(F.col("n") > LIST).select("list", "band", F.ceil(F.col("n") / LIST).cast("int").alias("cuts")))
+    cuts = F.coalesce("cuts", F.lit(1))
+    block = F.pmod(F.xxhash64("key"), cuts).cast("int")
+    every = F.explode(F.sequence(F.lit(0), cuts - 1))
+    shorter = own.withColumn("band", F.explode(F.array_distinct(F.array(band(-1e-9), band(1 - 1e-9), band(1 + 1e-9))))) if width else own
+    x = shorter.join(long_, ["list", "band"], "left").select("list", "band", block.alias("i"), every.alias("j"), *[F.col(c).alias(f"x_{c}") for c in entries.columns if c != "list"])
+    y = own.join(long_, ["list", "band"], "left").select("list", "band", every.alias("i"), block.alias("j"), *[F.col(c).alias(f"y_{c}") for c in entries.columns if c != "list"])
+    met = x.join(y, ["list", "band", "i", "j"])
+    return met.where((F.col("x_size") < F.col("y_size")) | (F.col("x_size") == F.col("y_size")) & (F.col("x_key") < F.col("y_key")))
+
+
+def candidates(entries: DataFrame, least: float) -> DataFrame:
+    """(x, y, forth, back) of the texts that may be similar: left and right in this order, and the other way round."""
+    both = F.col("x_size") + F.col("y_size")
+    shared = F.ceil(both * F.lit(least / (1 + least)) - 1e-9)  # shingles that a similar pair shares at least
+    upto = F.least("x_at", "y_at") + 1 + F.least(F.col("x_size") - F.col("x_at"), F.col("y_size") - F.col("y_at")) - 1  # by the places in both
+    apart = F.bit_count(F.col("x_low").bitwiseXOR(F.col("y_low"))) + F.bit_count(F.col("x_high").bitwiseXOR(F.col("y_high")))
+    forth, back = F.col("x_l") & F.col("y_r"), F.col("x_r") & F.col("y_l")
+    met = meetings(entries, least).where((F.col("x_size") >= F.col("y_size") * (least - 1e-9)) & (upto >= shared) & (apart <= 2 * (both - 2 * shared)) & (forth | back))
+    return met.select(F.col("x_key").alias("x"), F.col("y_key").alias("y"), forth.alias("forth"), back.alias("back")).distinct()
+
 
 def similar_pairs(left: DataFrame, right: DataFrame, least: float, k: int = 3) -> DataFrame:
     """(a, b, sim) for distinct texts `key` of left and right with a similarity of `least` or more.
 
-    Prefix join: sets that overlap enough share one of their rarest shingles, as many as the set
-    may miss and one more. Only texts that share one and are of like size are compared.
+    Texts that are in both are similar to themselves. Each two texts are compared once, whichever sides they are on.
+    """
+    if not 0 < least <= 1:
+        raise ValueError("the least similarity must be over 0 and at most 1")
+    both = left.select("key", F.lit(True).alias("l"), F.lit(False).alias("r")).union(right.select("key", F.lit(False), F.lit(True)))
+    texts = cut_lineage(both.where("key IS NOT NULL").groupBy("key").agg(F.max("l").alias("l"), F.max("r").alias("r")))
+    near = candidates(posted(texts, least, k), least)
+    near = near.withColumn("sim", jaccard(shingles(F.col("x"), k), shingles(F.col("y"), k))).where(F.col("sim") >= least - 1e-12)
+    near = cut_lineage(near)
+    itself = texts.where("l AND r").select(F.col("key").alias("a"), F.col("key").alias("b"), F.lit(1.0).alias("sim"))
+    return itself.union(near.where("forth").select("x", "y", "sim")).union(near.where("back").select("y", "x", "sim"))
+
+
+def _settling(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(hi, anchor) of the nodes that can be settled, for links (kind, grp, hi, lo, any, open) sorted so.
+
+    A row without lo says of the links from outside of the group whether one is an anchor's and one is open.
     """
-    both = left.select("key").union(right.select("key")).distinct()
-    each = both.select("key", F.explode(shingles(F.col("key"), k)).alias("s"))
-    rare = each.groupBy("s").agg(F.count("*").alias("n"))
-    ranked = each.join(rare, "s").groupBy("key").agg(F.sort_array(F.collect_list(F.struct("n", "s"))).alias("l"))  # a short text's shingles
-    size = F.size("l")
-    prefix = F.slice("l", F.lit(1), size - F.ceil(size * least - 1e-9).cast("int") + 1)
-    posted = ranked.select("key", size.alias("size"), F.explode(prefix).alias("p")).select("key", "size", F.col("p.s").alias("s"))
-    a = posted.join(left.select("key").distinct(), "key").toDF("a", "na", "s")
-    b = posted.join(right.select("key").distinct(), "key").toDF("b", "nb", "s")
-    near = a.join(b, "s").where((F.col("nb") >= F.col("na") * (least - 1e-9)) & (F.col("na") >= F.col("nb") * (least - 1e-9)))
-    near = near.select("a", "b").distinct().withColumn("sim", jaccard(shingles(F.col("a"), k), shingles(F.col("b"), k)))
-    return near.where(F.col("sim") >= least - 1e-12)
-
-
-def star_clusters(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    group = hi = None
+    taken: set[int] = set()  # of the group: nodes that are no anchors
+    unsure: set[int] = set()
+    hit = doubt = False
+    found: list[tuple[int, bool]] = []
+
+    def close() -> None:
+        if hi is not None:
+            if hit:
+                taken.add(hi)
+                found.append((hi, False))
+            elif doubt:
+                unsure.add(hi)
+            else:
+                found.append((hi, True))
+
+    def batch_of() -> pa.RecordBatch:
+        out = pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([x for _, x in found], pa.bool_())], names=["hi", "anchor"])
+        found.clear()
+        return out
+
+    for batch in batches:
+        for kind, grp, own, lo, any_, open_ in zip(*(c.to_pylist() for c in batch.columns)):
+            if (kind, grp) != group or own != hi:
+                close()
+                hi, hit, doubt = own, False, False
+                if (kind, grp) != group:
+                    group, taken, unsure = (kind, grp), set(), set()
+            if lo is None:
+                hit, doubt = hit or any_, doubt or open_
+            elif lo in unsure:
+                doubt = True
+            elif lo not in taken:
+                hit = True
+        yield batch_of()
+    close()
+    yield batch_of()
+
+
+def star_clusters(nodes: DataFrame, edges: DataFrame, small: int = SMALL, block: int = BLOCK) -> DataFrame:
     """(node, anchor) by greedy clustering in the order of nodes.
 
-    nodes: (node); edges: (lo, hi) with lo < hi. A node that no earlier anchor is linked with is an
-    anchor; any other belongs to the earliest anchor linked with it. Each round settles every node
-    whose earlier neighbours allow it: absorbed if one is an anchor, an anchor if all are absorbed.
+    nodes: (node), long; edges: (lo, hi) with lo < hi. A node that no earlier anchor is linked with is an
+    anchor; any other belongs to the earliest anchor linked with it. Components of up to `small` links
+    are settled in their order, each in one task, whatever chains they hold. Larger ones are cut into
+    blocks of `block` nodes that follow each other; in a round, each block settles in its order what its
+    own nodes and the settled ones outside allow. A chain goes on in a later block, so rounds are as
+    many as blocks that a chain of links leads through, not as many as its links.
     """
-    state = cut_lineage(nodes.select("node", F.lit(None).cast("boolean").alias("anchor")))
     edges = cut_lineage(edges.select("lo", "hi").distinct())
-    while True:
-        before = state.select(F.col("node").alias("lo"), F.col("anchor").alias("lo_anchor"))
-        seen = edges.join(before, "lo").groupBy("hi").agg(F.max(F.coalesce("lo_anchor", F.lit(False))).alias("any"), F.count_if(F.col("lo_anchor").isNull()).alias("open"))
-        settled = F.when(F.col("any"), False).when(F.coalesce("open", F.lit(0)) == 0, True)
-        state = cut_lineage(state.join(seen, F.col("node") == F.col("hi"), "left").select("node", F.coalesce("anchor", settled).alias("anchor")))
-        if state.where("anchor IS NULL").isEmpty():
-            break
+    label = components(edges.toDF("a", "b"))  # of a checkpoint
+    links = edges.join(label.select(F.col("id").alias("hi"), "label"), "hi").groupBy("label").agg(F.count("*").alias("n"))
+    large = cut_lineage(links.where(F.col("n") > small).select("label"))
+    state = label.join(large, "label", "left_anti").select(F.col("id").alias("node"), F.lit(0).alias("kind"), F.col("label").alias("grp"))
+    if not large.isEmpty():
+        numbered = dense_ids(label.join(large, "label", "left_semi").select("id"), "id", "n")
+        state = state.union(numbered.select("id", F.lit(1), F.floor(F.col("n") / block)))
+    state = state.join(edges.select(F.col("hi").alias("node"), F.lit(True).alias("later")).distinct(), "node", "left")
+    state = cut_lineage(state.select("node", "kind", "grp", F.when(F.col("later").isNull(), True).alias("anchor")))
+    while not (open_ := state.where("anchor IS NULL")).isEmpty():
+        of_hi = open_.select(F.col("node").alias("hi"), "kind", "grp")
+        of_lo = state.select(F.col("node").alias("lo"), F.col("kind").alias("k"), F.col("grp").alias("g"), "anchor")
+        each = edges.join(of_hi, "hi").join(of_lo, "lo")
+        inside = (F.col("kind") == F.col("k")) & (F.col("grp") == F.col("g")) & F.col("anchor").isNull() | (F.col("kind") == 0)
+        known = each.where(~inside).groupBy("kind", "grp", "hi").agg(F.lit(None).cast("long").alias("lo"), F.max(F.coalesce("anchor", F.lit(False))).alias("any"), F.max(F.col("anchor").isNull()).alias("open"))
+        own = each.where(inside).select("kind", "grp", "hi", "lo", F.lit(False).alias("any"), F.lit(False).alias("open")).union(known)
+        settled = own.repartition("kind", "grp").sortWithinPartitions("kind", "grp", "hi", "lo").mapInArrow(_settling, "hi long, anchor boolean")
+        after = state.join(settled.toDF("node", "now"), "node", "left")
+        state = cut_lineage(after.select("node", "kind", "grp", F.coalesce("anchor", "now").alias("anchor")))
     anchors = state.where("anchor").select(F.col("node").alias("lo"))
     owner = edges.join(anchors, "lo").groupBy("hi").agg(F.min("lo").alias("owner"))
-    out = state.join(owner, F.col("node") == F.col("hi"), "left")
-    return out.select("node", F.when(F.col("anchor"), F.col("node")).otherwise(F.col("owner")).alias("anchor"))
-
+    out = nodes.join(state.select("node", "anchor"), "node", "left").join(owner, F.col("node") == F.col("hi"), "left")
+    return out.select("node", F.when(F.coalesce("anchor", F.lit(True)), F.col("node")).otherwise(F.col("owner")).alias("anchor"))

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from galley import queries
-from galley.operators import articles, authors, bylines, keys, similar, slugs, vectors
+from galley.operators import articles, authors, bylines, components, keys, similar, slugs, vectors
 
 ROW = "ord long, id long, display_name string, first_name string, last_name string, email string, login string"
 
@@ -281,3 +281,122 @@ def test_dense_ids_of_sparse_and_equal_orders(spark):
     got = keys.dense_ids(df, "o", "n", 10, ("then",)).orderBy("n").collect()
     assert [r.n for r in got] == list(range(10, 911)) and got[0].asDict().keys() == {"n", "o", "then", "part", "local"}
     assert [(r.o, r.then) for r in got] == sorted([r[:2] for r in rows], key=lambda r: (r[0] is not None, r[0], r[1]))
+
+
+def counted(monkeypatch, *modules):
+    """Calls of cut_lineage from now on."""
+    from galley import session
+
+    calls = []
+    for m in modules:
+        monkeypatch.setattr(m, "cut_lineage", lambda df, *a, **k: calls.append(1) or session.cut_lineage(df, *a, **k))
+    return calls
+
+
+def test_a_chain_of_links_takes_few_checkpoints(spark, monkeypatch):
+    n = 10_000
+    calls = counted(monkeypatch, similar, components, keys)
+    got = similar.star_clusters(spark.range(n).toDF("node"), spark.range(n - 1).selectExpr("id lo", "id + 1 hi")).collect()
+    assert len(calls) < 20
+    assert {r.node: r.anchor for r in got} == {i: i - i % 2 for i in range(n)}
+
+
+@pytest.mark.parametrize("small,block", [(0, 1), (0, 4), (6, 5), (10**6, 1)])
+def test_large_components_go_by_blocks(spark, small, block):
+    rnd = random.Random(small + block)
+    edges = [(a, a + rnd.choice([1, 1, 2, 7])) for a in range(60) if rnd.random() < 0.8] + [(5, b) for b in range(6, 50, 3)] + [(100, 101), (101, 102), (102, 103)]
+    anchor = {}
+    for i in sorted({x for e in edges for x in e} | {200}):
+        if i not in anchor:
+            anchor[i] = i
+            anchor |= {b: i for a, b in edges if a == i and b not in anchor}
+    nodes = spark.createDataFrame([(i,) for i in anchor], "node long")
+    got = similar.star_clusters(nodes, spark.createDataFrame(edges, "lo long, hi long").repartition(3), small, block).collect()
+    assert {r.node: r.anchor for r in got} == anchor
+
+
+@pytest.mark.parametrize("least,hot,list_", [(0.8, 1000, 2000), (0.8, 3, 4), (0.5, 2, 3), (0.3, 1, 2), (1.0, 2, 2)])
+def test_similarity_join_of_two_sides(spark, monkeypatch, least, hot, list_):
+    """Common shingles, lists in blocks, short texts, texts on both sides, equal sets of shingles."""
+    monkeypatch.setattr(similar, "LIST", list_)
+    monkeypatch.setattr(similar.posted, "__defaults__", (3, hot))
+    rnd = random.Random(4)
+    draw = lambda: "".join(rnd.choice("ab") for _ in range(rnd.randint(0, 9))) + rnd.choice(["", "ending", "end"])
+    left, right = ({draw() for _ in range(45)} | {"aaa", "aaaa", "aaaaaaa", "", "b"} for _ in range(2))
+    frame = lambda x: spark.createDataFrame([(t,) for t in x] + [(None,)] + [(t,) for t in list(x)[:3]], "key string").repartition(3)
+    got = [(r.a, r.b, round(r.sim, 9)) for r in similar.similar_pairs(frame(left), frame(right), least).collect()]
+    want = {(a, b, round(jaccard(a, b), 9)) for a in left for b in right if jaccard(a, b) >= least - 1e-12}
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_a_common_ending_is_not_compared_with_all(spark):
+    """Texts that meet in a list at all are under 5% of all pairs, though all have one ending."""
+    n = 20_000
+    texts = spark.range(n).select(F.concat(F.translate(F.sha2(F.col("id").cast("string"), 256).substr(1, 8), "0123456789", "ghijklmnop"), F.lit("ensonson")).alias("key"), F.lit(True).alias("l"), F.lit(True).alias("r"))
+    met = similar.meetings(similar.posted(texts, 0.8), 0.8)
+    assert 0 < met.count() < 0.05 * n * (n - 1) / 2
+
+
+def test_a_long_chain_of_changes_takes_rounds_of_its_logarithm(spark, monkeypatch):
+    n = 100_000
+    calls = counted(monkeypatch, authors)
+    got = authors.change_chains(spark.range(n).selectExpr("id ord", "id old_id", "id + 1 new_id")).collect()
+    assert len(got) == 1 and got[0].chain == list(range(n + 1)) and len(calls) <= 17 + 8
+
+
+@pytest.mark.parametrize("ids", [2, 3, 5, 30])
+def test_contested_chains_match_the_log(spark, ids):
+    rnd = random.Random(ids)
+    edges = [(rnd.randint(0, ids), rnd.randint(0, ids)) for _ in range(150)]
+    df = spark.createDataFrame([(7 * i - 300, *e) for i, e in enumerate(edges)], "ord long, old_id int, new_id int").repartition(5)
+    assert [r.chain for r in authors.change_chains(df).orderBy("ord").collect()] == log(edges)
+
+
+def test_running_totals_lie_across_ranges(spark):
+    rnd = random.Random(8)
+    rows = [(rnd.choice([1, 1, 1, 2, 3]), i, rnd.choice([None, -3, -1, 1, 4])) for i in range(400)]
+    df = spark.createDataFrame(rows, "g long, o long, v long").repartition(4)
+    what = {"s": ("sum", F.col("v")), "low": ("min", F.col("v")), "high": ("max", F.col("v"))}
+    for before in (False, True):
+        got = {r.o: r for r in keys.running(df, "g", [F.col("o")], what, before).collect()}
+        for g, o, _ in rows:
+            own = [v for h, p, v in rows if h == g and (p < o or p == o and not before) and v is not None]
+            assert (got[o].s, got[o].low, got[o].high) == (sum(own), min(own, default=None), max(own, default=None))
+    assert len(got) == 400
+
+
+def fold_people(rows):
+    """Rows (id, display_name, first_name, last_name, email, login, decided) as one, one after the other."""
+
+    def either(a, b):
+        return a or b
+
+    def two(a, b):
+        if a["decided"] or b["decided"]:
+            x, y = (a, b) if a["decided"] else (b, a)
+            out = {c: either(x[c], y[c]) for c in ("display_name", "email", "login")} | {c: either(x[c], y[c]) or None for c in ("first_name", "last_name")}
+            return out | {"id": x["id"], "decided": True}
+        return merge(a, b) | {"decided": False}
+
+    out = rows[0]
+    for r in rows[1:]:
+        out = two(out, r)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_merging_by_aggregates_is_the_ordered_fold(spark, seed):
+    rnd = random.Random(seed)
+    names, rows = [*authors.FIELDS, "decided"], []
+    for g in range(120):
+        ids = rnd.sample(range(100), 7)
+        for o in range(rnd.randint(1, 7)):
+            pick = lambda c: rnd.choice([None, "", f"{c}{o}", f"{c}{o}"])
+            rows.append((g, o, ids[o], pick("d"), pick("f"), pick("l"), pick("e"), pick("n"), rnd.random() < 0.15))
+    df = spark.createDataFrame(rows, "anchor long, ord long, id long, display_name string, first_name string, last_name string, email string, login string, decided boolean").repartition(3)
+    low = keys.running(df, "anchor", [F.col("ord")], {"low": ("min", F.col("id"))}, before=True)
+    got = {r.anchor: r for r in authors.merge_people(low, "anchor").collect()}
+    for g in range(120):
+        own = [dict(zip(names, r[2:])) for r in sorted(rows) if r[0] == g]
+        want = fold_people(own)
+        assert got[g].n == len(own) and {c: got[g][c] for c in authors.FIELDS} == {c: want[c] for c in authors.FIELDS}, own
