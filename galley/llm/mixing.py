@@ -22,8 +22,8 @@ with one doc_id and text have one hash and are taken together, and so are others
 empty table gives an empty result. Texts are counted whole, however long. Extra columns are kept,
 whatever their names; size, source_size, target, copies and taken replace columns of these names.
 Only the pattern table (one row for each set of sources that occurs) comes to the driver, where
-patterns that overlap no other are served by a formula and the others by the flow; more than
-MAX_PATTERNS patterns raise an error.
+the flow is run over all of them, part by part of the network; more than MAX_PATTERNS patterns
+raise an error.
 """
 
 from __future__ import annotations
@@ -129,14 +129,32 @@ def min_cost_flow(supply: list[tuple[int, list[int]]], demand: list[float], repe
 
 
 def transport(supply: list[tuple[int, list]], demand: dict, repeats: int = MAX_REPEATS) -> list[dict]:
-    """`min_cost_flow` by names of sources. A source whose documents are in no other is served by its one pattern alone."""
-    shared = {s for _, sources in supply if len(sources) > 1 for s in sources}
-    out = [{s: min(repeats * size, demand[s]) for s in sources} if not shared & set(sources) else {} for size, sources in supply]
-    rest = [i for i, (_, sources) in enumerate(supply) if shared & set(sources)]
-    names = by_code_point(shared)
-    at = {s: j for j, s in enumerate(names)}
-    for i, given in zip(rest, min_cost_flow([(supply[i][0], [at[s] for s in supply[i][1]]) for i in rest], [demand[s] for s in names], repeats)):
-        out[i] = {names[j]: words for j, words in given.items()}
+    """`min_cost_flow` by names of sources, in each part of the network on its own.
+
+    Parts have no arcs between them, so their flows add up to the flow of the whole. A source whose
+    documents are in no other is a part of one pattern, whose paths have three arcs each.
+    """
+    parent: dict = {s: s for s in demand}
+
+    def top(s):
+        while parent[s] != s:
+            parent[s] = s = parent[parent[s]]
+        return s
+
+    for _, sources in supply:
+        for s in sources[1:]:
+            parent[top(s)] = top(sources[0])
+    parts: dict = {}
+    for i, (_, sources) in enumerate(supply):
+        if sources:
+            parts.setdefault(top(sources[0]), []).append(i)
+    out: list[dict] = [{} for _ in supply]
+    for own in parts.values():
+        names = by_code_point({s for i in own for s in supply[i][1]})
+        at = {s: j for j, s in enumerate(names)}
+        flow = min_cost_flow([(supply[i][0], [at[s] for s in supply[i][1]]) for i in own], [demand[s] for s in names], repeats)
+        for i, given in zip(own, flow):
+            out[i] = {names[j]: words for j, words in given.items()}
     return out
 
 

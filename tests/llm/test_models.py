@@ -3,6 +3,7 @@
 import itertools
 import os
 import random
+import time
 
 import public_tokenizers
 import pytest
@@ -355,6 +356,25 @@ def test_mix_of_no_sources(spark):
     assert got[1][1:3] == (3, pytest.approx(9 * 5 / 7)) and got[4][1:3] == (2, pytest.approx(9 * 2 / 7))
 
 
+def test_every_pattern_goes_through_the_flow(spark, monkeypatch):
+    seen, flow = [], mixing.min_cost_flow
+    monkeypatch.setattr(mixing, "min_cost_flow", lambda supply, *a: seen.extend(supply) or flow(supply, *a))
+    got = mixing.op10_source_mix(spark, "/root/testdata/sf0.001")
+    sizes = {r["source"]: r["n"] for r in got.groupBy("source").agg(F.sum("size").alias("n")).collect()}
+    assert sorted(n for n, _ in seen) == sorted(sizes.values()) and len(seen) == len(sizes)
+
+
+def test_a_hundred_thousand_patterns_take_a_minute_at_most():
+    rnd = random.Random(2)
+    supply = [(rnd.randint(1, 50), [f"s{i}"]) for i in range(99_000)] + [(rnd.randint(1, 50), [f"t{i // 10}_{rnd.randint(0, 3)}", f"t{i // 10}_x"]) for i in range(1000)]
+    demand = {s: float(rnd.randint(1, 120)) for _, of in supply for s in of}
+    began = time.perf_counter()
+    got = mixing.transport(supply, demand)
+    assert time.perf_counter() - began < 60
+    for (n, of), given in zip(supply[:99_000], got):
+        assert given == {of[0]: pytest.approx(min(3 * n, demand[of[0]]))}
+
+
 def test_transport_serves_single_sources_as_the_flow_does():
     rnd = random.Random(3)
     supply = [(rnd.randint(1, 50), [s]) for s in ("a", "b", None)] + [(20, ["c", "d"]), (9, ["d"]), (5, ["c"])]
