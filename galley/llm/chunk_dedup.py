@@ -41,7 +41,7 @@ from pyspark.sql import types as T
 
 from galley.llm import hashing
 from galley.llm.columns import fresh, integral
-from galley.session import cut_and_free, cut_lineage
+from galley.session import cut_lineage
 
 #: Mean distance of possible cuts, the least, and the length at which a cut is forced, in bytes.
 MEAN, LEAST, MOST = 40, 16, 512
@@ -246,9 +246,9 @@ def dedup_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", min
     docs = docs.select(*[c for c in docs.columns if c not in ("repeats", "removed_chars")])
     own, (own_id, own_digests) = F.col(key).cast("long"), fresh(docs.columns, "id", "digests")
     usable = docs.where(F.col(key).isNotNull() & (F.length(text) > 0)).select(own, text)
-    selected = cut_and_free(usable.mapInArrow(_selected(min_words), "id long, digests array<long>"))
+    selected = cut_lineage(usable.mapInArrow(_selected(min_words), "id long, digests array<long>"))
     both = docs.join(_shared(selected, "true").toDF(own_id, own_digests), own == F.col(own_id), "left").select(own, text, own_digests)
-    windows = cut_and_free(both.mapInArrow(_candidates(min_words), "id long, digests array<long>"))
+    windows = cut_lineage(both.mapInArrow(_candidates(min_words), "id long, digests array<long>"))
     both = docs.join(_shared(windows, "id > owner").toDF(own_id, own_digests), own == F.col(own_id), "left").select(*docs.columns, own_digests)
     schema = T.StructType([*(T.StructField(f.name, f.dataType) for f in docs.schema), T.StructField("repeats", _REPEATS), T.StructField("removed_chars", T.LongType())])
     return both.mapInArrow(_removing_windows(docs.columns.index(text), schema.names, min_words), schema)
