@@ -38,16 +38,18 @@ WINDOW, SHINGLE = 10, 3
 #: Rows of shingles (with their windows) that are broadcast at once.
 BLOCK_ROWS = 200_000
 
-_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# The characters of words: all but U+0000 to U+002F, U+003A to U+0060 and U+007B to U+007F. Said so, a class is matched faster.
+_WORD, _CASED = r"[0-9a-z\x80-\x{10FFFF}]+", r"[0-9A-Za-z\x80-\x{10FFFF}]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def words(text: Column) -> Column:
-    return F.regexp_extract_all(F.translate(text, _UPPER, _LOWER), F.lit(_WORD), F.lit(0))
+    ascii_ = F.octet_length(text) == F.length(text)  # then A-Z are the only capitals
+    return F.regexp_extract_all(F.when(ascii_, F.lower(text)).otherwise(F.translate(text, _UPPER, _LOWER)), F.lit(_WORD), F.lit(0))
 
 
 def n_words(text: Column) -> Column:
-    return F.coalesce(F.regexp_count(F.translate(text, _UPPER, _LOWER), F.lit(_WORD)), F.lit(0)).cast("long")
+    return F.coalesce(F.regexp_count(text, F.lit(_CASED)), F.lit(0)).cast("long")
 
 
 def _shingles(of: Column, width: int) -> Column:
