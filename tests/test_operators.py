@@ -400,3 +400,59 @@ def test_merging_by_aggregates_is_the_ordered_fold(spark, seed):
         own = [dict(zip(names, r[2:])) for r in sorted(rows) if r[0] == g]
         want = fold_people(own)
         assert got[g].n == len(own) and {c: got[g][c] for c in authors.FIELDS} == {c: want[c] for c in authors.FIELDS}, own
+
+
+def brute_numbers(rows):
+    """(row, number) of (base, place, number or None), each late row of a base the least number that no earlier one has."""
+    out, used = {}, {}
+    for i, (base, place, number) in sorted(enumerate(rows), key=lambda x: x[1][1]):
+        gone = used.setdefault(base, set())
+        if number is None:
+            n = 1
+            while n in gone:
+                n += 1
+            out[i] = n
+        gone.add(n if number is None else number)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_free_numbers_are_the_ordered_walk(spark, seed):
+    """One base in all ranges, others in one; held numbers dense, sparse, before and behind the late rows; 0 is no number."""
+    rnd = random.Random(seed)
+    places, rows = rnd.sample(range(10_000), 700), []
+    for base, n, share, most in (("a", 400, 0.5, 300), ("b", 40, 0.9, 60), ("c", 40, 0.1, 2000), ("d", 20, 1.0, 30), ("e", 200, rnd.random(), 250)):
+        numbers = rnd.sample(range(most), min(n, most))
+        rows += [(base, places.pop(), numbers.pop() if numbers and rnd.random() < share else None) for _ in range(n)]
+    place = lambda p, i: (False, p, 0, i)
+    kind = "place struct<none:boolean,id:long,tie:long,row:long>"
+    late = spark.createDataFrame([(i, b, place(p, i)) for i, (b, p, n) in enumerate(rows) if n is None], f"row long, base string, {kind}").repartition(3)
+    held = spark.createDataFrame([(b, n, place(p, i)) for i, (b, p, n) in enumerate(rows) if n is not None], f"base string, number long, {kind}").repartition(3)
+    got = {r.row: r.number for r in slugs._free_numbers(late, held).collect()}
+    assert got == brute_numbers(rows)
+
+
+def test_one_late_row_among_many_held_slugs(spark, monkeypatch):
+    """All rows have one base; its held numbers lie in many ranges, which are gone through in few passes."""
+    n, sizes, passes = 200_000, [], []
+    skipping = slugs._skipping
+    monkeypatch.setattr(slugs, "_skipping", lambda *a: passes.append(1) or skipping(*a))
+    sorted_parts = slugs.sorted_parts
+    monkeypatch.setattr(slugs, "sorted_parts", lambda *a: sizes.append(x := sorted_parts(*a)) or x)
+    place = F.struct(F.lit(False).alias("none"), F.col("id"), F.lit(0).cast("long").alias("tie"), F.col("id").alias("row")).alias("place")
+    held = spark.range(n).select(F.lit("news").alias("base"), (F.col("id") + 1).alias("number"), place)
+    late = spark.range(n, n + 1).select(F.col("id").alias("row"), F.lit("news").alias("base"), place)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # such small ranges would be put together
+    try:
+        assert [tuple(r) for r in slugs._free_numbers(late, held).collect()] == [(n, n + 1)]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    most = max(r["count"] for r in sizes[0].groupBy("part").count().collect())
+    assert most < 0.5 * n and len(passes) <= 4
+
+
+def test_slugs_beside_columns_of_any_name(spark):
+    names = ["base", "id_", "tie", "root", "first", "rounds", "plain", "row"]
+    df = spark.createDataFrame([(i, "a" if i % 2 else f"a-{i}", *["x"] * len(names)) for i in range(8)], f"id long, title string, {', '.join(f'`{n}` string' for n in names)}")
+    got = slugs.unique_slugs(df, (F.col("title"),), "t").orderBy("id").collect()
+    assert [r.slug for r in got] == ["a-0", "a", "a-2", "a-3", "a-4", "a-5", "a-6", "a-7"] and got[0].asDict().keys() == {"id", "title", "slug", *names}
