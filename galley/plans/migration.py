@@ -118,7 +118,10 @@ def _cache(stored: DataFrame | None, new: DataFrame | None) -> DataFrame | None:
 
 def read_state(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """What `write` left in a folder; nothing if there was no earlier run."""
-    found = {name: export.stored(spark, f"{folder}/state/{name}", schema) for name, schema in STATE.items()}
+    version = export.current(spark, f"{folder}/state")
+    if version is None:
+        return {}
+    found = {name: export.stored(spark, f"{version}/{name}", schema) for name, schema in STATE.items()}
     return {name: cut_lineage(rows) for name, rows in found.items() if not rows.isEmpty()}
 
 
@@ -142,9 +145,7 @@ def write(result: Migrated, folder: str, site: str) -> None:
     files.write_buckets(result.articles, "id", f"{folder}/articles", LOG_ROWS)
     for name, rows in result.logs.items():
         rows.write.mode("overwrite").json(f"{folder}/logs/{name}")
-    for name in STATE:
-        if name in result.logs:
-            export.store(cut_lineage(result.logs[name]), f"{folder}/state/{name}")
+    export.publish(result.authors.sparkSession, f"{folder}/state", {name: result.logs[name] for name in STATE if name in result.logs})
 
 
 def write_embeddings(result: Migrated, folder: str, encoder: vectors.Encoder, max_chars: int = vectors.MAX_CHARS) -> None:

@@ -6,7 +6,6 @@ literals that query and SQL share.
 
 from __future__ import annotations
 
-import io
 import uuid
 import zipfile
 from collections.abc import Callable
@@ -17,10 +16,10 @@ from pyspark.sql import functions as F
 from galley.functions import content, literals, names
 from galley.operators import articles, authors, bylines, keys, similar, slugs, vectors
 from galley.plans import migration
-from galley.session import shared_folder, table
+from galley.session import cut_lineage, shared_folder, table
 from galley.sinks import files
 from galley.sinks import sql as dumps
-from galley.sources import export
+from galley.sources import export, storage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -68,16 +67,16 @@ CAPTION_HEAD = '<p>[caption id="Att_7 b" align="alignleft" width="300"]<img src=
 
 
 @query(r"""SELECT doc_id, 'x <figure id="Att_7 b" aria-describedby="caption-att-7-b" style="width: 300px" class="wp-caption alignleft"><img src="a.png" />'
-  || '<figcaption id="caption-att-7-b" class="wp-caption-text">' || lang || ' ' || doc_id || '</figcaption></figure> y [caption width="3"]none[/caption]' AS html
+  || '<figcaption id="caption-att-7-b" class="wp-caption-text">' || lang || ' ' || doc_id || '</figcaption></figure> y [caption width="3"]none[/caption] ' || text AS html
 FROM documents""")
 def i2_captions(spark, sf):
-    raw = F.concat(F.lit("x " + CAPTION_HEAD + " "), "lang", F.lit(" "), F.col("doc_id").cast("string"), F.lit(' [/caption] </p> y [caption width="3"]none[/caption]'))
+    raw = F.concat(F.lit("x " + CAPTION_HEAD + " "), "lang", F.lit(" "), F.col("doc_id").cast("string"), F.lit(' [/caption] </p> y [caption width="3"]none[/caption] '), "text")
     return _docs(spark, sf, "lang").select("doc_id", content.convert_captions(raw).alias("html"))
 
 
-@query(r"""SELECT doc_id, 'a <div class="pm-embed-div" data-id="' || doc_id || '" data-set="' || source || '" data-puzzleType="wordrow" data-height="700px" data-embedparams="embed=wp"></div> b [puzzleme set="z"]' AS html FROM documents""")
+@query(r"""SELECT doc_id, 'a <div class="pm-embed-div" data-id="' || doc_id || '" data-set="' || source || '" data-puzzleType="wordrow" data-height="700px" data-embedparams="embed=wp"></div> b [puzzleme set="z"] ' || text AS html FROM documents""")
 def i3_puzzles(spark, sf):
-    raw = F.concat(F.lit('a <p><strong>[puzzleme set="'), "source", F.lit('" id="'), F.col("doc_id").cast("string"), F.lit('" type=" WordRow "]</strong></p> b [puzzleme set="z"]'))
+    raw = F.concat(F.lit('a <p><strong>[puzzleme set="'), "source", F.lit('" id="'), F.col("doc_id").cast("string"), F.lit('" type=" WordRow "]</strong></p> b [puzzleme set="z"] '), "text")
     return _docs(spark, sf, "source").select("doc_id", content.convert_puzzles(raw).alias("html"))
 
 
@@ -91,13 +90,13 @@ def i4_paragraphs(spark, sf):
 @query("""SELECT doc_id AS article_id, s AS shortcode, CASE s WHEN 'gallery' THEN '[gallery ids="' || source || '"]' ELSE '[video src=a]' || lang || '[/video]' END AS example
 FROM documents, (VALUES ('gallery'), ('video')) t(s)""")
 def i5_shortcodes(spark, sf):
-    raw = F.concat(F.lit('[gallery ids="'), "source", F.lit('"] [video src=a]'), "lang", F.lit('[/video] [gallery ids="2"]'))
+    raw = F.concat("text", F.lit(' [gallery ids="'), "source", F.lit('"] [video src=a]'), "lang", F.lit('[/video] [gallery ids="2"]'), "text")
     return articles.shortcode_log(_docs(spark, sf, "source", "lang").select("doc_id", raw.alias("text")), "doc_id")
 
 
 @query("SELECT doc_id AS article_id, style FROM (SELECT doc_id, unnest(['color: ' || lang, 'width: 1px']) AS style FROM documents)")
 def i6_inline_styles(spark, sf):
-    raw = F.concat(F.lit('<p style="color: '), "lang", F.lit("\">a</p><b class=x style='width: 1px'>"))
+    raw = F.concat("text", F.lit('<p style="color: '), "lang", F.lit("\">a</p><b class=x style='width: 1px'>"), "text")
     return articles.style_log(_docs(spark, sf, "lang").select("doc_id", raw.alias("text")), "doc_id")
 
 
@@ -150,9 +149,9 @@ def b7_first_upload(spark, sf):
     return table(spark, sf, "pages").select("page_id", content.first_upload(raw).alias("photo"))
 
 
-@query("""SELECT doc_id, 'A "q" and ''s ' || source AS title FROM documents""")
+@query("""SELECT doc_id, 'A "q" and ''s ' || source || ' ' || text AS title FROM documents""")
 def b8_unslash(spark, sf):
-    return _docs(spark, sf, "source").select("doc_id", content.unslash(F.concat(F.lit("A \\\"q\\\" and \\'s "), "source")).alias("title"))
+    return _docs(spark, sf, "source").select("doc_id", content.unslash(F.concat(F.lit("A \\\"q\\\" and \\'s "), "source", F.lit(" "), "text")).alias("title"))
 
 
 @query("""SELECT page_id, CASE page_id % 7 WHEN 0 THEN NULL WHEN 1 THEN url WHEN 2 THEN 'https://cdn.test/' || page_id WHEN 3 THEN 'https://www.example.org/a' || page_id
@@ -335,17 +334,18 @@ def f1_dense_ids(spark, sf):
 
 
 def _people(spark, sf, name: str = "customer") -> DataFrame:
-    """Rows of authors: names of two letters-only parts that repeat over nations and segments."""
+    """Rows of authors: names of two letters-only parts. The first is one for four keys in a row, the second one of two, so
+    names are as many as rows grow to, about half of them more than once, and half of all end alike."""
     c = table(spark, sf, name)
     key, nation = (F.col("c_custkey"), F.col("c_nationkey")) if name == "customer" else (F.col("s_suppkey"), F.col("s_nationkey"))
-    family = F.translate(F.sha2(nation.cast("string"), 256).substr(1, 9), "0123456789", "ghijklmnop")
-    given = F.translate(F.sha2(F.concat(F.lit("g"), (key % 60).cast("string")), 256).substr(1, 9), "0123456789", "qrstuvwxyz")
+    family = F.translate(F.sha2((nation % 2).cast("string"), 256).substr(1, 9), "0123456789", "ghijklmnop")
+    given = F.translate(F.sha2(F.concat(F.lit("g"), F.floor(key / 4).cast("string")), 256).substr(1, 9), "0123456789", "qrstuvwxyz")
     display = F.concat_ws(" ", given, family)
     return c.select(key.alias("ord"), (key * 2).alias("id"), display.alias("display_name"), F.lit(None).cast("string").alias("first_name"), F.lit(None).cast("string").alias("last_name"), F.when(key % 3 == 0, F.concat(key.cast("string"), F.lit("@x.test"))).alias("email"), F.concat(F.lit("l"), key.cast("string")).alias("login"))
 
 
-_FAMILY = "translate(substr(sha256(({n})::VARCHAR), 1, 9), '0123456789', 'ghijklmnop')"
-_GIVEN = "translate(substr(sha256('g' || ({k} % 60)), 1, 9), '0123456789', 'qrstuvwxyz')"
+_FAMILY = "translate(substr(sha256(({n} % 2)::VARCHAR), 1, 9), '0123456789', 'ghijklmnop')"
+_GIVEN = "translate(substr(sha256('g' || ({k} // 4)), 1, 9), '0123456789', 'qrstuvwxyz')"
 PEOPLE = f"""SELECT c_custkey AS ord, c_custkey * 2 AS id, {_GIVEN.format(k='c_custkey')} || ' ' || {_FAMILY.format(n='c_nationkey')} AS display_name, CASE WHEN c_custkey % 3 = 0 THEN c_custkey || '@x.test' END AS email, 'l' || c_custkey AS login FROM customer"""
 GUESTS = f"""SELECT s_suppkey AS ord, s_suppkey * 2 AS id, {_GIVEN.format(k='s_suppkey')} || ' ' || {_FAMILY.format(n='s_nationkey')} AS display_name, CASE WHEN s_suppkey % 3 = 0 THEN s_suppkey || '@x.test' END AS email, 'l' || s_suppkey AS login FROM supplier"""
 
@@ -425,7 +425,16 @@ def d5_similar_pairs(spark, sf):
     return similar.similar_pairs(rows, rows, 0.8).where("a < b").select("a", "b", F.round("sim", 9).alias("sim"))
 
 
-@query()
+@query(f"""WITH RECURSIVE k AS (SELECT key, min(ord) AS node FROM ({NAME_KEYS}) GROUP BY key),
+s AS (SELECT key, node, {_SHINGLES.format(k='key')} AS s FROM k),
+p AS (SELECT x.node AS lo, y.node AS hi, len(list_intersect(x.s, y.s)) AS n, len(x.s) AS m, len(y.s) AS o FROM s x JOIN s y ON x.node < y.node),
+l AS (SELECT hi, list(lo) AS earlier FROM p WHERE n / (m + o - n) >= 0.8 - 1e-12 GROUP BY hi),
+e AS (SELECT row_number() OVER (ORDER BY node) AS i, node, coalesce(earlier, []) AS earlier FROM k LEFT JOIN l ON hi = node),
+r AS (
+  SELECT 0::BIGINT AS i, []::BIGINT[] AS anchors
+  UNION ALL
+  SELECT e.i, CASE WHEN len(list_intersect(e.earlier, r.anchors)) = 0 THEN list_append(r.anchors, e.node) ELSE r.anchors END FROM r JOIN e ON e.i = r.i + 1)
+SELECT node, coalesce(list_min(list_intersect(earlier, anchors)), node) AS anchor FROM e, (SELECT anchors FROM r ORDER BY i DESC LIMIT 1)""")
 def d5_star_clusters(spark, sf):
     """Greedy clusters of names."""
     nodes = _name_keys(spark, sf).groupBy("key").agg(F.min("ord").alias("node"))
@@ -552,22 +561,34 @@ def _folder(spark) -> str:
     return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
 
 
-def _put(spark, path: str, data: bytes) -> None:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    stream = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target, True)
-    stream.write(data)
-    stream.close()
+def _zipping(uri: str):
+    """One archive of (name, line), a member for each name in a row."""
+
+    def run(batches):
+        now, member = None, None
+        with storage.writing(uri) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+            for batch in batches:
+                for name, line in zip(*(c.to_pylist() for c in batch.columns)):
+                    if name != now:
+                        if member is not None:
+                            member.close()
+                        now, member = name, z.open(name, "w")
+                    member.write(f"{line}\n".encode())
+            if member is not None:
+                member.close()
+        yield from ()
 
+    return run
 
-@query("SELECT n_name AS value FROM nation")
+
+@query("SELECT 'pages/' || (page_id % 3) || '.txt' AS member, url AS value FROM pages")
 def a1_unzip(spark, sf):
-    """A small archive with a member, read from where it was unpacked."""
-    data, folder = io.BytesIO(), _folder(spark)
-    with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as z:
-        z.writestr("in/nations.txt", "\n".join(r["n_name"] for r in table(spark, sf, "nation").collect()))  # 25 rows
-    _put(spark, f"{folder}/export.zip", data.getvalue())
-    (member,) = export.unzip(spark, f"{folder}/export.zip", f"{folder}/out")
-    return spark.read.text(member)
+    """An archive of three members, read from where they were unpacked."""
+    folder = _folder(spark)
+    rows = table(spark, sf, "pages").select(F.format_string("pages/%d.txt", F.col("page_id") % 3).alias("name"), "url")
+    rows.coalesce(1).sortWithinPartitions("name").mapInArrow(_zipping(storage.located(spark, f"{folder}/export.zip")), "name string").collect()
+    members = export.unzip(spark, f"{folder}/export.zip", f"{folder}/out")
+    return spark.read.text(members).select(F.concat(F.lit("pages/"), F.element_at(F.split("_metadata.file_path", "/"), -1)).alias("member"), "value")
 
 
 def _export(elements: DataFrame) -> str:
@@ -601,11 +622,17 @@ def a4_read_authors(spark, sf):
     return export.authors(spark, _export(s.select("s_suppkey", author))).select(F.col("`wp:author_display_name`").alias("display_name"), F.col("`wp:author_login`").alias("login"), F.col("`wp:author_email`").alias("email"))
 
 
-@query("SELECT 'gone' AS what, true AS first, false AS second")
+@query("SELECT o_orderstatus AS status, count(*) AS written, CASE WHEN o_orderstatus = 'F' THEN 0 ELSE count(*) END AS left, o_orderstatus = 'F' AS deleted, false AS again FROM orders GROUP BY 1")
 def a5_delete(spark, sf):
+    """A folder for each status; one is deleted, once and in vain a second time, and what is left is counted."""
     path = _folder(spark)
-    table(spark, sf, "region").write.parquet(path)
-    return spark.range(1).select(F.lit("gone").alias("what"), F.lit(export.delete(spark, path)).alias("first"), F.lit(export.delete(spark, path)).alias("second"))
+    orders = table(spark, sf, "orders")
+    orders.select("o_orderkey", F.col("o_orderstatus").alias("status")).write.partitionBy("status").parquet(path)
+    before = cut_lineage(spark.read.parquet(path).groupBy("status").agg(F.count("*").alias("written")))
+    first, second = (export.delete(spark, f"{path}/status=F") for _ in range(2))
+    left = spark.read.schema("o_orderkey long, status string").parquet(path).groupBy("status").agg(F.count("*").alias("n"))
+    gone = F.col("status") == "F"
+    return before.join(left, "status", "left").select("status", "written", F.coalesce("n", F.lit(0)).cast("long").alias("left"), (gone & F.lit(first)).alias("deleted"), (gone & F.lit(second)).alias("again"))
 
 
 @query("SELECT c_name AS name, c_custkey AS author_id, c_mktsegment AS display_name FROM customer")

@@ -1,47 +1,49 @@
 """Single files: lines in order, JSON objects keyed by position, and buckets of them.
 
-Parts are written by all tasks; the driver only joins or renames them, as streams.
+Parts are written by all tasks. One file of them is copied together by one task, as a stream;
+buckets are files of the tasks that have their rows. The driver sees names only.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from galley.columns import fresh
 from galley.operators.keys import bucket_of, dense_ids
-
-#: Bytes that are copied at once.
-COPY = 1 << 20
+from galley.sources.storage import hadoop, located, pieces, place, put
 
 
-def _file_system(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return jvm, target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+def _copying(parts: list[str], to: str):
+    def contents() -> Iterator[bytes]:
+        for uri in parts:
+            system, path = place(uri)
+            with system.open_input_stream(path, compression=None) as source:
+                yield from pieces(source)
 
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if len(batch):
+                put(to, contents())
+            yield batch
 
-def _parts(fs, folder) -> list:
-    return sorted((s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().startswith("part-")), key=lambda p: p.getName())
+    return run
 
 
 def write_lines(lines: DataFrame, path: str) -> None:
     """One text file with the `line`s of (ord, line), by ord."""
     spark = lines.sparkSession
-    jvm, target, fs = _file_system(spark, path)
-    folder = jvm.org.apache.hadoop.fs.Path(f"{path}.parts")
+    folder, fs = hadoop(spark, f"{path}.parts")
     rows = lines.select(F.col("ord").cast("long").alias("ord"), "line")
     rows.repartitionByRange("ord").sortWithinPartitions("ord").select("line").write.mode("overwrite").text(folder.toString())
-    out = fs.create(target, True)
-    try:
-        for part in _parts(fs, folder):
-            source = fs.open(part)
-            try:
-                jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, COPY, False)
-            finally:
-                source.close()
-    finally:
-        out.close()
+    names = sorted(s.getPath().getName() for s in fs.listStatus(folder))  # partitions
+    parts = [located(spark, f"{path}.parts/{n}") for n in names if n.startswith("part-")]
+    target, _ = hadoop(spark, path)
+    fs.delete(target, True)  # with its checksum, if it has one
+    spark.range(0, 1, 1, 1).mapInArrow(_copying(parts, located(spark, path)), "id long").collect()
     fs.delete(folder, True)
 
 
@@ -61,25 +63,34 @@ def write_positioned(rows: DataFrame, order: str, path: str) -> None:
     write_lines(frame.union(lines), path)
 
 
+def _bucketing(folder: str):
+    """Writes sorted (bucket, at, entry); (bucket) of the files."""
+
+    def done(bucket: int, entries: list[str]) -> pa.RecordBatch:
+        put(f"{folder}/{bucket}.json", [("{\n" + ",\n".join(entries) + "\n}\n").encode()])
+        return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int64())], names=["bucket"])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, entries = None, []
+        for batch in batches:
+            for bucket, entry in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
+                if bucket != now and entries:
+                    yield done(now, entries)
+                    entries = []
+                now = bucket
+                entries.append(entry)
+        if entries:
+            yield done(now, entries)
+
+    return run
+
+
 def write_buckets(rows: DataFrame, order: str, folder: str, size: int = 1000) -> int:
     """Files 0.json, 1.json and so on with `size` rows each, JSON objects by place; their number."""
-    spark, n = rows.sparkSession, rows.count()
-    jvm, target, fs = _file_system(spark, folder)
+    spark = rows.sparkSession
+    target, fs = hadoop(spark, folder)
     fs.delete(target, True)
     fs.mkdirs(target)
-    buckets = -(-n // size)
-    if not buckets:
-        return 0
-    entries = _entries(rows, order, rows.columns).withColumn("bucket", bucket_of(F.col("at"), size))
-    last = (F.col("at") == n - 1) | (F.col("at") % size == size - 1)
-    lines = entries.select("bucket", "at", F.when(last, F.col("entry")).otherwise(F.concat("entry", F.lit(","))).alias("line"))
-    ends = spark.range(buckets).select(F.col("id").alias("bucket"), F.inline(F.array(F.struct(F.lit(-1).cast("long").alias("at"), F.lit("{").alias("line")), F.struct(F.lit(n).cast("long").alias("at"), F.lit("}").alias("line")))))
-    parts = jvm.org.apache.hadoop.fs.Path(f"{folder}/parts")
-    both = lines.union(ends).repartition("bucket").sortWithinPartitions("bucket", "at")  # a bucket is one task's, `size` rows
-    both.select("bucket", "line").write.partitionBy("bucket").text(parts.toString())
-    for i in range(buckets):
-        (part,) = _parts(fs, jvm.org.apache.hadoop.fs.Path(f"{folder}/parts/bucket={i}"))
-        fs.rename(part, jvm.org.apache.hadoop.fs.Path(f"{folder}/{i}.json"))
-    fs.delete(parts, True)
-    return buckets
-
+    entries = _entries(rows, order, rows.columns).select(bucket_of(F.col("at"), size).alias("bucket"), "at", "entry")
+    dealt = entries.repartition("bucket").sortWithinPartitions("bucket", "at")  # a bucket is one task's, `size` rows
+    return dealt.mapInArrow(_bucketing(located(spark, folder)), "bucket long").count()

@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+import zipfile
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from galley.sources.storage import hadoop, located, pieces, place, put, replace
+
 _TEXT = T.StringType()
 
 
@@ -56,41 +63,53 @@ def guests(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("ord", F.coalesce(_meta("wp:postmeta"), F.array().cast("array<struct<key:string,value:string>>")).alias("meta"))
 
 
+def _members(uri: str):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            system, path = place(uri)
+            for _ in range(len(batch)):
+                with system.open_input_file(path) as source, zipfile.ZipFile(source) as z:
+                    found = [n for n in z.namelist() if not n.endswith("/") and ".." not in n.split("/")]
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], names=["name"])
+
+    return run
+
+
+def _unpacking(uri: str, to: str):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                system, path = place(uri)
+                with system.open_input_file(path) as source, zipfile.ZipFile(source) as z, z.open(name) as member:
+                    put(f"{to}/{name}", pieces(member))
+            yield batch
+
+    return run
+
+
 def unzip(spark: SparkSession, path: str, to: str) -> list[str]:
-    """Unpack an archive into a folder of the session's file system; the paths of its members.
+    """Unpack an archive into a folder of the session's file system; the paths of its members, in their order.
 
-    An archive cannot be split, so it is one stream, of any length, through the driver.
+    A member is one stream, of any length, and one task's; the driver gets their names.
     """
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    source = jvm.org.apache.hadoop.fs.Path(path)
-    members, out = jvm.java.util.zip.ZipInputStream(source.getFileSystem(conf).open(source)), []
-    try:
-        while (member := members.getNextEntry()) is not None:
-            name = member.getName()
-            if member.isDirectory() or ".." in name.split("/"):
-                continue
-            target = jvm.org.apache.hadoop.fs.Path(f"{to}/{name}")
-            stream = target.getFileSystem(conf).create(target, True)
-            try:
-                jvm.org.apache.hadoop.io.IOUtils.copyBytes(members, stream, 1 << 20, False)
-            finally:
-                stream.close()
-            out.append(f"{to}/{name}")
-    finally:
-        members.close()
-    return out
+    uri = located(spark, path)
+    names = [r["name"] for r in spark.range(0, 1, 1, 1).mapInArrow(_members(uri), "name string").collect()]
+    if names:
+        each = spark.createDataFrame([(n,) for n in names], "name string").repartition(len(names))
+        each.mapInArrow(_unpacking(uri, located(spark, to)), "name string").collect()
+    return [f"{to}/{n}" for n in names]
 
 
 def delete(spark: SparkSession, path: str) -> bool:
     """Remove a file or folder; False if there is none."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    target, fs = hadoop(spark, path)
+    return fs.delete(target, True)
 
 
 def stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Rows that an earlier run kept; none if the folder is missing or cannot be read."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    if not target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target):
+    target, fs = hadoop(spark, path)
+    if not fs.exists(target):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
 
@@ -99,6 +118,36 @@ def store(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+def current(spark: SparkSession, folder: str) -> str | None:
+    """The folder of the version that `publish` named last; none if there is none."""
+    target, fs = hadoop(spark, f"{folder}/current")
+    if not fs.exists(target):
+        return None
+    return f"{folder}/{spark.read.text(target.toString()).first()['value']}"
+
+
+def publish(spark: SparkSession, folder: str, stores: dict[str, DataFrame]) -> str:
+    """Stores tables together as a new version in `folder`; its path.
+
+    The version is written in a folder of its own, and only when all of it is there the pointer to it is
+    renamed over the last one. So a reader has the one or the other, whole, wherever a run ends. The
+    version before stays for those who read it; older ones go.
+    """
+    before, name = current(spark, folder), f"v-{uuid.uuid4().hex}"
+    for table, rows in stores.items():
+        store(rows, f"{folder}/{name}/{table}")
+    target, fs = hadoop(spark, f"{folder}/next-{name}")
+    stream = fs.create(target, True)
+    stream.write(name.encode())
+    stream.close()
+    replace(spark, target.toString(), f"{folder}/current")
+    for status in fs.listStatus(hadoop(spark, folder)[0]):  # versions
+        other = status.getPath().getName()
+        if other.startswith("v-") and other != name and (before is None or other != before.rpartition("/")[2]):
+            fs.delete(status.getPath(), True)
+    return f"{folder}/{name}"
+
+
 def merged_conflicts(old: DataFrame, new: DataFrame) -> DataFrame:
     """(ord, conflict): distinct conflicts, the first of equals, old ones first. conflict: a struct."""
     rows = old.select(F.lit(0).alias("run"), "ord", "conflict").union(new.select(F.lit(1).alias("run"), "ord", "conflict"))

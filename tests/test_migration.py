@@ -1,11 +1,13 @@
 import json
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from galley.operators import vectors
 from galley.plans import migration
-from galley.sources import export
+from galley.sinks import files
+from galley.sources import export, storage
 from galley.streaming import content as streaming
 
 LONG = "word " * 40
@@ -104,3 +106,73 @@ def test_streams(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert [(r.id, r.author_ids) for r in seen] == [(1, [7])]
+
+
+def test_a_run_that_is_killed_leaves_the_state_before(spark, tmp_path, monkeypatch):
+    folder, schema, store = f"{tmp_path}/state", "name string", export.store
+    rows = lambda *x: spark.createDataFrame([(v,) for v in x], schema)
+    read = lambda: {t: sorted(r.name for r in export.stored(spark, f"{export.current(spark, folder)}/{t}", schema).collect()) for t in ("a", "b")}
+    assert export.current(spark, folder) is None and migration.read_state(spark, str(tmp_path)) == {}
+    export.publish(spark, folder, {"a": rows("1"), "b": rows("1", "2")})
+    first = export.current(spark, folder)
+
+    def dies(df, path):
+        if path.endswith("/b"):
+            raise KeyboardInterrupt
+        store(df, path)
+
+    monkeypatch.setattr(export, "store", dies)
+    with pytest.raises(KeyboardInterrupt):
+        export.publish(spark, folder, {"a": rows("9"), "b": rows("9")})
+    monkeypatch.setattr(export, "store", store)
+    assert export.current(spark, folder) == first and read() == {"a": ["1"], "b": ["1", "2"]}
+    monkeypatch.setattr(export, "replace", lambda *a: dies(None, "/b"))
+    with pytest.raises(KeyboardInterrupt):  # all is written, but not named
+        export.publish(spark, folder, {"a": rows("9"), "b": rows("9")})
+    monkeypatch.undo()
+    assert read() == {"a": ["1"], "b": ["1", "2"]}
+    export.publish(spark, folder, {"a": export.stored(spark, f"{first}/a", schema).union(rows("3")), "b": rows()})
+    assert read() == {"a": ["1", "3"], "b": []}
+    export.publish(spark, folder, {"a": rows("4"), "b": rows("4")})
+    left = [p.name for p in (tmp_path / "state").iterdir() if p.name.startswith("v-")]
+    assert len(left) == 2 and read() == {"a": ["4"], "b": ["4"]}
+
+
+def test_archives_of_several_members(spark, tmp_path):
+    names = {"a.txt": b"", "in/b.txt": b"x" * 3_000_000, "in/deep/c.bin": bytes(range(256))}
+    with zipfile.ZipFile(tmp_path / "x.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("in/", b"")
+        z.writestr("../out.txt", b"not outside")
+        for name, data in names.items():
+            z.writestr(name, data)
+    got = export.unzip(spark, f"{tmp_path}/x.zip", f"{tmp_path}/to")
+    assert got == [f"{tmp_path}/to/{n}" for n in names]
+    assert {str(p.relative_to(tmp_path / "to")): p.read_bytes() for p in (tmp_path / "to").rglob("*") if p.is_file()} == names
+    assert not (tmp_path / "out.txt").exists()
+
+
+def test_files_are_whole_or_not_there(tmp_path):
+    uri = f"file://{tmp_path}/d/f.txt"
+
+    def broken():
+        yield b"half"
+        raise OSError
+
+    with pytest.raises(OSError):
+        storage.put(uri, broken())
+    assert not (tmp_path / "d/f.txt").exists()
+    storage.put(uri, [b"one"])
+    storage.put(uri, [b"t", b"wo"])
+    assert (tmp_path / "d/f.txt").read_bytes() == b"two"
+
+
+def test_files_of_lines_and_buckets(spark, tmp_path):
+    lines = spark.range(5000).selectExpr("id ord", "concat('l', id) line").repartition(7)
+    for _ in range(2):  # written over
+        files.write_lines(lines, f"{tmp_path}/x.sql")
+        assert (tmp_path / "x.sql").read_text() == "".join(f"l{i}\n" for i in range(5000))
+    rows = spark.range(25).selectExpr("id * 3 k", "if(id % 2 = 0, 'a', null) entry", "'b' bucket").repartition(3)
+    assert files.write_buckets(rows, "k", f"{tmp_path}/b", 10) == 3
+    found = {p.name: json.loads(p.read_text()) for p in (tmp_path / "b").glob("*.json")}
+    assert {n: len(x) for n, x in found.items()} == {"0.json": 10, "1.json": 10, "2.json": 5} and found["1.json"]["11"] == {"k": 33, "entry": None, "bucket": "b"}
+    assert files.write_buckets(rows.limit(0), "k", f"{tmp_path}/b", 10) == 0 and list((tmp_path / "b").glob("*.json")) == []
