@@ -735,7 +735,7 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_
 SELECT query_id, rank, vec_id, round(distance, 6) AS distance FROM r WHERE rank <= 5""")
 def k4_nearest(spark, sf):
     v = table(spark, sf, "embeddings").select("vec_id", "embedding")
-    return vectors.nearest_in_blocks(v, v.where("vec_id % 20 = 0"), 5).withColumn("distance", F.round("distance", 6))
+    return vectors.pruned_nearest(v, v.where("vec_id % 20 = 0"), 5)[0].withColumn("distance", F.round("distance", 6))
 
 
 @query(r"""SELECT page_id AS id, substr(array_to_string(list_filter([trim(url), regexp_replace(trim(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')), '^$', '')], lambda x: x <> ''), chr(10) || chr(10)), 1, 5000) AS text FROM pages""")

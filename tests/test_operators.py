@@ -1,6 +1,7 @@
 import itertools
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -257,9 +258,9 @@ def test_nearest_in_blocks(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
     want = sorted((q, n + 1, i, round(d, 9)) for q, w in rows[:-1] for n, (d, i) in enumerate(sorted((sum((x - y) ** 2 for x, y in zip(v, w)) ** 0.5, i) for i, v in rows[:-1] if i != q)[:4]))
     for block in (7, 2_000):
-        got = vectors.nearest_in_blocks(df, df, 4, block=block).collect()
+        got = vectors.pruned_nearest(df, df, 4, block=block)[0].collect()
         assert sorted((r.query_id, r.rank, r.vec_id, round(r.distance, 9)) for r in got) == want
-    assert vectors.nearest_in_blocks(df, df.where("vec_id < 0"), 4).collect() == []
+    assert vectors.pruned_nearest(df, df.where("vec_id < 0"), 4)[0].collect() == []
 
 
 def test_the_nearest_query_takes_over_2000_queries(spark, tmp_path):
@@ -456,3 +457,26 @@ def test_slugs_beside_columns_of_any_name(spark):
     df = spark.createDataFrame([(i, "a" if i % 2 else f"a-{i}", *["x"] * len(names)) for i in range(8)], f"id long, title string, {', '.join(f'`{n}` string' for n in names)}")
     got = slugs.unique_slugs(df, (F.col("title"),), "t").orderBy("id").collect()
     assert [r.slug for r in got] == ["a-0", "a", "a-2", "a-3", "a-4", "a-5", "a-6", "a-7"] and got[0].asDict().keys() == {"id", "title", "slug", *names}
+
+
+@pytest.mark.parametrize("cells,sample,block", [(1, 10, 1000), (8, 64, 1000), (16, 200, 20), (300, 4096, 7)])
+def test_pruned_neighbours_are_exact(spark, cells, sample, block):
+    """Groups of vectors, ties, repeated ids, more asked than there are, and whatever cells."""
+    rnd = np.random.default_rng(cells)
+    middle = rnd.normal(size=(6, 5)) * 20
+    rows = [(i, [float(np.float32(x)) for x in middle[i % 6] + rnd.normal(size=5)]) for i in range(240)]
+    rows += [(300 + i, [1.0, 2.0, 3.0, 4.0, 5.0]) for i in range(9)] + [rows[6]] * 3 + [(500, None), (None, [0.0] * 5)]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "vec_id long, embedding array<float>, cell string").repartition(4)
+    asked = df.where("vec_id % 3 = 1 OR vec_id >= 300")
+    known = [(i, np.array(v)) for i, v in rows if i is not None and v]
+    for k in (1, 5, 400):
+        got, share = vectors.pruned_nearest(df, asked, k, cells=cells, sample=sample, block=block)
+        want = {}
+        for q in {i for i, _ in known if i % 3 == 1 or i >= 300}:
+            at = next(v for i, v in known if i == q)
+            want[q] = sorted((float(np.sqrt(((v - at) ** 2).sum())), i) for i, v in known if i != q)[:k]
+        found = {}
+        for r in got.collect():
+            found.setdefault(r.query_id, []).append((r.rank, r.distance, r.vec_id))
+        assert {q: [(d, i) for _, d, i in sorted(x)] for q, x in found.items()} == want
+        assert share <= 1 and (k > 5 or cells < 8 or share < 0.5)
