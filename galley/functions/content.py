@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import html
+import json
 from collections.abc import Callable
+from html.entities import html5
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from galley.functions.names import strip
 
@@ -63,10 +62,45 @@ def first_upload(text: Column) -> Column:
     return _replace(F.regexp_substr(text, F.lit(r"(?d)wp-content/uploads/(.*?)\\")), "\\", "")
 
 
-@F.pandas_udf(StringType())
-def unescape(texts: pd.Series) -> pd.Series:
-    """HTML entities as characters; the engine has no such function of its own."""
-    return texts.map(html.unescape, na_action="ignore")
+_ENTITY = r"&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+#: Names that need no semicolon; the longest that a name begins with counts.
+_OPEN = {k: v for k, v in html5.items() if not k.endswith(";")}
+#: Numbers that stand for other characters: zero, and the C1 controls as bytes of Windows text.
+_OTHERS = {0: "\ufffd", 13: "\r"} | {n: bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(0x80, 0xA0)}
+
+
+def _table(names: dict[str, str]) -> Callable[[Column], Column]:
+    """Looks a name up, in two steps: by its first two characters, then among those that begin so; null if it is none."""
+    by_start: dict[str, dict[str, str]] = {}
+    for name, value in names.items():
+        by_start.setdefault(name[:2], {})[name] = value
+    table = F.from_json(F.lit(json.dumps(by_start)), "map<string,map<string,string>>")  # a constant
+    return lambda c: F.try_element_at(F.try_element_at(table, F.substring(c, 1, 2)), c)
+
+
+def _character(digits: Column, base: int) -> Column:
+    """The character of a number in text; '' for those that are none, U+FFFD beyond them."""
+    short = F.ltrim(digits, F.lit("0"))
+    n = F.conv(F.coalesce(F.nullif(short, F.lit("")), F.lit("0")), base, 10).cast("bigint")
+    control = (n < 9) | (n == 11) | n.between(14, 31) | n.between(127, 159) | n.between(0xFDD0, 0xFDEF) | (n.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE)
+    others = F.try_element_at(F.from_json(F.lit(json.dumps(_OTHERS)), "map<string,string>"), n.cast("string"))
+    own = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+    known = F.coalesce(others, F.when((n > 0x10FFFF) | n.between(0xD800, 0xDFFF), "\ufffd").when(control, "").otherwise(own))
+    return F.when(F.length(short) > 10, "\ufffd").otherwise(known)
+
+
+def unescape(c: Column) -> Column:
+    """HTML entities as characters, as browsers read them: by number, by name, or by the longest name that needs no semicolon."""
+    named, begun = _table(html5), _table(_OPEN)
+
+    def one(match: Column) -> Column:
+        name = F.substring(match, 2, 40)
+        number = F.when(F.lower(F.substring(match, 3, 1)) == "x", _character(F.rtrim(F.substr(match, F.lit(4)), F.lit(";")), 16)).otherwise(_character(F.rtrim(F.substr(match, F.lit(3)), F.lit(";")), 10))
+        most = max(map(len, _OPEN))
+        starts = [F.when(F.length(name) > x, F.concat(begun(F.substring(name, 1, x)), F.substring(name, x + 1, 40))) for x in range(most, 1, -1)]
+        return F.when(F.substring(match, 2, 1) == "#", number).otherwise(F.coalesce(named(name), *starts, match))
+
+    return F.when(F.contains(c, F.lit("&")), replace_matches(c, _ENTITY, one)).otherwise(c)
 
 
 def strip_html(c: Column) -> Column:

@@ -118,3 +118,20 @@ def test_json(spark):
 def test_first_upload(spark):
     assert value(spark, lambda A: content.first_upload(A), a='x /wp-content/uploads/1/a.png\\" b') == "wp-content/uploads/1/a.png"
     assert value(spark, lambda A: content.first_upload(A), a="wp-content/uploads/1") is None
+
+
+def test_entities_are_the_browsers(spark):
+    """All names, with and without the semicolon, cut, with more behind them, and numbers of all kinds."""
+    import html
+    import random
+    from html.entities import html5
+
+    rnd = random.Random(1)
+    texts = [f"x &{n} y&{n}" for n in html5] + [f"&{n.rstrip(';')}{rnd.choice(['', ';', 'z', 'z;', '=', ' ', '&', '<', '9'])}" for n in html5] + [f"&{n[: rnd.randint(1, len(n))]}" for n in html5]
+    numbers = [*range(0, 300), 0xD7FF, 0xD800, 0xDFFF, 0xE000, 0xFDCF, 0xFDD0, 0xFDEF, 0xFDF0, 0xFFFD, 0xFFFE, 0xFFFF, 0x10000, 0x1FFFE, 0x1F600, 0x10FFFE, 0x10FFFF, 0x110000, 1 << 31, 1 << 40, 10**30]
+    texts += [f"a{x}b" for n in numbers for x in (f"&#{n};", f"&#{n}", f"&#x{n:x};", f"&#X{n:X}", f"&#000{n}")]
+    texts += ["", "&", "&&amp;&", "& amp;", "&;", "&#;", "&#x;", "&#xg;", "&amp;amp;lt;", "&" + "q" * 50 + ";", "&not\n;", "&notit;", "&é;", "\U0001f600&lt;\U0001f600", "plain", "&amp" * 40]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(-1, None)], "i int, t string").repartition(3)
+    got = {r.i: r.u for r in rows.select("i", content.unescape(F.col("t")).alias("u")).collect()}
+    assert got.pop(-1) is None
+    assert [(texts[i], got[i]) for i in sorted(got) if got[i] != html.unescape(texts[i])] == []
