@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from galley.columns import fresh
 from galley.functions.content import escape_quotes, excerpt, first_upload, is_puzzle, odd_characters, sanitized, shortcodes, inline_styles, text_norm, unslash
 from galley.functions.literals import no_zero_date, photo_url
 from galley.functions.names import byline_key
@@ -107,9 +108,10 @@ def translate_articles(items: DataFrame) -> DataFrame:
 
 def sanitise_content(articles: DataFrame) -> DataFrame:
     """`articles` with repaired text, `fixes` (null if nothing changed) and `excerpt`."""
-    rows = articles.withColumn("__s", sanitized(F.col("text")))
-    fixes = F.when(F.size("__s.fixes") > 0, F.array_join("__s.fixes", "; "))
-    rows = rows.withColumns({"text": F.col("__s.text"), "fixes": fixes}).drop("__s")
+    (s,) = fresh(articles.columns, "s")
+    rows = articles.withColumn(s, sanitized(F.col("text")))
+    fixes = F.when(F.size(f"{s}.fixes") > 0, F.array_join(f"{s}.fixes", "; "))
+    rows = rows.withColumns({"text": F.col(f"{s}.text"), "fixes": fixes}).drop(s)
     return rows.withColumn("excerpt", F.when(is_puzzle(F.col("categories"), F.col("text")), F.lit("")).otherwise(excerpt(F.col("text"))))
 
 

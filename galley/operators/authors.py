@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from galley.functions.names import build_display_name, clean_author, clean_authors, holds_several, similarity_key, split_display_name, truthy
 from galley.operators.keys import dense_ids, running
-from galley.operators.similar import similar_pairs, star_clusters
+from galley.operators.similar import Measure, similar_pairs, star_clusters
 from galley.session import cut_lineage
 
 FIELDS = ("id", "display_name", "first_name", "last_name", "email", "login")
@@ -108,12 +108,12 @@ def merge_people(rows: DataFrame, by: str) -> DataFrame:
     return g.select(by, "n", *[F.when(F.col("n") == 1, F.col(f"last.{c}")).otherwise(made[c]).alias(c) for c in FIELDS])
 
 
-def resolve(rows: DataFrame, banned: DataFrame | None = None, merge: float = MERGE, flag: float = FLAG, decided: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+def resolve(rows: DataFrame, banned: DataFrame | None = None, merge: float = MERGE, flag: float = FLAG, decided: DataFrame | None = None, measure: Measure | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(rows, disputes, changes) after one pass of greedy merging.
 
     In order, each row that is still there takes in all later rows whose keys are at least `merge`
     alike and flags those from `flag` up. Untouched rows keep their place, merged ones follow, banned
-    ones (no display name, or one of `banned`'s) come last. decided: (id) of rows that were decided on
+    ones (no display name, or one of `banned`'s) come last. measure: see `similar_pairs`. decided: (id) of rows that were decided on
     and win over those they are merged with. disputes: (left, right) rows; changes: (anchor, ord,
     old_id, then_id, new_id, new_name) of the rows taken in, then_id being the id of the merged row
     when it had just taken that one in.
@@ -127,7 +127,7 @@ def resolve(rows: DataFrame, banned: DataFrame | None = None, merge: float = MER
     rows = cut_lineage(rows.select("ord", *FIELDS, "key", out_of.alias("banned")))
     open_ = rows.where(~F.col("banned"))
     nodes = open_.groupBy("key").agg(F.min("ord").alias("node"))  # equal keys are one node: they act alike
-    pairs = cut_lineage(similar_pairs(nodes, nodes, flag).where("a <> b"))
+    pairs = cut_lineage(similar_pairs(nodes, nodes, flag, measure=measure).where("a <> b"))
     at = nodes.select(F.col("key").alias("a"), F.col("node").alias("na")), nodes.select(F.col("key").alias("b"), F.col("node").alias("nb"))
     pairs = pairs.join(at[0], "a").join(at[1], "b").where("na < nb")
     placed = nodes.join(star_clusters(nodes, pairs.where(F.col("sim") >= merge - 1e-12).select(F.col("na").alias("lo"), F.col("nb").alias("hi"))), "node")

@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from galley.columns import fresh
 from galley.functions.names import similarity_key, truthy
-from galley.operators.similar import similar_pairs
+from galley.operators.similar import Measure, similar_pairs
 from galley.session import cut_lineage
 
 MATCH, CANDIDATE = 0.9, 0.8
@@ -54,12 +55,12 @@ def special_matches(keys: DataFrame, edits: DataFrame, lookup: DataFrame) -> Dat
     return found.groupBy("key", "at").agg(F.min_by(F.struct("author_id", "name"), "where").alias("b")).select("key", "at", F.col("b.author_id").alias("author_id"), F.col("b.name").alias("name"))
 
 
-def similar_names(keys: DataFrame, lookup: DataFrame, match: float = MATCH, candidate: float = CANDIDATE) -> DataFrame:
+def similar_names(keys: DataFrame, lookup: DataFrame, match: float = MATCH, candidate: float = CANDIDATE, measure: Measure | None = None) -> DataFrame:
     """(key, author_id, name, sim, matched) of each key's best match, or else of its candidates.
 
     The best has at least `match`, the highest similarity, and of equals the earliest place in the lookup.
     """
-    pairs = similar_pairs(keys, lookup, candidate).select(F.col("a").alias("key"), F.col("b").alias("other"), "sim")
+    pairs = similar_pairs(keys, lookup, candidate, measure=measure).select(F.col("a").alias("key"), F.col("b").alias("other"), "sim")
     pairs = cut_lineage(pairs.join(lookup.withColumnRenamed("key", "other"), "other").select("key", "author_id", "name", "sim", "at"))
     best = pairs.where(F.col("sim") >= match - 1e-12).groupBy("key").agg(F.max_by(F.struct("author_id", "name", "sim"), F.struct("sim", -F.col("at"))).alias("b"))
     best = best.select("key", "b.*", F.lit(True).alias("matched"))
@@ -67,11 +68,11 @@ def similar_names(keys: DataFrame, lookup: DataFrame, match: float = MATCH, cand
     return best.unionByName(rest)
 
 
-def match_bylines(articles: DataFrame, authors: DataFrame, edits: DataFrame | None = None, cache: DataFrame | None = None) -> dict[str, DataFrame]:
+def match_bylines(articles: DataFrame, authors: DataFrame, edits: DataFrame | None = None, cache: DataFrame | None = None, measure: Measure | None = None) -> dict[str, DataFrame]:
     """`matches` (article_id, at, sub, author_id, name), `flagged` (article_id, name, candidates),
     `unknown` (name, article_ids) and `changes` (article_id, old_name, new_name).
 
-    cache: (name, author_id, display_name), decisions of earlier runs for flagged names.
+    cache: (name, author_id, display_name), decisions of earlier runs for flagged names. measure: see `similar_pairs`.
     """
     lookup = cut_lineage(author_lookup(authors))
     names = cut_lineage(occurrences(articles))
@@ -81,7 +82,7 @@ def match_bylines(articles: DataFrame, authors: DataFrame, edits: DataFrame | No
     left = keys.join(special, "key", "left_anti")
     exact = left.join(lookup.select("key", "author_id", "name"), "key")
     left = cut_lineage(left.join(lookup, "key", "left_anti"))
-    fuzzy = cut_lineage(similar_names(left, lookup))
+    fuzzy = cut_lineage(similar_names(left, lookup, measure=measure))
     sure = special.select("key", F.col("at").alias("sub"), "author_id", "name", F.lit("special").alias("by"))
     sure = sure.unionByName(exact.select("key", F.lit(0).alias("sub"), "author_id", "name", F.lit("exact").alias("by")))
     sure = sure.unionByName(fuzzy.where("matched").select("key", F.lit(0).alias("sub"), "author_id", "name", F.lit("similar").alias("by")))
@@ -104,8 +105,9 @@ def apply_matches(articles: DataFrame, matches: DataFrame) -> DataFrame:
     """`articles` with author_ids and authors, in the order of names; names without a match are dropped."""
     one = F.struct("at", "sub", "author_id", "name")
     found = matches.groupBy("article_id").agg(F.array_sort(F.collect_list(one)).alias("m"))  # an article's names
-    out = articles.join(found.withColumnRenamed("article_id", "__id"), F.col("id") == F.col("__id"), "left")
-    m = F.coalesce("m", F.array().cast("array<struct<at:int,sub:int,author_id:bigint,name:string>>"))
+    of, all_ = fresh(articles.columns, "article", "m")
+    out = articles.join(found.toDF(of, all_), F.col("id") == F.col(of), "left")
+    m = F.coalesce(all_, F.array().cast("array<struct<at:int,sub:int,author_id:bigint,name:string>>"))
     columns = [c for c in articles.columns if c not in ("author_ids", "authors")]
     return out.select(*columns, F.transform(m, lambda x: x["author_id"]).alias("author_ids"), F.transform(m, lambda x: x["name"]).alias("authors"))
 
