@@ -1,25 +1,24 @@
-"""Substring dedup: exact by windows of words (dedup_passages), or by content-defined chunks.
-
-dedup_passages removes every word of a document that stands in a run of MIN_WORDS words which a
-document of smaller doc_id holds too, white space apart: each shared passage to its true ends,
-whichever and however many documents hold its parts. Words are what white space divides. Of each
-run of MIN_WORDS words one shorter run is selected by the words alone (winnowing), so two documents
-that share the long run share the selected one. Only long runs whose selected run stands in two
-documents are hashed and shuffled, as (digest, doc_id); the smallest doc_id of a digest owns it.
-
-dedup_substrings compares chunks alone and is quicker, but leaves the ends of passages and loses
-some of them. A gear hash rolls over the last 16 bytes of a text; where it falls under a threshold the text may
-be cut, at the next beginning of a word. Cuts depend on nearby bytes alone, so an insertion moves
-the chunks round it and no others. Chunks are compared by a 64-bit digest: of all documents that
-hold a chunk, the one with the smallest doc_id owns it. In every other document, runs of
-neighbouring chunks that smaller documents own are removed if they hold at least MIN_WORDS words.
-(Up to about a chunk stays at each end of a passage, where it shares one with its
-surroundings; a run needs several equal digests in a row, so a chance collision removes nothing.)
-
-In both only (digest, doc_id) pairs are shuffled, each once for a document: first into the smallest and
+"""Substring dedup by content-defined chunks (dedup_substrings), and exactly by windows of words (dedup_passages).
+
+A gear hash rolls over the last 16 bytes of a text; where it falls under a threshold the text may be
+cut, at the next beginning of a word. Cuts depend on nearby bytes alone, so an insertion moves the
+chunks round it and no others. Chunks are compared by a 64-bit digest: of all documents that hold a
+chunk, the one with the smallest doc_id owns it. In every other document, runs of neighbouring chunks
+that smaller documents own are removed if they hold at least MIN_WORDS words. A chunk is about five
+words long, so of a passage of over 50 words enough chunks are whole, and under one in a hundred such
+passages is missed; up to about a chunk stays at each end, where it shares one with its surroundings. A run needs several equal digests in a row, so a chance collision removes nothing.
+
+Only (digest, doc_id) pairs are shuffled, each once for a document: first into the smallest and
 largest doc_id of each digest, combined before the shuffle, then against the digests that two
 documents share. A digest with a third of all rows is one row for each task in the first step
-and a skewed but splittable join key in the second.
+and a skewed but splittable join key in the second. Texts are shuffled only if something goes from
+them, as long as their ids are few enough for a broadcast.
+
+dedup_passages removes passages to their true ends: every word of a document that stands in a run of
+MIN_WORDS words which a document of smaller doc_id holds too, white space apart. Of each run of
+MIN_WORDS words one shorter run is selected by the words alone (winnowing), so two documents that
+share the long run share the selected one. Only long runs whose selected run stands in two documents
+are hashed and shuffled. That takes twice the disk; the query and the pipeline go by chunks.
 
 Defined cases: null and empty texts stay as they are. Rows without doc_id own nothing and stay.
 Rows with one doc_id are one document: nothing is removed for what only they share; repeats
@@ -35,7 +34,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,7 +43,9 @@ from galley.llm.columns import fresh, integral
 from galley.session import cut_lineage
 
 #: Mean distance of possible cuts, the least, and the length at which a cut is forced, in bytes.
-MEAN, LEAST, MOST = 40, 16, 512
+MEAN, LEAST, MOST = 16, 12, 512
+#: Documents from which something goes, up to which their ids are broadcast to choose them.
+BROADCAST_IDS = 300_000
 #: A cut moves to the next word if that begins within so many bytes.
 REACH = 64
 MIN_WORDS = 20
@@ -131,19 +132,34 @@ def _removing(at: int, names: list[str], min_words: int):
     return run
 
 
+def _beside(docs: DataFrame, own: Column, found: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(rows with the digests that `found` (id, digests) has for them, rows it has nothing for).
+
+    If too many have some for a broadcast of their ids, all are joined, and rows with nothing are among the first.
+    """
+    own_id, own_digests = fresh(docs.columns, "id", "digests")
+    found = cut_lineage(found.toDF(own_id, own_digests))
+    if found.count() > BROADCAST_IDS:
+        return docs.join(found, own == F.col(own_id), "left").select(*docs.columns, own_digests), None
+    ids = F.broadcast(found.select(own_id))
+    some = docs.join(ids, own == F.col(own_id), "left_semi").join(found, own == F.col(own_id))
+    return some.select(*docs.columns, own_digests), docs.join(ids, own == F.col(own_id), "left_anti")
+
+
 def dedup_substrings(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """`docs` with passages removed that a document of smaller key holds, `repeats` (begin and end of
     each in code points of the text as it was) and `removed_chars`."""
     integral(docs, key)
     docs = docs.select(*[c for c in docs.columns if c not in ("repeats", "removed_chars")])
-    own_id, own_digests = fresh(docs.columns, "id", "owned")
     usable = docs.where(F.col(key).isNotNull() & (F.length(text) > 0)).select(F.col(key).cast("long"), text)
-    pairs = cut_lineage(usable.mapInArrow(_pairs, "digest long, id long"))  # 16 bytes for about 50 of text, chunked once
+    pairs = cut_lineage(usable.mapInArrow(_pairs, "digest long, id long"))  # 16 bytes for about 27 of text, chunked once
     shared = pairs.groupBy("digest").agg(F.min("id").alias("owner"), F.max("id").alias("last")).where("owner < last").select("digest", "owner")
     owned = pairs.join(shared, "digest").where("id > owner").groupBy("id").agg(F.collect_set("digest").alias("owned"))  # as many as the text has chunks
-    both = docs.join(owned.toDF(own_id, own_digests), F.col(key).cast("long") == F.col(own_id), "left").select(*docs.columns, own_digests)
+    some, rest = _beside(docs, F.col(key).cast("long"), owned)
     schema = T.StructType([*(T.StructField(f.name, f.dataType) for f in docs.schema), T.StructField("repeats", _REPEATS), T.StructField("removed_chars", T.LongType())])
-    return both.mapInArrow(_removing(docs.columns.index(text), schema.names, min_words), schema)
+    out = some.mapInArrow(_removing(docs.columns.index(text), schema.names, min_words), schema)
+    none = [F.array().cast(_REPEATS).alias("repeats"), F.lit(0).cast("long").alias("removed_chars")]
+    return out if rest is None else out.union(rest.select("*", *none))
 
 
 #: Words of a run that is selected from each run of min_words, if that is longer.
@@ -256,5 +272,5 @@ def dedup_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", min
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    out = dedup_passages(docs)
+    out = dedup_substrings(docs)
     return out.select("doc_id", (F.col("removed_chars") > 0).alias("repeated"), "removed_chars", "repeats", "text")

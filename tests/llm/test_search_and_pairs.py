@@ -262,16 +262,32 @@ def test_passages_go_to_their_true_ends(spark, docs):
             assert any(r.text == "".join(t[a:b] for a, b in zip([0, *(s.end for s in r.repeats)], [*(s.begin for s in r.repeats), len(t)])) for t in texts[r.doc_id] if t)
 
 
-def test_the_query_removes_whole_passages(spark, tmp_path):
-    rnd = random.Random(12)
-    words = lambda n: [f"w{rnd.randint(0, 99999)}" for _ in range(n)]
-    passages = [" ".join(words(51)) for _ in range(40)]
-    ends = [" ".join(words(30)) for _ in range(40)]
-    rows = [(2 * n + side, (e if side else " ".join(words(30))) + " " + p) for n, (p, e) in enumerate(zip(passages, ends)) for side in (0, 1)]
+@pytest.mark.parametrize("length", [51, 60, 80])
+def test_the_query_catches_passages(spark, tmp_path, length):
+    """At least 99 of 100 passages are caught, most of their words go, and no other word does."""
+    rnd = random.Random(length)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnop") for _ in range(rnd.choice([2, 3, 3, 4, 5, 5, 6, 7, 9])))
+    words = lambda n: " ".join(word() for _ in range(n))
+    n, rows = 300, []
+    for k in range(n):
+        passage = words(length)
+        rows += [(2 * k + side, f"{words(30)}\n{passage} {words(30)}") for side in (0, 1)]
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    got = {r.doc_id: r.text.split() for r in chunk_dedup.op3_substring_dedup(spark, str(tmp_path)).collect()}
-    assert [got[2 * n + 1] for n in range(40)] == [e.split() for e in ends]
-    assert all(got[2 * n] == rows[2 * n][1].split() for n in range(40))
+    got = {r.doc_id: r for r in chunk_dedup.op3_substring_dedup(spark, str(tmp_path)).collect()}
+    assert all(got[2 * k].text == rows[2 * k][1] and not got[2 * k].repeated for k in range(n))
+    assert sum(got[2 * k + 1].repeated for k in range(n)) >= 0.99 * n
+    gone = 0
+    for k in range(n):
+        own, kept = rows[2 * k + 1][1].split(), got[2 * k + 1].text.split()
+        assert kept[:30] == own[:30] and kept[-30:] == own[-30:]
+        gone += len(own) - len(kept)
+    assert gone >= 0.75 * n * length
+
+
+def test_too_many_ids_for_a_broadcast_give_the_same(spark, docs, monkeypatch):
+    monkeypatch.setattr(chunk_dedup, "BROADCAST_IDS", 2)
+    got = chunk_dedup.dedup_substrings(docs).collect()
+    assert sorted((str(r.doc_id), str(r.text)) for r in got) == brute_dedup([(r.doc_id, r.text) for r in docs.collect()], chunk_dedup.MIN_WORDS)
 
 
 def test_passages_of_nothing(spark, nothing):
