@@ -273,6 +273,8 @@ def change_chains(changes: DataFrame) -> DataFrame:
     are taken whole by a task, which streams them.
     """
     edges = cut_lineage(changes.where("old_id <> new_id").select(F.col("ord").cast("long").alias("ord"), F.col("old_id").cast("long").alias("old_id"), F.col("new_id").cast("long").alias("new_id")))
+    if edges.isEmpty():
+        return edges.select("ord", F.col("old_id").alias("first_id"), F.array("old_id", "new_id").alias("chain"))
     events = edges.select(F.col("old_id").alias("id"), "ord", F.lit(-1).cast("long").alias("step")).union(edges.select("new_id", "ord", F.lit(1).cast("long")))
     summed = running(events, "id", [F.col("ord")], {"s": ("sum", F.col("step"))})
     low = running(summed, "id", [F.col("ord")], {"low": ("min", F.col("s"))}, before=True)

@@ -198,6 +198,8 @@ def star_clusters(nodes: DataFrame, edges: DataFrame, small: int = SMALL, block:
     many as blocks that a chain of links leads through, not as many as its links.
     """
     edges = cut_lineage(edges.select("lo", "hi").distinct())
+    if edges.isEmpty():
+        return nodes.select("node", F.col("node").alias("anchor"))
     label = components(edges.toDF("a", "b"))  # of a checkpoint
     links = edges.join(label.select(F.col("id").alias("hi"), "label"), "hi").groupBy("label").agg(F.count("*").alias("n"))
     large = cut_lineage(links.where(F.col("n") > small).select("label"))

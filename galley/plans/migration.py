@@ -133,13 +133,13 @@ def read(spark: SparkSession, posts: str, guests: str) -> tuple[DataFrame, DataF
 def write(result: Migrated, folder: str, site: str) -> None:
     """The four dumps, the rows as JSON and the logs, each a file, article buckets of LOG_ROWS rows, and the state for the next run."""
     dumps = {
-        "articles": (sql.articles_inserts(result.articles, site), sql.articles_ddl()),
-        "seo": (sql.seo_inserts(result.articles), sql.seo_ddl()),
-        "authors": (sql.authors_inserts(result.authors), sql.authors_ddl()),
-        "articles_authors": (sql.articles_authors_inserts(result.articles), sql.articles_authors_ddl()),
+        "articles": sql.articles_dump(result.articles, site),
+        "seo": sql.seo_dump(result.articles),
+        "authors": sql.authors_dump(result.authors),
+        "articles_authors": sql.articles_authors_dump(result.articles),
     }
-    for name, (commands, head) in dumps.items():
-        files.write_lines(sql.lines(commands, head), f"{folder}/sql/{name}.sql")
+    for name, lines in dumps.items():
+        files.write_lines(lines, f"{folder}/sql/{name}.sql")
     files.write_positioned(result.authors.select("ord", *FIELDS), "ord", f"{folder}/authors.json")
     files.write_positioned(result.articles, "id", f"{folder}/articles.json")
     files.write_buckets(result.articles, "id", f"{folder}/articles", LOG_ROWS)
@@ -150,9 +150,4 @@ def write(result: Migrated, folder: str, site: str) -> None:
 
 def write_embeddings(result: Migrated, folder: str, encoder: vectors.Encoder, max_chars: int = vectors.MAX_CHARS) -> None:
     rows = cut_lineage(vectors.embed(vectors.embeddable(result.articles, max_chars), encoder))
-    first = rows.select(F.size("embedding").alias("n")).first()
-    if first is None:
-        commands, head = rows.select(F.lit(0).alias("ord"), F.lit("").alias("command")).limit(0), sql.NO_EMBEDDINGS
-    else:
-        commands, head = sql.embeddings_inserts(rows), sql.embeddings_ddl(first["n"])
-    files.write_lines(sql.lines(commands, head), f"{folder}/sql/article_embeddings.sql")
+    files.write_lines(sql.embeddings_dump(rows), f"{folder}/sql/article_embeddings.sql")

@@ -650,7 +650,7 @@ def l6_sql_file(spark, sf):
     """One file: the definition, then the commands."""
     null, path = F.lit(None).cast("string"), f"{_folder(spark)}.sql"
     c = table(spark, sf, "customer").select(F.col("c_custkey").alias("ord"), F.col("c_custkey").alias("id"), F.col("c_name").alias("display_name"), null.alias("first_name"), null.alias("last_name"), null.alias("email"), F.col("c_mktsegment").alias("login"))
-    files.write_lines(dumps.lines(dumps.authors_inserts(c), dumps.authors_ddl()), path)
+    files.write_lines(dumps.authors_dump(c), path)
     return spark.read.text(path).toDF("line")
 
 
@@ -697,30 +697,51 @@ def l3_authors_sql(spark, sf):
     return dumps.authors_inserts(rows)
 
 
-@query(f"""SELECT id AS ord, 'INSERT INTO seo (id, article_id, yoast_tag_data) VALUES(''' || id || ''', ''' || id || ''', ''{{"_yoast_a": "' || source || '"}}'');' AS command FROM ({KEPT})""")
+def _dumped(dump: Callable[[DataFrame], DataFrame], rows: DataFrame) -> DataFrame:
+    """(of, ord, line): the dump of the rows, and that of none."""
+    return dump(rows).select(F.lit("all").alias("of"), "ord", "line").union(dump(rows.limit(0)).select(F.lit("none"), "ord", "line"))
+
+
+HEAD = "-4611686018427387904 AS ord"
+SEO_DDL = "'CREATE TABLE seo (id BIGINT PRIMARY KEY, article_id BIGINT NOT NULL, yoast_tag_data LONGTEXT);' AS line"
+
+
+@query(f"""SELECT unnest(['all', 'none']) AS of, {HEAD}, {SEO_DDL} UNION ALL
+SELECT 'all', id, 'INSERT INTO seo (id, article_id, yoast_tag_data) VALUES(''' || id || ''', ''' || id || ''', ''{{"_yoast_a": "' || source || '"}}'');' FROM ({KEPT})""")
 def l2_seo_sql(spark, sf):
-    return dumps.seo_inserts(articles.translate_articles(_articles(spark, sf)))
+    return _dumped(dumps.seo_dump, articles.translate_articles(_articles(spark, sf)))
 
 
-@query(f"""SELECT id AS ord, 'INSERT INTO articles (`id`, `creation_date`, `slug`, `author_ids`, `authors`, `breaking_news`, `comment_status`, `description`, `featured_img_id`, `priority`, `mod_date`, `photo_url`, `pub_date`, `tags`, `categories`, `metadata`, `text`, `excerpt`, `title`) VALUES('''
+ARTICLES_DDL = """'CREATE TABLE articles (`id` BIGINT PRIMARY KEY AUTO_INCREMENT, `creation_date` DATETIME, `slug` LONGTEXT, `author_ids` LONGTEXT, `authors` LONGTEXT, `breaking_news` BOOL, `comment_status` VARCHAR(255), `description` LONGTEXT, `featured_img_id` BIGINT, `priority` BOOL, `mod_date` DATETIME, `photo_url` LONGTEXT, `pub_date` DATETIME, `tags` LONGTEXT, `categories` LONGTEXT, `metadata` LONGTEXT, `text` LONGTEXT, `excerpt` LONGTEXT, `title` LONGTEXT);'"""
+
+
+@query(f"""SELECT 'all' AS of, {HEAD}, {ARTICLES_DDL} AS line UNION ALL
+SELECT 'all', id, 'INSERT INTO articles (`id`, `creation_date`, `slug`, `author_ids`, `authors`, `breaking_news`, `comment_status`, `description`, `featured_img_id`, `priority`, `mod_date`, `photo_url`, `pub_date`, `tags`, `categories`, `metadata`, `text`, `excerpt`, `title`) VALUES('''
   || id || ''', NULL, ''' || lang || ' ' || source || ''', ''[1, 2]'', ''["' || source || '. ' || lang || '"]'', 0, ''open'', ''' || lang || ''', ''-1'', 0, ''2020-01-02 00:00:00'', NULL, NULL, ''["'
   || list_sort(['R&' || source, lang])[2] || '", "' || list_sort(['R&' || source, lang])[1] || '"]'', ''["' || lang || '"]'', ''{{"_yoast_a": "' || source || '"}}'', '''
-  || replace(replace(t, '\\', '\\\\'), '''', '''''') || ''', NULL, ''T "&" ' || source || ''');' AS command FROM ({KEPT})""")
+  || replace(replace(t, '\\', '\\\\'), '''', '''''') || ''', NULL, ''T "&" ' || source || ''');' FROM ({KEPT})""")
 def l1_articles_sql(spark, sf):
+    """Without articles there is no dump, not even the table."""
     rows = articles.translate_articles(_articles(spark, sf)).withColumns({"author_ids": F.array(F.lit(1), F.lit(2)), "excerpt": F.lit(None).cast("string")})
-    return dumps.articles_inserts(rows, SITE)
+    return _dumped(lambda r: dumps.articles_dump(r, SITE), rows)
+
+
+BRIDGE_DDL = "'CREATE TABLE articles_authors (id BIGINT PRIMARY KEY, author_id BIGINT NOT NULL, articles_id BIGINT NOT NULL);' AS line"
 
 
-@query("""SELECT (row_number() OVER (ORDER BY o_orderkey, l_linenumber, l_suppkey))::BIGINT AS ord, 'INSERT INTO articles_authors (id, author_id, articles_id) VALUES (' || row_number() OVER (ORDER BY o_orderkey, l_linenumber, l_suppkey) || ', ' || l_suppkey || ', ' || o_orderkey || ');' AS command FROM orders JOIN lineitem ON o_orderkey = l_orderkey""")
+@query(f"""SELECT unnest(['all', 'none']) AS of, {HEAD}, {BRIDGE_DDL} UNION ALL
+SELECT 'all', (row_number() OVER (ORDER BY o_orderkey, l_linenumber, l_suppkey))::BIGINT, 'INSERT INTO articles_authors (id, author_id, articles_id) VALUES (' || row_number() OVER (ORDER BY o_orderkey, l_linenumber, l_suppkey) || ', ' || l_suppkey || ', ' || o_orderkey || ');' FROM orders JOIN lineitem ON o_orderkey = l_orderkey""")
 def l4_articles_authors_sql(spark, sf):
     lines = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("id")).agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_suppkey"))).alias("l"))
     orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"))
-    return dumps.articles_authors_inserts(orders.join(lines, "id").select("id", F.transform("l", lambda x: x["l_suppkey"]).alias("author_ids")))
+    return _dumped(dumps.articles_authors_dump, orders.join(lines, "id").select("id", F.transform("l", lambda x: x["l_suppkey"]).alias("author_ids")))
 
 
-@query("SELECT vec_id AS ord, 'INSERT INTO article_embeddings (article_id, embedding) VALUES (' || vec_id || ', VEC_FromText(''[' || array_to_string(list_transform(embedding, lambda x: printf('%.8f', x::DOUBLE)), ',') || ']''));' AS command FROM embeddings")
+@query(f"""SELECT 'none' AS of, {HEAD}, 'DROP TABLE IF EXISTS article_embeddings;' || chr(10) || '-- No articles to embed.' AS line UNION ALL
+SELECT 'all', -4611686018427387904, 'DROP TABLE IF EXISTS article_embeddings;' || chr(10) || 'CREATE TABLE article_embeddings (' || chr(10) || '  article_id BIGINT PRIMARY KEY,' || chr(10) || '  embedding VECTOR(' || (SELECT max(len(embedding)) FROM embeddings) || ') NOT NULL,' || chr(10) || '  VECTOR INDEX (embedding) DISTANCE=euclidean' || chr(10) || ');' UNION ALL
+SELECT 'all', vec_id, 'INSERT INTO article_embeddings (article_id, embedding) VALUES (' || vec_id || ', VEC_FromText(''[' || array_to_string(list_transform(embedding, lambda x: printf('%.8f', x::DOUBLE)), ',') || ']''));' FROM embeddings""")
 def l5_embeddings_sql(spark, sf):
-    return dumps.embeddings_inserts(table(spark, sf, "embeddings"), key="vec_id")
+    return _dumped(lambda r: dumps.embeddings_dump(r, "vec_id"), table(spark, sf, "embeddings"))
 
 
 @query("SELECT doc_id, '[' || array_to_string(list_transform([lang, source, NULL], lambda x: coalesce('\"' || x || '\"', 'null')), ', ') || ']' AS list, '{\"a\": \"' || lang || '\", \"b\": null}' AS map FROM documents")

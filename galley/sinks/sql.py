@@ -103,15 +103,39 @@ def embeddings_inserts(vectors: DataFrame, table: str = "article_embeddings", ke
     return vectors.select(F.col(key).cast("long").alias("ord"), values.alias("command"))
 
 
-def lines(commands: DataFrame, head: str) -> DataFrame:
-    """(ord, line): `head`, then the commands by `ord`."""
-    first = commands.sparkSession.createDataFrame([(-(1 << 62), head)], "ord bigint, line string")
+def lines(commands: DataFrame, head: str, always: bool = True) -> DataFrame:
+    """(ord, line): `head`, then the commands by `ord`; if not always, the head only before commands."""
+    first = commands.sparkSession.range(1) if always else commands.limit(1)
+    first = first.select(F.lit(-(1 << 62)).cast("long").alias("ord"), F.lit(head).alias("line"))
     return first.union(commands.select(F.col("ord").cast("long"), F.col("command").alias("line")))
 
 
-def write(commands: DataFrame, head: str, path: str) -> None:
+def articles_dump(articles: DataFrame, site: str) -> DataFrame:
+    """The lines of the dump; none without articles."""
+    return lines(articles_inserts(articles, site), articles_ddl(), always=False)
+
+
+def seo_dump(articles: DataFrame) -> DataFrame:
+    return lines(seo_inserts(articles), seo_ddl())
+
+
+def authors_dump(authors: DataFrame) -> DataFrame:
+    return lines(authors_inserts(authors), authors_ddl())
+
+
+def articles_authors_dump(articles: DataFrame) -> DataFrame:
+    return lines(articles_authors_inserts(articles), articles_authors_ddl())
+
+
+def embeddings_dump(vectors: DataFrame, key: str = "article_id") -> DataFrame:
+    """The lines of the dump; without vectors the table is dropped and not made."""
+    first = vectors.select(F.size("embedding").alias("n")).first()
+    return lines(embeddings_inserts(vectors, key=key), embeddings_ddl(first["n"]) if first else NO_EMBEDDINGS)
+
+
+def write(dump: DataFrame, path: str) -> None:
     """A folder of text files that, in the order of their names, make the dump; for one file see `files.write_lines`.
 
     Every part is sorted and the parts follow each other, so no task holds all commands.
     """
-    lines(commands, head).repartitionByRange("ord").sortWithinPartitions("ord").select("line").write.mode("overwrite").text(path)
+    dump.repartitionByRange("ord").sortWithinPartitions("ord").select("line").write.mode("overwrite").text(path)
