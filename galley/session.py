@@ -93,21 +93,6 @@ def written(df: DataFrame) -> tuple[DataFrame, str]:
     return df.sparkSession.read.parquet(path), path
 
 
-def cut_and_free(df: DataFrame) -> DataFrame:
-    """As cut_lineage; the shuffle files behind the checkpoint go at once, not with the driver's next garbage.
-
-    Only for plans without joins that an empty side can cut short, and not for isEmpty or limits: adaptive execution
-    then leaves tasks behind, which would wait for the files. Else see `free_unused`.
-    """
-    conf, free = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = conf.get(free)
-    conf.set(free, "true")
-    try:
-        return cut_lineage(df.select("*"))
-    finally:
-        conf.set(free, before)
-
-
 def free_unused(spark: SparkSession) -> None:
     """Collects the driver's garbage, upon which Spark removes the shuffle files and checkpoints that nothing refers to any more."""
     spark.sparkContext._jvm.System.gc()
