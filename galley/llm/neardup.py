@@ -27,7 +27,8 @@ connected documents form a component. The steps:
    entries near the limit are. In both an entry is posted under its rarest features only, as many
    as the formulas demand.
 5. A list of features is not expanded either: its entries are paired with a few of them (PIVOTS,
-   eight times as many in each further round), links are confirmed by the formula above, components
+   eight times as many in each further round), pairs whose features cannot agree enough by the
+   parities of their bits go, links are confirmed by the formula above, components
    are joined if many were found, entries that have been pivots go, lists within one component are
    done. Nothing is capped: the rounds end when no list is left.
 
@@ -62,6 +63,8 @@ K, MATCHES = 64, 36
 BROADCAST_IDS = 300_000
 #: Entries of a list that the others are paired with in the first round.
 PIVOTS = 32
+#: Words of 64 bits in which the parities of a text's features are kept.
+WORDS = 8
 #: Rows of a key, at least, that are spread over several tasks, and the share of all rows.
 HOT_ROWS, HOT_SHARE = 4096, 1000
 
@@ -225,13 +228,30 @@ def _open(posted: DataFrame) -> DataFrame:
     return cut_lineage(posted.join(lists, "list"))
 
 
+def _parities(features: Column) -> Column:
+    """WORDS * 64 bits, each the parity of the features that fall on it: sets differ in at least as many features as in bits."""
+    one = F.lit(1).cast("long")
+    bit = lambda x: F.call_function("shiftleft", one, F.pmod(F.shiftright(x, 8), F.lit(64)).cast("int"))
+    word = lambda w: F.aggregate(F.filter(features, lambda x: F.pmod(x, F.lit(WORDS)) == w), F.lit(0).cast("long"), lambda s, x: s.bitwiseXOR(bit(x)))
+    return F.transform(F.sequence(F.lit(0), F.lit(WORDS - 1)), word)
+
+
+def _shared_at_most() -> Column:
+    """Of two texts with features (n, bits) in ca and cb."""
+    apart = F.aggregate(F.zip_with("ca.bits", "cb.bits", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    return F.least("ca.n", "cb.n", F.floor((F.col("ca.n") + F.col("cb.n") - apart) / 2))
+
+
 def _across(delta: DataFrame, percent: int) -> DataFrame:
     """(a, b): links between different components of open lists, enough of them to join all that are linked."""
     weight = 100 * F.size("lacked").cast("long") + percent * F.size("new")
     other = F.transform("lacked", lambda x: F.bitwise_not(x))  # what is lacked is another feature than what is new
     delta = delta.withColumns({"w": weight, "g": weight - (100 - percent) * F.col("s"), "more": (F.size("lacked") - F.size("new")).cast("long"), "f": F.concat("new", other)}).drop("s")
     found = delta.where("g <= 0 AND label <> lo").select(F.col("o").alias("a"), F.col("id").alias("b"))
+    delta = cut_lineage(delta.withColumn("bits", _parities(F.col("f"))))
     facts, pivots = delta.select(F.xxhash64("o", "id").alias("id"), F.struct("w", "g", "f").alias("c")), PIVOTS
+    light = delta.select(F.xxhash64("o", "id").alias("id"), F.struct("w", "g", F.size("f").alias("n"), "bits").alias("c"))
+    delta = delta.drop("bits")
     posted = _open(_posted(delta, percent))
     while not posted.isEmpty():
         free_unused(delta.sparkSession)
@@ -243,12 +263,15 @@ def _across(delta: DataFrame, percent: int) -> DataFrame:
         met = met.where(roles & (F.col("p.label") != F.col("label")))
         tests = met.groupBy(F.col("p.id").alias("pivot"), "id").agg(F.min("o").alias("o"))  # a pair once, whatever lists it meets in
         tests = cut_lineage(tests.select("pivot", "id", F.xxhash64("o", "pivot").alias("a"), F.xxhash64("o", "id").alias("b")))
+        n_tests = tests.count()
+        close = _both(tests, _named(light, tests), "c").where((100 + percent) * _shared_at_most() >= F.col("ca.w") + F.col("cb.g"))
+        tests = cut_lineage(close.select("pivot", "id", "a", "b"))  # features travel only with pairs that may be linked
         shared = F.size(F.array_intersect("ca.f", "cb.f"))
         new = _both(tests, _named(facts, tests), "c").where((100 + percent) * shared >= F.col("ca.w") + F.col("cb.g"))
         new = cut_lineage(new.select(F.col("pivot").alias("a"), F.col("id").alias("b")))
         rest = posted.join(of_list.select("list", F.explode("ps.id").alias("id")), ["list", "id"], "left_anti")
         found, n = found.union(new), new.count()
-        if 10 * n >= tests.count():  # lists fall apart into few components; else it is not worth while
+        if 10 * n >= n_tests:  # lists fall apart into few components; else it is not worth while
             joined = posted.select("id", "label").distinct()
             joined = new.join(joined.toDF("a", "la"), "a").join(joined.toDF("b", "lb"), "b").select(F.col("la").alias("a"), F.col("lb").alias("b"))
             to = components(joined).select(F.col("id").alias("label"), F.col("label").alias("to"))
