@@ -20,8 +20,10 @@ from galley.operators.components import components
 from galley.operators.keys import dense_ids
 from galley.session import cut_lineage
 
-#: Texts that have a shingle, from which on it is posted together with a second one.
-HOT = 1000
+#: Texts of a list, from which on they are posted with one more shingle, and shingles of a list at most.
+HOT, DEEPEST = 50, 3
+#: Distinct shingles, up to which their counts are broadcast.
+FEW = 100_000
 #: Entries of a list, from which on it is cut into blocks.
 LIST = 2000
 #: Links of a component that one task settles, and nodes of a block of larger ones.
@@ -70,23 +72,43 @@ def posted(texts: DataFrame, least: float, k: int = 3, hot: int = HOT) -> DataFr
     """(list, key, l, r, size, at, low, high) of the lists of distinct texts (key, l, r).
 
     A text's shingles come in the order of their rarity. Two sets of a similarity of `least` or more
-    share one of the rarest of each, as many as the set may miss and one more (its prefix), and two
-    if one more is taken. So a shingle that over `hot` texts have is no list of its own: it is posted
-    with each one that comes after it in the longer prefix. Texts so short that they may share
-    only one are under the shingle itself, too. at: the shingle's place.
+    share one of the rarest of each, as many as the set may miss and one more (its prefix), and another
+    one for each that is taken more. So a shingle that over `hot` texts have is no list of its own: it is posted
+    with each one that comes after it in the longer prefix, and a list of several that is as long likewise with one more,
+    up to DEEPEST; so lists stay short, however many texts there are. Texts so short that they may share
+    no more shingles than a list stands for are under it, too. list: a hash of the shingles; at: the first one's place.
     """
     each = texts.select("key", "l", "r", F.explode(shingles(F.col("key"), k)).alias("s"))
     counts = cut_lineage(each.groupBy("s").agg(F.count("*").alias("n")))  # apart, so that a common shingle's rows can be split
-    ranked = each.join(counts, "s").groupBy("key", "l", "r").agg(F.sort_array(F.collect_list(F.struct("n", "s"))).alias("o"))  # a short text's shingles
+    few = counts.count() <= FEW  # a join that shuffles would leave its rows to a few tasks
+    ranked = each.join(F.broadcast(counts) if few else counts, "s").groupBy("key", "l", "r").agg(F.sort_array(F.collect_list(F.struct("n", "s"))).alias("o"))  # a short text's shingles
     size = F.size("o")
-    prefix = size - F.ceil(size * F.lit(least) - 1e-9).cast("int") + 1
+    need = F.ceil(size * F.lit(least) - 1e-9).cast("int")  # shingles that a similar text shares at least
     tokens = F.transform("o", lambda x: x["s"])
-    ranked = ranked.select("key", "l", "r", size.alias("size"), _bits(tokens, 1).alias("low"), _bits(tokens, 2).alias("high"), F.slice("o", F.lit(1), prefix + 1).alias("o"), prefix.alias("prefix"))
-    first = F.slice("o", F.lit(1), F.col("prefix"))
-    alone = F.filter(F.transform(first, lambda x, i: F.struct(F.when((x["n"] <= hot) | (F.col("size") * least <= 1 + 1e-9), x["s"]).alias("list"), i.alias("at"))), lambda x: x["list"].isNotNull())
-    behind = lambda x, i: F.transform(F.slice(F.col("o"), i + 2, F.size("o")), lambda y: F.struct(F.when(x["n"] > hot, F.concat(x["s"], F.lit("\0"), y["s"])).alias("list"), i.alias("at")))
-    pairs = F.filter(F.flatten(F.transform(first, behind)), lambda x: x["list"].isNotNull())
-    return ranked.select("key", "l", "r", "size", "low", "high", F.explode(F.concat(alone, pairs)).alias("p")).select("p.list", "key", "l", "r", "size", "p.at", "low", "high")
+    hashed = F.transform(F.slice("o", F.lit(1), size - need + DEEPEST), lambda x: F.struct((x["n"] > hot).alias("hot"), F.xxhash64(x["s"]).alias("s")))
+    ranked = ranked.select("key", "l", "r", size.alias("size"), need.alias("need"), _bits(tokens, 1).alias("low"), _bits(tokens, 2).alias("high"), hashed.alias("o"))
+    own = ["key", "l", "r", "size", "low", "high"]
+    of = [*own, "need", F.transform("o", lambda x: x["s"]).alias("o")]
+    first = F.slice("o", F.lit(1), F.col("size") - F.col("need") + 1)
+    rows = cut_lineage(ranked.select(*of, F.posexplode(first).alias("at", "p")).select(*own, "need", "o", "at", F.col("at").alias("last"), F.col("p.s").alias("list"), F.col("p.hot").alias("hot")))
+    found, taken = [], 1
+    while True:
+        found.append(rows.where(~F.col("hot") | (F.col("need") <= taken) | F.lit(taken == DEEPEST)).select("list", "key", "l", "r", "size", "at", "low", "high"))
+        if taken == DEEPEST or (long_ := rows.where("hot")).isEmpty():
+            break
+        taken += 1
+        behind = F.slice("o", F.col("last") + 2, F.greatest(F.col("size") - F.col("need") + taken - F.col("last") - 1, F.lit(0)))
+        more = long_.select(*own, "need", "o", "at", "last", "list", F.posexplode(behind).alias("i", "s"))
+        more = cut_lineage(more.select(*own, "need", "o", "at", (F.col("last") + 1 + F.col("i")).alias("last"), F.xxhash64("list", "s").alias("list")))
+        if taken < DEEPEST:
+            often = more.groupBy("list").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("list", F.lit(True).alias("hot"))
+            rows = cut_lineage(more.join(often, "list", "left").withColumn("hot", F.coalesce("hot", F.lit(False))))
+        else:
+            rows = more.withColumn("hot", F.lit(False))
+    out = found[0]
+    for f in found[1:]:
+        out = out.union(f)
+    return out
 
 
 def meetings(entries: DataFrame, least: float) -> DataFrame:
@@ -137,6 +159,7 @@ def similar_pairs(left: DataFrame, right: DataFrame, least: float, k: int = 3, m
         forth, back = F.col("x_l") & F.col("y_r"), F.col("x_r") & F.col("y_l")
         near = meetings(signed(texts, measure), 0.5).where(forth | back).select(F.col("x_key").alias("x"), F.col("y_key").alias("y"), forth.alias("forth"), back.alias("back")).distinct()
         compared = measure.similarity
+    near = cut_lineage(near)  # or else each two that meet would be compared, as the filter moves into the join
     near = cut_lineage(near.withColumn("sim", compared(F.col("x"), F.col("y"))).where(F.col("sim") >= least - 1e-12))
     itself = texts.where("l AND r").select(F.col("key").alias("a"), F.col("key").alias("b"), compared(F.col("key"), F.col("key")).cast("double").alias("sim"))
     itself = itself.where(F.col("sim") >= least - 1e-12)

@@ -338,6 +338,14 @@ def test_a_common_ending_is_not_compared_with_all(spark):
     assert 0 < met.count() < 0.05 * n * (n - 1) / 2
 
 
+def test_lists_of_many_texts_are_parted(spark):
+    """Each of 512 shingles is in about 400 of the texts; a text meets under 100 others all the same."""
+    n = 20_000
+    letters = F.translate(F.sha2(F.col("id").cast("string"), 256).substr(1, 12), "0123456789abcdef", "abcdefghabcdefgh")
+    texts = spark.range(n).select(letters.alias("key"), F.lit(True).alias("l"), F.lit(True).alias("r"))
+    assert 0 < similar.meetings(similar.posted(texts, 0.8), 0.8).count() < 100 * n
+
+
 def test_a_long_chain_of_changes_takes_rounds_of_its_logarithm(spark, monkeypatch):
     n = 100_000
     calls = counted(monkeypatch, authors)
