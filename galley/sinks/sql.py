@@ -128,9 +128,9 @@ def articles_authors_dump(articles: DataFrame) -> DataFrame:
 
 
 def embeddings_dump(vectors: DataFrame, key: str = "article_id") -> DataFrame:
-    """The lines of the dump; without vectors the table is dropped and not made."""
-    first = vectors.select(F.size("embedding").alias("n")).first()
-    return lines(embeddings_inserts(vectors, key=key), embeddings_ddl(first["n"]) if first else NO_EMBEDDINGS)
+    """The lines of the dump; without vectors the table is dropped and not made. It is as wide as the longest vector."""
+    width = vectors.where("embedding IS NOT NULL").agg(F.max(F.size("embedding"))).first()[0]
+    return lines(embeddings_inserts(vectors, key=key), NO_EMBEDDINGS if width is None else embeddings_ddl(width))
 
 
 def write(dump: DataFrame, path: str) -> None:

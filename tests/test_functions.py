@@ -115,6 +115,13 @@ def test_json(spark):
     assert value(spark, lambda A: literals.vector_text(F.array(F.lit(0.5), F.lit(-2.0))), a="") == "[0.50000000,-2.00000000]"
 
 
+def test_vectors_round_as_sql_does(spark):
+    """Values halfway between two texts, and such as only look so."""
+    values = [k / 512 for k in range(-9, 10, 2)] + [-1.166015625, 0.123456785, 1e-10, -1e-10, -0.0, 5e-9, 1.5e-8]
+    got = spark.createDataFrame([(values,)], "v array<double>").select(literals.vector_text(F.col("v")).alias("t")).first().t
+    assert got == f"[{','.join(f'{v:.8f}' for v in values)}]"
+
+
 def test_first_upload(spark):
     assert value(spark, lambda A: content.first_upload(A), a='x /wp-content/uploads/1/a.png\\" b') == "wp-content/uploads/1/a.png"
     assert value(spark, lambda A: content.first_upload(A), a="wp-content/uploads/1") is None
