@@ -25,6 +25,8 @@ PUZZLE_CATEGORIES = ("comics", "comic", "comics & puzzles", "puzzles", "crosswor
 PUZZLE_MARKS = ("[puzzleme", "pm-embed-div")
 
 PUZZLE_HEIGHT = "700px"
+#: Characters of a piece that is looked through as one.
+STRETCH = 200
 
 
 def _replace(c: Column, old: str, new: str) -> Column:
@@ -236,15 +238,27 @@ _ODD = "array<struct<kind:string,position:bigint,code:string>>"
 
 
 def odd_characters(c: Column) -> Column:
-    """(kind, position, code) of every control and zero-width character; positions in code points from 0."""
+    """(kind, position, code) of every control and zero-width character; positions in code points from 0.
+
+    A text with any is cut into pieces of STRETCH characters, and only pieces with any are looked through one by one.
+    """
     found = []
     for kind, pattern in ODD_CHARACTERS.items():
-        each = F.transform(F.split(c, "", -1), lambda x, i: F.struct(x.alias("c"), i.alias("i")))
-        own = F.transform(F.filter(each, _matches(pattern)), _reported(kind))
+        pieces = F.regexp_extract_all(c, F.lit(rf"(?s).{{1,{STRETCH}}}"), F.lit(0))
+        placed = F.filter(F.transform(pieces, lambda p, i: F.struct(p.alias("p"), i.alias("i"))), lambda s: F.regexp_like(s["p"], F.lit(pattern)))
+        own = F.flatten(F.transform(placed, _odd_of(kind, pattern)))
         found.append(F.when(F.regexp_like(c, F.lit(pattern)), own).otherwise(F.array().cast(_ODD)))
     return F.concat(*found)
 
 
+def _odd_of(kind: str, pattern: str):
+    def own(s: Column) -> Column:
+        each = F.transform(F.split(s["p"], "", -1), lambda x, j: F.struct(x.alias("c"), (s["i"].cast("long") * STRETCH + j).alias("i")))
+        return F.transform(F.filter(each, _matches(pattern)), _reported(kind))
+
+    return own
+
+
 def _matches(pattern: str):
     return lambda s: F.regexp_like(s["c"], F.lit(pattern))
 

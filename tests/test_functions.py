@@ -108,6 +108,15 @@ def test_photo_url(spark, text, want):
     assert value(spark, lambda A: literals.photo_url(A), a=text) == want
 
 
+def test_odd_characters_far_in_a_text(spark):
+    """Positions go on from piece to piece, and the search takes no place for each character."""
+    text = "🙂" * 199 + "\x01" + "y" * 200 + "\u200b\n" + "z" * 5000 + "\x02"
+    found = value(spark, lambda A: content.odd_characters(A), a=text)
+    assert [(r.kind, r.position, r.code) for r in found] == [("control character", 199, "U+0001"), ("control character", 5402, "U+0002"), ("zero-width character", 400, "U+200B")]
+    plan = spark.range(1).select(content.odd_characters(F.lit(text)).alias("v"))._jdf.queryExecution().analyzed().toString()
+    assert f"{{1,{content.STRETCH}}}" in plan
+
+
 def test_json(spark):
     assert value(spark, lambda A: literals.json_list(F.array(A, F.lit(None), F.lit('q"é\n'))), a="x") == '["x", null, "q\\"é\\n"]'
     assert value(spark, lambda A: literals.json_list(F.array(F.lit(1), F.lit(2)), True), a="x") == "[1, 2]"
