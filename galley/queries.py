@@ -592,10 +592,10 @@ def a1_unzip(spark, sf):
 
 
 def _export(elements: DataFrame) -> str:
-    """The path of an XML file with the elements of (ord, line)."""
-    path = f"{_folder(elements.sparkSession)}.xml"
-    ends = elements.sparkSession.createDataFrame([(-1, '<?xml version="1.0" encoding="UTF-8"?><rss xmlns:content="c" xmlns:wp="w"><channel>'), (1 << 62, "</channel></rss>")], "ord long, line string")
-    files.write_lines(ends.union(elements), path)
+    """The path of a folder of XML files with the elements of (ord, line), as the content system parts a large export."""
+    path = _folder(elements.sparkSession)
+    head = '<?xml version="1.0" encoding="UTF-8"?><rss xmlns:content="c" xmlns:wp="w"><channel>'
+    files.write_parts(elements.toDF("ord", "line"), path, head, "</channel></rss>")
     return path
 
 

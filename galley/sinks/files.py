@@ -47,6 +47,23 @@ def write_lines(lines: DataFrame, path: str) -> None:
     fs.delete(folder, True)
 
 
+def _framed(head: str, tail: str):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = lambda texts: pa.RecordBatch.from_arrays([texts], names=["line"])
+        yield of(pa.array([head], pa.string()))
+        for batch in batches:
+            yield of(batch.column(0))  # of one schema, whether lines may be null or not
+        yield of(pa.array([tail], pa.string()))
+
+    return run
+
+
+def write_parts(lines: DataFrame, folder: str, head: str, tail: str) -> None:
+    """A folder of text files, whole ones each: `head`, a range of the `line`s of (ord, line) by ord, `tail`. No task has all lines."""
+    rows = lines.select(F.col("ord").cast("long").alias("ord"), "line").repartitionByRange("ord").sortWithinPartitions("ord")
+    rows.select("line").mapInArrow(_framed(head, tail), "line string").write.mode("overwrite").text(folder)
+
+
 def _entries(rows: DataFrame, order: str, columns: list[str]) -> DataFrame:
     """(at, entry): each row's place in the order of `order`, from 0, and its entry of a JSON object."""
     (at,) = fresh(rows.columns, "at")

@@ -176,3 +176,21 @@ def test_files_of_lines_and_buckets(spark, tmp_path):
     found = {p.name: json.loads(p.read_text()) for p in (tmp_path / "b").glob("*.json")}
     assert {n: len(x) for n, x in found.items()} == {"0.json": 10, "1.json": 10, "2.json": 5} and found["1.json"]["11"] == {"k": 33, "entry": None, "bucket": "b"}
     assert files.write_buckets(rows.limit(0), "k", f"{tmp_path}/b", 10) == 0 and list((tmp_path / "b").glob("*.json")) == []
+
+
+def test_an_export_in_parts_is_read_whole(spark, tmp_path):
+    """Each file is whole by itself, and no one of them has all elements."""
+    n = 20_000
+    items = spark.range(n).repartition(5).select("id", F.format_string("<item><title>t%d &amp; x</title></item>", "id").alias("line")).toDF("ord", "line")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so few rows would be one part
+    try:
+        for _ in range(2):  # written over
+            files.write_parts(items, f"{tmp_path}/export", "<rss><channel>", "</channel></rss>")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    parts = sorted(p for p in (tmp_path / "export").iterdir() if p.name.startswith("part-"))
+    lines = [p.read_text().splitlines() for p in parts]
+    assert len(parts) > 1 and all(x[0] == "<rss><channel>" and x[-1] == "</channel></rss>" for x in lines)
+    assert [y for x in lines for y in x[1:-1]] == [f"<item><title>t{i} &amp; x</title></item>" for i in range(n)]
+    got = export.articles(spark, f"{tmp_path}/export").select("title").collect()
+    assert sorted(r.title for r in got) == sorted(f"t{i} & x" for i in range(n))
