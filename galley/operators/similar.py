@@ -22,10 +22,12 @@ from galley.session import cut_lineage
 
 #: Texts of a list, from which on they are posted with one more shingle, and shingles of a list at most.
 HOT, DEEPEST = 50, 3
-#: Distinct shingles, up to which their counts are broadcast.
-FEW = 100_000
-#: Entries of a list, from which on it is cut into blocks.
-LIST = 2000
+#: Counters of shingles; those whose hashes share one are counted together.
+COUNTERS = 1 << 16
+#: Long lists, up to which they are broadcast.
+LISTS = 500_000
+#: Entries of a list, from which on it goes by bands of sizes, and entries of a band, from which on it is cut into blocks.
+SHORT, LIST = 200, 2000
 #: Links of a component that one task settles, and nodes of a block of larger ones.
 SMALL, BLOCK = 100_000, 2048
 
@@ -71,26 +73,32 @@ def _bits(tokens: Column, seed: int) -> Column:
 def posted(texts: DataFrame, least: float, k: int = 3, hot: int = HOT) -> DataFrame:
     """(list, key, l, r, size, at, low, high) of the lists of distinct texts (key, l, r).
 
-    A text's shingles come in the order of their rarity. Two sets of a similarity of `least` or more
+    A text's shingles come in the order of their rarity, by counts of COUNTERS classes of their hashes: any order that
+    is the same for all texts finds each pair, and a count that is too high only parts a list that need not be. Two sets of a similarity of `least` or more
     share one of the rarest of each, as many as the set may miss and one more (its prefix), and another
     one for each that is taken more. So a shingle that over `hot` texts have is no list of its own: it is posted
     with each one that comes after it in the longer prefix, and a list of several that is as long likewise with one more,
     up to DEEPEST; so lists stay short, however many texts there are. Texts so short that they may share
     no more shingles than a list stands for are under it, too. list: a hash of the shingles; at: the first one's place.
     """
-    each = texts.select("key", "l", "r", F.explode(shingles(F.col("key"), k)).alias("s"))
-    counts = cut_lineage(each.groupBy("s").agg(F.count("*").alias("n")))  # apart, so that a common shingle's rows can be split
-    few = counts.count() <= FEW  # a join that shuffles would leave its rows to a few tasks
-    ranked = each.join(F.broadcast(counts) if few else counts, "s").groupBy("key", "l", "r").agg(F.sort_array(F.collect_list(F.struct("n", "s"))).alias("o"))  # a short text's shingles
+    counter = lambda h: F.pmod(h, F.lit(COUNTERS)).cast("int")
+    hashed = F.transform(shingles(F.col("key"), k), lambda t: F.xxhash64(t))
+    counts = texts.select(F.explode(hashed).alias("s")).groupBy(counter(F.col("s")).alias("c")).agg(F.count("*").alias("n"))
+    counts = texts.sparkSession.range(COUNTERS).select(F.col("id").cast("int").alias("c")).join(counts, "c", "left")
+    counts = cut_lineage(counts.agg(F.transform(F.sort_array(F.collect_list(F.struct("c", F.coalesce("n", F.lit(0)).alias("n")))), lambda x: x["n"]).alias("n")))
+    ranked = texts.select("key", "l", "r", counts.scalar().alias("n"))  # COUNTERS numbers in all, so no shingle need travel to its count
+    ranked = ranked.select("key", "l", "r", F.sort_array(F.transform(hashed, lambda h: F.struct(F.get("n", counter(h)).alias("n"), h.alias("s")))).alias("o"))
     size = F.size("o")
     need = F.ceil(size * F.lit(least) - 1e-9).cast("int")  # shingles that a similar text shares at least
     tokens = F.transform("o", lambda x: x["s"])
-    hashed = F.transform(F.slice("o", F.lit(1), size - need + DEEPEST), lambda x: F.struct((x["n"] > hot).alias("hot"), F.xxhash64(x["s"]).alias("s")))
-    ranked = ranked.select("key", "l", "r", size.alias("size"), need.alias("need"), _bits(tokens, 1).alias("low"), _bits(tokens, 2).alias("high"), hashed.alias("o"))
+    front = F.slice("o", F.lit(1), size - need + DEEPEST)
+    prefix = F.transform(front, lambda x: x["s"])
+    hot_ = F.size(F.filter(F.slice("o", F.lit(1), size - need + 1), lambda x: x["n"] > hot))  # at the end, as the rarest come first
+    ranked = cut_lineage(ranked.select("key", "l", "r", size.alias("size"), need.alias("need"), _bits(tokens, 1).alias("low"), _bits(tokens, 2).alias("high"), prefix.alias("o"), hot_.alias("hots")))
     own = ["key", "l", "r", "size", "low", "high"]
-    of = [*own, "need", F.transform("o", lambda x: x["s"]).alias("o")]
     first = F.slice("o", F.lit(1), F.col("size") - F.col("need") + 1)
-    rows = cut_lineage(ranked.select(*of, F.posexplode(first).alias("at", "p")).select(*own, "need", "o", "at", F.col("at").alias("last"), F.col("p.s").alias("list"), F.col("p.hot").alias("hot")))
+    hot_at = F.col("at") > F.col("size") - F.col("need") - F.col("hots")
+    rows = ranked.select(*own, "need", "o", "hots", F.posexplode(first).alias("at", "list")).select(*own, "need", "o", "at", F.col("at").alias("last"), "list", hot_at.alias("hot"))
     found, taken = [], 1
     while True:
         found.append(rows.where(~F.col("hot") | (F.col("need") <= taken) | F.lit(taken == DEEPEST)).select("list", "key", "l", "r", "size", "at", "low", "high"))
@@ -99,10 +107,12 @@ def posted(texts: DataFrame, least: float, k: int = 3, hot: int = HOT) -> DataFr
         taken += 1
         behind = F.slice("o", F.col("last") + 2, F.greatest(F.col("size") - F.col("need") + taken - F.col("last") - 1, F.lit(0)))
         more = long_.select(*own, "need", "o", "at", "last", "list", F.posexplode(behind).alias("i", "s"))
-        more = cut_lineage(more.select(*own, "need", "o", "at", (F.col("last") + 1 + F.col("i")).alias("last"), F.xxhash64("list", "s").alias("list")))
+        more = more.select(*own, "need", "o", "at", (F.col("last") + 1 + F.col("i")).alias("last"), F.xxhash64("list", "s").alias("list"))
         if taken < DEEPEST:
-            often = more.groupBy("list").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("list", F.lit(True).alias("hot"))
-            rows = cut_lineage(more.join(often, "list", "left").withColumn("hot", F.coalesce("hot", F.lit(False))))
+            often = cut_lineage(more.groupBy("list").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("list", F.lit(True).alias("hot")))
+            few = often.count() <= LISTS
+            rows = more.join(F.broadcast(often) if few else often, "list", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+            rows = rows if few else cut_lineage(rows)  # entries follow from a text's row alone, unless they were shuffled
         else:
             rows = more.withColumn("hot", F.lit(False))
     out = found[0]
@@ -114,21 +124,31 @@ def posted(texts: DataFrame, least: float, k: int = 3, hot: int = HOT) -> DataFr
 def meetings(entries: DataFrame, least: float) -> DataFrame:
     """Each two entries (x_..., y_...) of a list whose texts are of like size, the shorter one (or the first of equals) as x.
 
-    Lists are ordered by size in bands, each as wide as sizes may differ; an entry meets those of its band and the
-    next. Lists with over LIST entries of a band are cut into blocks, and each two blocks meet on their own.
+    Entries of a list of up to SHORT are shuffled once and meet as they are. Longer ones are ordered by size in bands,
+    each as wide as sizes may differ; an entry meets those of its band and the next. Lists with over LIST entries of a
+    band are cut into blocks, and each two blocks meet on their own. Entries are read several times.
     """
+    named = lambda side: [F.col(c).alias(f"{side}_{c}") for c in entries.columns if c != "list"]
+    ordered = (F.col("x_size") < F.col("y_size")) | (F.col("x_size") == F.col("y_size")) & (F.col("x_key") < F.col("y_key"))
+    alike = F.col("x_size") >= F.col("y_size") * (least - 1e-9)
+    often = cut_lineage(entries.groupBy("list").agg(F.count("*").alias("n")).where(F.col("n") > min(SHORT, LIST)).select("list"))
+    n = often.count()
+    mark = F.broadcast(often) if n <= LISTS else often
+    short = (entries.join(mark, "list", "left_anti") if n else entries).repartition("list")
+    met = short.select("list", *named("x")).join(short.select("list", *named("y")), "list").where(ordered & alike).drop("list")
+    if not n:
+        return met
     width = math.log(1 / least) if least < 1 - 1e-9 else 0.0
     band = lambda shift: F.floor(F.log("size") / width + shift).cast("int") if width else F.col("size")
-    own = cut_lineage(entries.withColumn("band", band(0.0)))
+    own = cut_lineage(entries.join(mark, "list", "left_semi").withColumn("band", band(0.0)))
     long_ = cut_lineage(own.groupBy("list", "band").agg(F.count("*").alias("n")).where(F.col("n") > LIST).select("list", "band", F.ceil(F.col("n") / LIST).cast("int").alias("cuts")))
     cuts = F.coalesce("cuts", F.lit(1))
     block = F.pmod(F.xxhash64("key"), cuts).cast("int")
     every = F.explode(F.sequence(F.lit(0), cuts - 1))
     shorter = own.withColumn("band", F.explode(F.array_distinct(F.array(band(-1e-9), band(1 - 1e-9), band(1 + 1e-9))))) if width else own
-    x = shorter.join(long_, ["list", "band"], "left").select("list", "band", block.alias("i"), every.alias("j"), *[F.col(c).alias(f"x_{c}") for c in entries.columns if c != "list"])
-    y = own.join(long_, ["list", "band"], "left").select("list", "band", every.alias("i"), block.alias("j"), *[F.col(c).alias(f"y_{c}") for c in entries.columns if c != "list"])
-    met = x.join(y, ["list", "band", "i", "j"])
-    return met.where((F.col("x_size") < F.col("y_size")) | (F.col("x_size") == F.col("y_size")) & (F.col("x_key") < F.col("y_key")))
+    x = shorter.join(long_, ["list", "band"], "left").select("list", "band", block.alias("i"), every.alias("j"), *named("x"))
+    y = own.join(long_, ["list", "band"], "left").select("list", "band", every.alias("i"), block.alias("j"), *named("y"))
+    return met.union(x.join(y, ["list", "band", "i", "j"]).where(ordered & alike).drop("list", "band", "i", "j"))
 
 
 def candidates(entries: DataFrame, least: float) -> DataFrame:
@@ -138,7 +158,7 @@ def candidates(entries: DataFrame, least: float) -> DataFrame:
     upto = F.least("x_at", "y_at") + 1 + F.least(F.col("x_size") - F.col("x_at"), F.col("y_size") - F.col("y_at")) - 1  # by the places in both
     apart = F.bit_count(F.col("x_low").bitwiseXOR(F.col("y_low"))) + F.bit_count(F.col("x_high").bitwiseXOR(F.col("y_high")))
     forth, back = F.col("x_l") & F.col("y_r"), F.col("x_r") & F.col("y_l")
-    met = meetings(entries, least).where((F.col("x_size") >= F.col("y_size") * (least - 1e-9)) & (upto >= shared) & (apart <= 2 * (both - 2 * shared)) & (forth | back))
+    met = meetings(entries, least).where((upto >= shared) & (apart <= 2 * (both - 2 * shared)) & (forth | back))
     return met.select(F.col("x_key").alias("x"), F.col("y_key").alias("y"), forth.alias("forth"), back.alias("back")).distinct()
 
 
@@ -150,14 +170,17 @@ def similar_pairs(left: DataFrame, right: DataFrame, least: float, k: int = 3, m
     """
     if not 0 < least <= 1:
         raise ValueError("the least similarity must be over 0 and at most 1")
-    both = left.select("key", F.lit(True).alias("l"), F.lit(False).alias("r")).union(right.select("key", F.lit(False), F.lit(True)))
+    if left is right:  # computed once
+        both = left.select("key", F.lit(True).alias("l"), F.lit(True).alias("r"))
+    else:
+        both = left.select("key", F.lit(True).alias("l"), F.lit(False).alias("r")).union(right.select("key", F.lit(False), F.lit(True)))
     texts = cut_lineage(both.where("key IS NOT NULL").groupBy("key").agg(F.max("l").alias("l"), F.max("r").alias("r")))
     if measure is None:
         near = candidates(posted(texts, least, k), least)
         compared = lambda a, b: jaccard(shingles(a, k), shingles(b, k))
     else:
         forth, back = F.col("x_l") & F.col("y_r"), F.col("x_r") & F.col("y_l")
-        near = meetings(signed(texts, measure), 0.5).where(forth | back).select(F.col("x_key").alias("x"), F.col("y_key").alias("y"), forth.alias("forth"), back.alias("back")).distinct()
+        near = meetings(cut_lineage(signed(texts, measure)), 0.5).where(forth | back).select(F.col("x_key").alias("x"), F.col("y_key").alias("y"), forth.alias("forth"), back.alias("back")).distinct()
         compared = measure.similarity
     near = cut_lineage(near)  # or else each two that meet would be compared, as the filter moves into the join
     near = cut_lineage(near.withColumn("sim", compared(F.col("x"), F.col("y"))).where(F.col("sim") >= least - 1e-12))

@@ -346,6 +346,34 @@ def test_lists_of_many_texts_are_parted(spark):
     assert 0 < similar.meetings(similar.posted(texts, 0.8), 0.8).count() < 100 * n
 
 
+@pytest.mark.parametrize("counters,short,lists", [(1, 200, 0), (3, 2, 500), (1 << 16, 1, 0)])
+def test_similarity_join_with_few_counters_and_short_lists(spark, monkeypatch, counters, short, lists):
+    """Shingles counted together, lists that go by bands, long lists that are not broadcast."""
+    for name, value in (("COUNTERS", counters), ("SHORT", short), ("LISTS", lists)):
+        monkeypatch.setattr(similar, name, value)
+    monkeypatch.setattr(similar.posted, "__defaults__", (3, 2))
+    rnd = random.Random(5)
+    texts = {"".join(rnd.choice("ab") for _ in range(rnd.randint(0, 12))) + rnd.choice(["", "ending"]) for _ in range(60)}
+    df = spark.createDataFrame([(t,) for t in texts], "key string")
+    want = {(a, b) for a in texts for b in texts if jaccard(a, b) >= 0.6 - 1e-12}
+    got = [(r.a, r.b) for r in similar.similar_pairs(df, df, 0.6).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_entries_of_lists_are_not_written_down(spark, monkeypatch):
+    """What is written on the way to candidates is about a row for each text; entries are shuffled once, for both sides."""
+    from galley import session
+
+    n, rows = 20_000, []
+    monkeypatch.setattr(similar, "cut_lineage", lambda df: (out := session.cut_lineage(df), rows.append(out.count()))[0])
+    letters = F.translate(F.sha2(F.col("id").cast("string"), 256).substr(1, 12), "0123456789abcdef", "abcdefghabcdefgh")
+    texts = spark.range(n).select(letters.alias("key"), F.lit(True).alias("l"), F.lit(True).alias("r"))
+    met = similar.meetings(similar.posted(texts, 0.8), 0.8)
+    met.collect()
+    plan = met._jdf.queryExecution().executedPlan().toString()
+    assert sum(rows) < 1.5 * n and "ReusedExchange" in plan
+
+
 def test_a_long_chain_of_changes_takes_rounds_of_its_logarithm(spark, monkeypatch):
     n = 100_000
     calls = counted(monkeypatch, authors)
