@@ -437,7 +437,7 @@ r AS (
 SELECT node, coalesce(list_min(list_intersect(earlier, anchors)), node) AS anchor FROM e, (SELECT anchors FROM r ORDER BY i DESC LIMIT 1)""")
 def d5_star_clusters(spark, sf):
     """Greedy clusters of names."""
-    nodes = _name_keys(spark, sf).groupBy("key").agg(F.min("ord").alias("node"))
+    nodes = cut_lineage(_name_keys(spark, sf).groupBy("key").agg(F.min("ord").alias("node")))  # read five times
     pairs = similar.similar_pairs(nodes, nodes, 0.8).where("a <> b")
     pairs = pairs.join(nodes.toDF("a", "lo"), "a").join(nodes.toDF("b", "hi"), "b").where("lo < hi").select("lo", "hi")
     return similar.star_clusters(nodes.select("node"), pairs)

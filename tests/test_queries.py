@@ -33,6 +33,11 @@ def test_clusters_cover_all(spark):
     assert all(r.anchor in anchors and r.anchor <= r.node for r in got)
 
 
+def test_names_to_cluster_are_derived_once(spark):
+    plan = QUERIES["d5_star_clusters"](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Relation" not in plan and "sha2" not in plan
+
+
 def test_embeddings_have_one_length(spark):
     got = QUERIES["k2_embed"](spark, SMALL).collect()
     assert got and {len(r.embedding) for r in got} == {16}
