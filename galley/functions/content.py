@@ -240,15 +240,13 @@ _ODD = "array<struct<kind:string,position:bigint,code:string>>"
 def odd_characters(c: Column) -> Column:
     """(kind, position, code) of every control and zero-width character; positions in code points from 0.
 
-    A text with any is cut into pieces of STRETCH characters, and only pieces with any are looked through one by one.
+    A text is cut once into pieces of STRETCH characters, and only pieces with any are looked through one by one.
     """
-    found = []
-    for kind, pattern in ODD_CHARACTERS.items():
-        pieces = F.regexp_extract_all(c, F.lit(rf"(?s).{{1,{STRETCH}}}"), F.lit(0))
-        placed = F.filter(F.transform(pieces, lambda p, i: F.struct(p.alias("p"), i.alias("i"))), lambda s: F.regexp_like(s["p"], F.lit(pattern)))
-        own = F.flatten(F.transform(placed, _odd_of(kind, pattern)))
-        found.append(F.when(F.regexp_like(c, F.lit(pattern)), own).otherwise(F.array().cast(_ODD)))
-    return F.concat(*found)
+    anything = "[" + "".join(pattern[1:-1] for pattern in ODD_CHARACTERS.values()) + "]"
+    pieces = F.regexp_extract_all(c, F.lit(rf"(?s).{{1,{STRETCH}}}"), F.lit(0))
+    placed = F.filter(F.transform(pieces, lambda p, i: F.struct(p.alias("p"), i.alias("i"))), lambda s: F.regexp_like(s["p"], F.lit(anything)))
+    found = let(placed, lambda own: F.concat(*[F.flatten(F.transform(own, _odd_of(kind, pattern))) for kind, pattern in ODD_CHARACTERS.items()]))
+    return F.coalesce(found, F.array().cast(_ODD))
 
 
 def _odd_of(kind: str, pattern: str):

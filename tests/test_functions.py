@@ -117,6 +117,12 @@ def test_odd_characters_far_in_a_text(spark):
     assert f"{{1,{content.STRETCH}}}" in plan
 
 
+def test_odd_characters_of_both_kinds_need_one_cut(spark):
+    assert value(spark, lambda A: content.odd_characters(A), a=None) == []
+    plan = spark.range(1).select(content.odd_characters(F.col("id").cast("string")).alias("v"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("regexp_extract_all") == 1
+
+
 def test_json(spark):
     assert value(spark, lambda A: literals.json_list(F.array(A, F.lit(None), F.lit('q"é\n'))), a="x") == '["x", null, "q\\"é\\n"]'
     assert value(spark, lambda A: literals.json_list(F.array(F.lit(1), F.lit(2)), True), a="x") == "[1, 2]"
